@@ -1,0 +1,6 @@
+"""Streaming: the reference has no streams (its 'real time' is prose only).
+
+The row-level feature functions are stateless Column expressions, so they
+apply unchanged to a streaming DataFrame; ``scoring`` wires them, with
+stream-static lookup joins, in front of a fitted model.
+"""
