@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import checked_broadcast, ordered_row_number, scalar_row
+from demandflow.operators.stats import checked_broadcast, exact_avg, ordered_row_number, scalar_row
 
 N_FOLDS = 5
 
@@ -34,7 +34,7 @@ def with_fold(df: DataFrame, k: int = N_FOLDS, method: str = "mod", name: str =
 
 def global_mean(history: DataFrame, target: str = "demand") -> float:
     """A26."""
-    return float(scalar_row(history.agg(F.avg(target).alias("g")))["g"])
+    return float(scalar_row(history.agg(exact_avg(target).alias("g")))["g"])
 
 
 def frequency_encode(df: DataFrame, history: DataFrame, key: str = "geohash",
@@ -52,7 +52,8 @@ def frequency_encode(df: DataFrame, history: DataFrame, key: str = "geohash",
 def fold_stats(history: DataFrame, keys: Sequence[str], target: str = "demand",
                fold: str = "fold") -> DataFrame:
     """Per (key, fold): target sum and row count (map-side combined)."""
-    return history.groupBy(*keys, fold).agg(F.sum(target).alias("_fs"), F.count(F.lit(1)).alias("_fn"))
+    return history.groupBy(*keys, fold).agg(F.sum(F.col(target).cast("decimal(38,12)")).alias("_fs"),
+                                            F.count(F.lit(1)).alias("_fn"))
 
 
 def encoding_lookups(source: DataFrame, keys: Sequence[str], name: str, smoothing: float, g: float,
@@ -62,9 +63,11 @@ def encoding_lookups(source: DataFrame, keys: Sequence[str], name: str, smoothin
     m, gl = float(smoothing), F.lit(float(g))
     per_fold = fold_stats(source, keys, target, fold)
     totals = per_fold.groupBy(*keys).agg(F.sum("_fs").alias("_ks"), F.sum("_fn").alias("_kn"))
+    # Sums are exact decimals; the rest of the arithmetic is in doubles.
+    rest = (F.col("_ks") - F.col("_fs")).cast("double")
     oof = per_fold.join(totals, keys).select(
-        *keys, fold, ((F.col("_ks") - F.col("_fs") + m * gl) / (F.col("_kn") - F.col("_fn") + m)).alias(name))
-    full = totals.select(*keys, ((F.col("_ks") + m * gl) / (F.col("_kn") + m)).alias(name))
+        *keys, fold, ((rest + m * gl) / (F.col("_kn") - F.col("_fn") + m)).alias(name))
+    full = totals.select(*keys, ((F.col("_ks").cast("double") + m * gl) / (F.col("_kn") + m)).alias(name))
     return oof, full
 
 
@@ -123,7 +126,7 @@ def key_profile(history: DataFrame, key_sets: Sequence[Sequence[str]], target: s
     bound on its distinct count (HyperLogLog estimate plus a 5-sigma margin).
     The bounds decide which lookups may be broadcast without counting them."""
     uniq = {tuple(k) for k in key_sets}
-    aggs = [F.count(F.lit(1)).alias("rows"), F.avg(target).alias("mean")]
+    aggs = [F.count(F.lit(1)).alias("rows"), exact_avg(target).alias("mean")]
     names = {}
     for i, ks in enumerate(sorted(uniq)):
         names[ks] = f"k{i}"

@@ -26,6 +26,21 @@ MAX_BUCKETS = 16384
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+SUM_TYPE = "decimal(38,12)"
+
+
+def exact_sum(c) -> "F.Column":
+    """Sum in exact decimal arithmetic: the same result for any partitioning or
+    summation order (double sums differ in the last bits between plans)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.sum(col.cast(SUM_TYPE)).cast("double")
+
+
+def exact_avg(c) -> "F.Column":
+    col = F.col(c) if isinstance(c, str) else c
+    return exact_sum(col) / F.count(col)
+
+
 def scalar_row(df: DataFrame) -> Row:
     """The single row of a one-row aggregate (bounded by construction)."""
     rows = df.limit(2).collect()

@@ -28,13 +28,26 @@ def query(name: str, sql: str | None = None):
 
 
 def rnd(c: str | Column, digits: int = DIGITS) -> Column:
+    """Half-up rounding written as plain IEEE operations, so that both engines
+    round a bit-identical double to the same result."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), digits) + F.lit(0.0)
+    scale = float(10 ** digits)
+    return (F.floor(col.cast("double") * scale + 0.5).cast("double") / scale) + F.lit(0.0)
 
 
 def sql_rnd(expr: str, digits: int = DIGITS) -> str:
-    """DuckDB rounding; '+ 0.0' folds -0.0 into 0.0 as Spark's round does."""
-    return f"(round(cast({expr} as double), {digits}) + 0.0)"
+    """DuckDB twin of ``rnd``."""
+    scale = f"{float(10 ** digits)!r}"
+    return f"(cast(floor(cast({expr} as double) * {scale} + 0.5) as double) / {scale} + 0.0)"
+
+
+def sql_avg(expr: str) -> str:
+    """DuckDB twin of ``exact_avg``: exact decimal sum over the count."""
+    return f"(cast(sum(cast({expr} as decimal(38,12))) as double) / count({expr}))"
+
+
+def sql_sum(expr: str) -> str:
+    return f"cast(sum(cast({expr} as decimal(38,12))) as double)"
 
 
 @dataclass
