@@ -183,9 +183,15 @@ def first_appearance_codes(history: DataFrame, future: DataFrame, col: str,
 
 def label_encode(history: DataFrame, future: DataFrame,
                  columns: Sequence[str] = CATEGORY_COLUMNS) -> tuple[DataFrame, DataFrame]:
-    """K7: replace each category column by its first-appearance code on both sides."""
+    """K7: replace each category column by its first-appearance code on both sides.
+
+    Every code table is computed from the input frames (not from the frame
+    being joined), so the plan grows linearly with the number of columns.
+    """
+    base_h, base_f = history, future
     for c in columns:
-        codes = checked_broadcast(first_appearance_codes(history, future, c, "_code"))
+        codes = checked_broadcast(first_appearance_codes(base_h, base_f, c, "_code"))
+
         def apply(df: DataFrame) -> DataFrame:
             keyed = df.withColumn("_val", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
             return keyed.join(codes, keyed["_val"] == codes["value"], "left") \

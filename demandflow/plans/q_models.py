@@ -1 +1,94 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: MLlib model jobs (M1-M11), rows-only (tree fits have no SQL twin).
+
+Sizes are kept small (few trees) so the registered checks stay quick; the
+same functions take production settings.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from demandflow.operators import score as S
+from demandflow.operators.split import time_blocks
+from demandflow.plans import inputs as I
+from demandflow.plans import models as M
+from demandflow.plans.registry import context, query
+from demandflow.session import cut_lineage
+
+
+def _data(spark, sf):
+    def build():
+        h, f = I.features(spark, sf, "v2")
+        h, f = M.prepare(cut_lineage(h), cut_lineage(f))
+        h, f = M.with_codes(h, f)
+        return cut_lineage(time_blocks(h, 3)), cut_lineage(f)
+    return context(spark, sf).get("model_data", build)
+
+
+def _predict(kind):
+    def fn(spark, sf):
+        h, f = _data(spark, sf)
+        return M.fit_predict(kind, h, f, 42, 8)
+    return fn
+
+
+query("m1_gbt_categorical_predict")(_predict("gbt_categorical"))
+query("m2_gbt_deep_predict")(_predict("gbt_deep"))
+query("m3_random_forest_predict")(_predict("random_forest"))
+
+
+@query("m4_early_stopping")
+def m4(spark, sf):
+    h, _ = _data(spark, sf)
+    model = M.fit_with_early_stopping("gbt_deep", h, 42, 20)
+    trees = model.stages[-1].getNumTrees
+    return spark.range(1).select(F.lit("gbt_deep").alias("model"), F.lit(int(trees)).alias("trees_kept"))
+
+
+@query("m5_cv_rmse")
+def m5(spark, sf):
+    h, _ = _data(spark, sf)
+    return M.cross_validate("gbt_categorical", h, 3, 42, 5).groupBy("model").agg(F.avg("rmse").alias("rmse"))
+
+
+@query("m6_cv_r2_rmse")
+def m6(spark, sf):
+    h, _ = _data(spark, sf)
+    return S.cv_summary(M.cross_validate("random_forest", h, 3, 42, 5))
+
+
+@query("m7_cv_report")
+def m7(spark, sf):
+    h, _ = _data(spark, sf)
+    return M.cross_validate("gbt_deep", h, 3, 42, 5).select(
+        "model", "fold", "rmse", "r2", S.display_score().alias("shown"))
+
+
+@query("m8_param_search")
+def m8(spark, sf):
+    h, _ = _data(spark, sf)
+    return M.parameter_search(spark, "gbt_categorical", h, n_trials=2).orderBy("rmse")
+
+
+@query("m10_param_rescale")
+def m10(spark, sf):
+    h, _ = _data(spark, sf)
+    best = M.parameter_search(spark, "gbt_deep", h, n_trials=1).orderBy("rmse").limit(1)
+    return M.rescale_params(best, 2.0, 2.0)
+
+
+@query("m9_seed_ensemble")
+def m9(spark, sf):
+    h, f = _data(spark, sf)
+    preds = M.seed_ensemble(["gbt_categorical", "gbt_deep", "random_forest"], h, f, n_seeds=2, max_iter=5)
+    avg = S.seed_average(preds)
+    weights = S.weights_frame(spark, {"gbt_categorical": S.FIXED_WEIGHTS_V2["catboost"],
+                                      "gbt_deep": S.FIXED_WEIGHTS_V2["lightgbm"],
+                                      "random_forest": S.FIXED_WEIGHTS_V2["xgboost"]})
+    return S.blend(avg, weights).select("Index", "demand")
+
+
+@query("m11_predict")
+def m11(spark, sf):
+    h, f = _data(spark, sf)
+    return M.fit_predict("gbt_categorical", h.where(F.col("block") < 2), h.where(F.col("block") == 2), 42, 5)
