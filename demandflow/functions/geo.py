@@ -75,12 +75,28 @@ def geohash_length(gh: str | Column = "geohash") -> Column:
     return F.length(_c(gh))
 
 
-def with_geo_columns(df: DataFrame, gh: str = "geohash") -> DataFrame:
+def geohash_table(frames: list[DataFrame], gh: str = "geohash") -> DataFrame:
+    """(geohash, latitude, longitude) for each distinct code of the frames."""
+    codes = frames[0].select(gh)
+    for f in frames[1:]:
+        codes = codes.union(f.select(gh))
     lat, lon = decode_geohash(gh)
-    return df.withColumns({
+    return codes.distinct().select(gh, lat.alias("latitude"), lon.alias("longitude"))
+
+
+def with_geo_columns(df: DataFrame, gh: str = "geohash", decoded: DataFrame | None = None) -> DataFrame:
+    """G1 (per row) or G2 (``decoded`` lookup from ``geohash_table``) plus G3 prefixes."""
+    if decoded is None:
+        lat, lon = decode_geohash(gh)
+    else:
+        df = df.join(decoded.withColumnRenamed("latitude", "_lat").withColumnRenamed("longitude", "_lon"),
+                     gh, "left")
+        lat, lon = F.col("_lat"), F.col("_lon")
+    out = df.withColumns({
         "latitude": lat, "longitude": lon,
         "geohash_4": geohash_prefix(gh, 4), "geohash_5": geohash_prefix(gh, 5),
     })
+    return out if decoded is None else out.drop("_lat", "_lon")
 
 
 def dist_to_center(center_lat: float, center_lon: float,

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import column_quantiles, exact_quantiles, mode_of, scalar_row
+from demandflow.operators.stats import (VALUES_PER_BUCKET, column_quantiles, exact_quantiles, mode_of,
+                                        scalar_row)
 
 
 @dataclass(frozen=True)
@@ -49,11 +50,13 @@ def train_stats(history: DataFrame, clip_lower: float = 0.01, clip_upper: float
     count in one aggregate."""
     spec = {"Temperature": [0.5], "NumberofLanes": [0.5], "demand": [clip_lower, clip_upper]}
     spec.update(extra or {})
-    q = column_quantiles(history, spec)
     cats = (mode_of(history, "RoadType", "road_mode")
             .crossJoin(mode_of(history, "Weather", "weather_mode"))
-            .crossJoin(history.agg(F.count_if(F.col("NumberofLanes").isNull()).alias("lanes_nulls"))))
+            .crossJoin(history.agg(F.count_if(F.col("NumberofLanes").isNull()).alias("lanes_nulls"),
+                                   F.count(F.lit(1)).alias("rows"))))
     r = scalar_row(cats)
+    # distinct values <= rows: one value range suffices when rows are few (no estimate job)
+    q = column_quantiles(history, spec, buckets=1 if r["rows"] <= VALUES_PER_BUCKET else None)
     return TrainStats(q["Temperature"][0], r["road_mode"], r["weather_mode"], q["NumberofLanes"][0],
                       int(r["lanes_nulls"]), q["demand"][0], q["demand"][1],
                       {k: q[k] for k in (extra or {})})

@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import checked_broadcast, exact_avg, ordered_row_number, scalar_row
+from demandflow.operators.stats import (BROADCAST_MAX_ROWS, checked_broadcast, exact_avg,
+                                        ordered_row_number, scalar_row)
 
 N_FOLDS = 5
 
@@ -123,8 +124,7 @@ V2_ENCODINGS = [
 def key_profile(history: DataFrame, key_sets: Sequence[Sequence[str]], target: str = "demand",
                 rsd: float = 0.02) -> dict:
     """One aggregate: row count, target mean (A26) and, per key set, an upper
-    bound on its distinct count (HyperLogLog estimate plus a 5-sigma margin).
-    The bounds decide which lookups may be broadcast without counting them."""
+    bound on its distinct count (HyperLogLog estimate plus a 5-sigma margin)."""
     uniq = {tuple(k) for k in key_sets}
     aggs = [F.count(F.lit(1)).alias("rows"), exact_avg(target).alias("mean")]
     names = {}
@@ -136,24 +136,74 @@ def key_profile(history: DataFrame, key_sets: Sequence[Sequence[str]], target: s
     return {"rows": int(r["rows"]), "mean": r["mean"], "bounds": bounds}
 
 
-def encode_all(history: DataFrame, future: DataFrame | None, spec, g: float | None = None,
-               target: str = "demand", fold: str = "fold", profile: dict | None = None,
-               source: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """K5/K6: apply a key set; history keeps its fold column for the caller.
+def _key_array(keys: Sequence[str]):
+    """A key set as one comparable value (array of texts); a null part never matches."""
+    return F.array(*[F.col(k).cast("string") for k in keys])
+
+
+def encoding_tables(base: DataFrame, spec, target: str = "demand", fold: str = "fold"):
+    """Statistics of every key set in ONE aggregation.
+
+    Rows are unpivoted to (encoding id, key array, fold) and summed once; the
+    per-key totals come from that small table. Returns (oof, full, info):
+    oof on (enc, key, fold) and full on (enc, key), both with ``value``
+    still to be formed, plus one job's worth of scalars: lookup row count,
+    history row count and the exact global target mean.
+    """
+    entries = [F.struct(F.lit(i).alias("enc"), _key_array(keys).alias("key")) for i, (_, keys, _) in enumerate(spec)]
+    long = base.select(F.col(fold), F.col(target).cast("decimal(38,12)").alias("_y"),
+                       F.explode(F.array(*entries)).alias("_e")).select("_e.enc", "_e.key", fold, "_y")
+    per_fold = long.groupBy("enc", "key", fold).agg(F.sum("_y").alias("_fs"), F.count(F.lit(1)).alias("_fn")) \
+                   .persist()
+    info = scalar_row(per_fold.agg(
+        F.count(F.lit(1)).alias("lookup_rows"),
+        F.sum(F.when(F.col("enc") == 0, F.col("_fs"))).alias("_sum0"),
+        F.sum(F.when(F.col("enc") == 0, F.col("_fn"))).alias("rows")))
+    totals = per_fold.groupBy("enc", "key").agg(F.sum("_fs").alias("_ks"), F.sum("_fn").alias("_kn"))
+    g = float(info["_sum0"]) / int(info["rows"])
+    return per_fold, totals, {"lookup_rows": int(info["lookup_rows"]), "rows": int(info["rows"]), "mean": g}
+
 
-    ``source`` (default ``history``) is the frame every statistic is read
-    from; it should be persisted or checkpointed by the caller.
+def encode_all(history: DataFrame, future: DataFrame | None, spec, g: float | None = None,
+               target: str = "demand", fold: str = "fold", source: DataFrame | None = None,
+               info_out: dict | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """K5/K6: every encoding of a key set; history keeps its fold column.
+
+    ``source`` (default ``history``) is the frame the statistics come from;
+    it should be persisted or checkpointed by the caller. ``g`` defaults to
+    the exact mean of ``source``. ``info_out`` receives the scalars of
+    ``encoding_tables`` (row count, mean, lookup size).
     """
     base = history if source is None else source
-    if profile is None:
-        profile = key_profile(base, [k for _, k, _ in spec], target)
+    per_fold, totals, info = encoding_tables(base, spec, target, fold)
+    if info_out is not None:
+        info_out.update(info)
     if g is None:
-        g = profile["mean"]
-    for name, keys, m in spec:
-        history, future = target_encode(history, future, keys, name, m, g, target, fold, source=base,
-                                        key_bound=profile["bounds"].get(tuple(keys)), fill=False)
-    filled = {name: F.coalesce(F.col(name), F.lit(float(g))) for name, _, _ in spec}
-    return history.withColumns(filled), (None if future is None else future.withColumns(filled))
+        g = info["mean"]
+    gl = F.lit(float(g))
+    small = info["lookup_rows"] <= BROADCAST_MAX_ROWS
+    hcols, fcols = {}, {}
+    for i, (name, keys, m) in enumerate(spec):
+        m = float(m)
+        pf = per_fold.where(F.col("enc") == i)
+        tt = totals.where(F.col("enc") == i)
+        rest = (F.col("_ks") - F.col("_fs")).cast("double")
+        oof = pf.join(tt, ["enc", "key"]).select(
+            F.col("key").alias(f"_k{i}"), F.col(fold).alias(f"_f{i}"),
+            ((rest + m * gl) / (F.col("_kn") - F.col("_fn") + m)).alias(f"_v{i}"))
+        history = history.join(F.broadcast(oof) if small else oof,
+                               (_key_array(keys) == F.col(f"_k{i}")) & (F.col(fold) == F.col(f"_f{i}")), "left")
+        hcols[name] = F.coalesce(F.col(f"_v{i}"), gl)
+        if future is not None:
+            full = tt.select(F.col("key").alias(f"_k{i}"),
+                             ((F.col("_ks").cast("double") + m * gl) / (F.col("_kn") + m)).alias(f"_v{i}"))
+            future = future.join(F.broadcast(full) if small else full, _key_array(keys) == F.col(f"_k{i}"), "left")
+            fcols[name] = F.coalesce(F.col(f"_v{i}"), gl)
+    temp = [c for i in range(len(spec)) for c in (f"_k{i}", f"_f{i}", f"_v{i}")]
+    history = history.withColumns(hcols).drop(*temp)
+    if future is not None:
+        future = future.withColumns(fcols).drop(*temp)
+    return history, future
 
 
 # Categorical columns that get label codes.

@@ -200,15 +200,20 @@ def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = (
 
 
 def ordered_row_number(df: DataFrame, coarse: Sequence[str], fine: str, out: str = "row_num",
-                       buckets: int = 64) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """0-based row number in (coarse..., fine) order; (coarse, fine) must be unique.
 
     ``coarse`` should be low-cardinality (time slots). Rows are cut into
     (coarse, fine-range) cells; a small count table gives each cell its
-    offset; the window then runs inside one cell only.
+    offset; the window then runs inside one cell only. By default the number
+    of fine ranges is chosen from the row count so that a cell holds at most
+    VALUES_PER_BUCKET rows when the fine key is spread evenly.
     """
     coarse = list(coarse)
-    keyed = _bucketed(df, fine, buckets, "_fb")
+    if buckets is None:
+        n = int(scalar_row(df.agg(F.count(F.lit(1)).alias("n")))["n"])
+        buckets = min(MAX_BUCKETS, max(1, -(-n // VALUES_PER_BUCKET)))
+    keyed = _bucketed(df, fine, buckets, "_fb") if buckets > 1 else df.withColumn("_fb", F.lit(0.0))
     cells = keyed.groupBy(*coarse, "_fb").agg(F.count(F.lit(1)).alias("_cn"))
     offsets = _running_offsets(cells, [], [*coarse, "_fb"], "_cn", "_coff").drop("_cn")
     w = Window.partitionBy(*coarse, "_fb").orderBy(fine)

@@ -17,13 +17,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.functions.geo import dist_to_center, with_geo_columns
+from demandflow.functions.geo import dist_to_center, geohash_table, with_geo_columns
 from demandflow.functions.interact import with_interactions
 from demandflow.functions.timefeat import with_cyclical, with_time_columns, with_time_flags
 from demandflow.operators.clean import (TrainStats, assert_no_leak, clip_column, impute,
                                         train_stats)
 from demandflow.operators.encode import (V1_ENCODINGS, V2_ENCODINGS, encode_all,
-                                         frequency_encode, key_profile, with_fold)
+                                         frequency_encode, with_fold)
+from demandflow.operators.stats import checked_broadcast
 from demandflow.operators.lag import with_lag
 from demandflow.operators.stats import column_quantiles
 from demandflow.session import cut_lineage
@@ -62,18 +63,20 @@ class Cleaned:
 
 
 def clean(history: DataFrame, future: DataFrame, variant: str = "v2",
-          clip_lower: float = 0.01, clip_upper: float = 0.99, with_center: bool = False) -> Cleaned:
+          clip_lower: float = 0.01, clip_upper: float = 0.99, with_center: bool = False,
+          decoded: DataFrame | None = None) -> Cleaned:
     """Phase 1: time columns, leak check (V1), imputation, clipping (V1).
 
     With ``with_center`` the city centre (G6) is computed in the same
-    quantile pass as the cleaning statistics.
+    quantile pass as the cleaning statistics (``decoded``: optional G2 table).
     """
     history = history.persist(StorageLevel.MEMORY_AND_DISK)
     h, f = with_time_columns(history), with_time_columns(future)
     if variant == "v1":
         assert_no_leak(h, f)
     extra = {"latitude": [0.5], "longitude": [0.5]} if with_center else None
-    st = train_stats(with_geo_columns(history) if with_center else history, clip_lower, clip_upper, extra)
+    st = train_stats(with_geo_columns(history, decoded=decoded) if with_center else history,
+                     clip_lower, clip_upper, extra)
     h = impute(h, st, fill_lanes=(variant == "v1"))
     f = impute(f, st, fill_lanes=(variant == "v1"))
     if variant == "v1":
@@ -88,9 +91,10 @@ def city_center(history: DataFrame) -> tuple[float, float]:
     return q["latitude"][0], q["longitude"][0]
 
 
-def row_features(df: DataFrame, center: tuple[float, float], variant: str) -> DataFrame:
-    """Geo, cyclical, flags, interactions: narrow, per-row, one codegen stage."""
-    out = with_geo_columns(df).withColumn("dist_to_center", dist_to_center(*center))
+def row_features(df: DataFrame, center: tuple[float, float], variant: str,
+                 decoded: DataFrame | None = None) -> DataFrame:
+    """Geo, cyclical, flags, interactions: per-row expressions (plus the G2 lookup join)."""
+    out = with_geo_columns(df, decoded=decoded).withColumn("dist_to_center", dist_to_center(*center))
     out = with_cyclical(out)
     out = with_time_flags(out, "v1" if variant == "v1" else "v2")
     return with_interactions(out, v2_extras=(variant != "v1"))
@@ -99,23 +103,25 @@ def row_features(df: DataFrame, center: tuple[float, float], variant: str) -> Da
 def build_features(history: DataFrame, future: DataFrame, variant: str = "v2",
                    fold_method: str = "mod") -> tuple[DataFrame, DataFrame]:
     """History and future feature tables of one variant ('v1', 'v2', 'nb')."""
-    c = clean(history, future, variant, with_center=True)
-    h = row_features(c.history, c.center, variant)
-    f = row_features(c.future, c.center, variant)
+    decoded = checked_broadcast(geohash_table([history, future]))
+    c = clean(history, future, variant, with_center=True, decoded=decoded)
+    h = row_features(c.history, c.center, variant, decoded)
+    f = row_features(c.future, c.center, variant, decoded)
     spec = V1_ENCODINGS if variant == "v1" else V2_ENCODINGS
     if variant == "v1":
         h, f = with_lag(h, h), with_lag(f, h)
     h = cut_lineage(with_fold(h, method=fold_method))
-    prof = key_profile(h, [["geohash"]] + [k for _, k, _ in spec])
-    fq = dict(total=prof["rows"], bound=prof["bounds"][("geohash",)])
+    info: dict = {}
     if variant == "v1":
-        h_e, f_e = encode_all(h, f, spec, profile=prof)
+        h_e, f_e = encode_all(h, f, spec, info_out=info)
+        fq = dict(total=info["rows"], bound=info["lookup_rows"])
         h_e, f_e = frequency_encode(h_e, h, **fq), frequency_encode(f_e, h, **fq)
     else:
-        h_q, f_q = frequency_encode(h, h, **fq), frequency_encode(f, h, **fq)
+        h_e, f_e = encode_all(h, f, spec, info_out=info)
+        fq = dict(total=info["rows"], bound=info["lookup_rows"])
+        h_e, f_e = frequency_encode(h_e, h, **fq), frequency_encode(f_e, h, **fq)
         if variant == "v2":
-            h_q, f_q = with_lag(h_q, h), with_lag(f_q, h)
-        h_e, f_e = encode_all(h_q, f_q, spec, profile=prof, source=h)
+            h_e, f_e = with_lag(h_e, h), with_lag(f_e, h)
     return (h_e.select(*column_order(variant, "history")),
             f_e.select(*column_order(variant, "future")))
 

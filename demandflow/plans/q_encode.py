@@ -14,6 +14,7 @@ from demandflow.plans import inputs as I
 
 from demandflow.plans.registry import context, query, rnd, sql_rnd
 from demandflow.plans.sql_features import feature_sql
+from demandflow.session import cut_lineage
 from demandflow.sources import files
 from demandflow.sources.observations import oracle
 
@@ -125,6 +126,8 @@ def _codes_sql(cols):
 
 def _codes(spark, sf, cols):
     h, f = I.features(spark, sf, "v2")
+    # every code table reads both sides: cut their lineage once
+    h, f = cut_lineage(h.select("Index", "time_order", *cols)), cut_lineage(f.select("Index", *cols))
     out = None
     for c in cols:
         t = E.first_appearance_codes(h, f, c, "code").select(F.lit(c).alias("column_name"), "value", "code")
