@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import ordered_row_number, scalar_row
+from demandflow.operators.stats import VALUES_PER_BUCKET, ordered_row_number, scalar_row
 
 
 def time_blocks(history_t: DataFrame, k: int = 3, order: str = "time_order", tie: str = "Index",
@@ -20,7 +20,8 @@ def time_blocks(history_t: DataFrame, k: int = 3, order: str = "time_order", tie
     n = int(scalar_row(history_t.agg(F.count(F.lit(1)).alias("n")))["n"])
     t = n // (k + 1)
     start = n - k * t
-    pos = ordered_row_number(history_t, [order], tie, out="_pos")
+    pos = ordered_row_number(history_t, [order], tie, out="_pos",
+                             buckets=max(1, -(-n // VALUES_PER_BUCKET)))
     block = F.when(F.col("_pos") < start, F.lit(-1)).otherwise(
         F.floor((F.col("_pos") - start) / F.lit(max(t, 1)))).cast("int")
     return pos.withColumn(out, block).drop("_pos")
