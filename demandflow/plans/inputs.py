@@ -40,10 +40,19 @@ def future_t(spark, sf) -> DataFrame:
     return with_time_columns(future(spark, sf))
 
 
+def decoded(spark, sf) -> DataFrame:
+    """G2 table (distinct geohash -> centre), broadcast after a size check."""
+    from demandflow.functions.geo import geohash_table
+    from demandflow.operators.stats import checked_broadcast
+    return context(spark, sf).get("decoded", lambda: checked_broadcast(
+        geohash_table([history(spark, sf), future(spark, sf)])))
+
+
 def cleaned(spark, sf, variant: str = "v2"):
     from demandflow.plans.features import clean
     return context(spark, sf).get(f"clean_{variant}", lambda: clean(history(spark, sf), future(spark, sf),
-                                                                      variant, with_center=True))
+                                                                      variant, with_center=True,
+                                                                      decoded=decoded(spark, sf)))
 
 
 def features(spark, sf, variant: str = "v2") -> tuple[DataFrame, DataFrame]:
