@@ -17,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.encode import N_FOLDS, fold_stats
-from demandflow.operators.stats import checked_broadcast, exact_avg, exact_quantiles, exact_sum
+from demandflow.operators.encode import N_FOLDS, _key_array, encoding_tables
+from demandflow.operators.stats import checked_broadcast, exact_avg, exact_quantiles, exact_sum, scalar_row
 
 # The seed list and the blend weights of the two variants.
 SEEDS = [42, 123, 456, 789, 2024]
@@ -34,20 +34,30 @@ def _seed_of(fold_col: str = "fold"):
     return F.element_at(F.array(*[F.lit(s) for s in SEEDS]), F.col(fold_col) + 1)
 
 
-def encoding_predictions(history: DataFrame, future: DataFrame, keys: Sequence[str], model: str,
-                         smoothing: float, g: float, folds: int = N_FOLDS) -> DataFrame:
-    """(Index, model, seed, prediction): leave-one-fold-out smoothed means for future rows."""
-    keys = list(keys)
-    m, gl = float(smoothing), F.lit(float(g))
-    per_fold = fold_stats(history, keys)
-    totals = per_fold.groupBy(*keys).agg(F.sum("_fs").alias("_ks"), F.sum("_fn").alias("_kn"))
-    grid = totals.select(*keys, "_ks", "_kn", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
+def _enc_map(models, pick):
+    return F.create_map(*[x for i, mdl in enumerate(models) for x in (F.lit(i), F.lit(pick(mdl)))])
+
+
+def encoding_predictions(history: DataFrame, future: DataFrame, models=None,
+                         folds: int = N_FOLDS) -> DataFrame:
+    """(Index, model, seed, prediction) for every stand-in model: per key set, the
+    smoothed mean with one history fold held out per seed. All models share one
+    (model, key, fold) aggregation; one small job bounds the lookup size."""
+    models = list(models or STANDIN_MODELS)
+    per_fold, totals, info = encoding_tables(history, models)
+    gl = F.lit(float(info["mean"]))
+    m = _enc_map(models, lambda mdl: float(mdl[2]))[F.col("enc")]
+    grid = totals.select("enc", "key", "_ks", "_kn", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
     rest = (F.col("_ks") - F.coalesce(F.col("_fs"), F.lit(0).cast("decimal(38,12)"))).cast("double")
-    values = grid.join(per_fold, [*keys, "fold"], "left").select(
-        *keys, "fold", ((rest + m * gl) / (F.col("_kn") - F.coalesce(F.col("_fn"), F.lit(0)) + m)).alias("_p"))
-    rows = future.select("Index", *keys, F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
-    return rows.join(checked_broadcast(values), [*keys, "fold"], "left").select(
-        "Index", F.lit(model).alias("model"), _seed_of().alias("seed"),
+    values = grid.join(per_fold, ["enc", "key", "fold"], "left").select(
+        "enc", "key", "fold", ((rest + m * gl) / (F.col("_kn") - F.coalesce(F.col("_fn"), F.lit(0)) + m)).alias("_p"))
+    values = checked_broadcast(values, bound=info["lookup_rows"] * folds)
+    entries = [F.struct(F.lit(i).alias("enc"), _key_array(keys).alias("key")) for i, (_, keys, _) in enumerate(models)]
+    rows = future.select("Index", F.explode(F.array(*entries)).alias("_e"),
+                         F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold")) \
+        .select("Index", "_e.enc", "_e.key", "fold")
+    return rows.join(values, ["enc", "key", "fold"], "left").select(
+        "Index", _enc_map(models, lambda mdl: mdl[0])[F.col("enc")].alias("model"), _seed_of().alias("seed"),
         F.greatest(F.coalesce(F.col("_p"), gl), F.lit(0.0)).alias("prediction"))
 
 
@@ -77,25 +87,27 @@ def display_score(r2: str = "r2"):
     return F.greatest(F.lit(0.0), F.col(r2) * 100.0)
 
 
-def cv_predictions(blocked: DataFrame, keys: Sequence[str], model: str, smoothing: float,
-                   k: int = 3, y: str = "demand") -> DataFrame:
-    """K10 input: for fold i, rows of block i predicted from blocks < i.
-    Per (key, block) sums are spread to every later fold and summed again, so
-    each fold's training statistics come from one small aggregate."""
-    keys = list(keys)
-    m = float(smoothing)
-    blk = blocked.groupBy(*keys, "block").agg(F.sum(F.col(y).cast("decimal(38,12)")).alias("_bs"),
-                                              F.count(F.lit(1)).alias("_bn"))
+def cv_predictions(blocked: DataFrame, models=None, k: int = 3, y: str = "demand") -> DataFrame:
+    """K10 input: for fold i, rows of block i predicted from blocks < i, for every model.
+    Per (model, key, block) sums come from one aggregation, are spread to every
+    later fold and summed again, so each fold's training statistics are small."""
+    models = list(models or STANDIN_MODELS)
+    entries = [F.struct(F.lit(i).alias("enc"), _key_array(keys).alias("key")) for i, (_, keys, _) in enumerate(models)]
+    long = blocked.select("Index", "block", F.col(y).cast("decimal(38,12)").alias("_y"),
+                          F.explode(F.array(*entries)).alias("_e")).select("Index", "block", "_y", "_e.enc", "_e.key")
+    blk = long.groupBy("enc", "key", "block").agg(F.sum("_y").alias("_bs"), F.count(F.lit(1)).alias("_bn")).persist()
+    bound = int(scalar_row(blk.agg(F.count(F.lit(1)).alias("n")))["n"]) * k
     later = F.when(F.col("block") + 1 <= k - 1, F.sequence(F.col("block") + 1, F.lit(k - 1))) \
              .otherwise(F.array().cast("array<int>"))
-    spread = blk.select(*keys, "_bs", "_bn", F.explode(later).alias("fold"))
-    train = spread.groupBy(*keys, "fold").agg(F.sum("_bs").alias("_ts"), F.sum("_bn").alias("_tn"))
-    gtab = spread.groupBy("fold").agg((F.sum("_bs").cast("double") / F.sum("_bn")).alias("_g"))
-    test = blocked.where(F.col("block") >= 0).select("Index", *keys, F.col("block").alias("fold"))
+    spread = blk.select("enc", "key", "_bs", "_bn", F.explode(later).alias("fold"))
+    train = spread.groupBy("enc", "key", "fold").agg(F.sum("_bs").alias("_ts"), F.sum("_bn").alias("_tn"))
+    gtab = spread.groupBy("enc", "fold").agg((F.sum("_bs").cast("double") / F.sum("_bn")).alias("_g"))
+    m = _enc_map(models, lambda mdl: float(mdl[2]))[F.col("enc")]
+    test = long.where(F.col("block") >= 0).select("Index", "enc", "key", F.col("block").alias("fold"))
     pred = (F.col("_ts").cast("double") + m * F.col("_g")) / (F.col("_tn") + m)
-    return (test.join(checked_broadcast(train), [*keys, "fold"], "left")
-                .join(F.broadcast(gtab), "fold", "left")
-                .select("Index", F.lit(model).alias("model"), "fold",
+    return (test.join(checked_broadcast(train, bound=bound), ["enc", "key", "fold"], "left")
+                .join(F.broadcast(gtab), ["enc", "fold"], "left")
+                .select("Index", _enc_map(models, lambda mdl: mdl[0])[F.col("enc")].alias("model"), "fold",
                         F.greatest(F.coalesce(pred, F.col("_g")), F.lit(0.0)).alias("prediction")))
 
 

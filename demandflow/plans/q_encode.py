@@ -233,12 +233,7 @@ sub as (select "Index", greatest(raw, 0.0) as demand, raw from bl)"""
 def _preds(spark, sf):
     def build():
         h, f = _hist_f(spark, sf)
-        g = _g(spark, sf)
-        out = None
-        for model, keys, m in S.STANDIN_MODELS:
-            p = S.encoding_predictions(h, f, keys, model, m, g)
-            out = p if out is None else out.unionByName(p)
-        return out
+        return S.encoding_predictions(h, f)
     return context(spark, sf).get("standin_preds", build)
 
 
@@ -249,10 +244,7 @@ def _avgp(spark, sf):
 def _cv(spark, sf):
     def build():
         b = _blocked(spark, sf)
-        out = None
-        for model, keys, m in S.STANDIN_MODELS:
-            p = S.cv_predictions(b, keys, model, m, 3)
-            out = p if out is None else out.unionByName(p)
+        out = S.cv_predictions(b, k=3)
         fold_scores = S.score(out, b.select("Index", "demand"), by=("model", "fold"))
         return S.cv_summary(fold_scores)
     return context(spark, sf).get("cv", build)
