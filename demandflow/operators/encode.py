@@ -182,21 +182,22 @@ def encode_all(history: DataFrame, future: DataFrame | None, spec, g: float | No
         g = info["mean"]
     gl = F.lit(float(g))
     small = info["lookup_rows"] <= BROADCAST_MAX_ROWS
+    # Both lookup tables for every encoding at once, built once and sliced per encoding.
+    m = F.create_map(*[x for i, (_, _, mm) in enumerate(spec) for x in (F.lit(i), F.lit(float(mm)))])[F.col("enc")]
+    rest = (F.col("_ks") - F.col("_fs")).cast("double")
+    oof_all = per_fold.join(totals, ["enc", "key"]).select(
+        "enc", "key", fold, ((rest + m * gl) / (F.col("_kn") - F.col("_fn") + m)).alias("_v")).persist()
+    full_all = totals.select("enc", "key", ((F.col("_ks").cast("double") + m * gl) / (F.col("_kn") + m))
+                             .alias("_v")).persist()
     hcols, fcols = {}, {}
-    for i, (name, keys, m) in enumerate(spec):
-        m = float(m)
-        pf = per_fold.where(F.col("enc") == i)
-        tt = totals.where(F.col("enc") == i)
-        rest = (F.col("_ks") - F.col("_fs")).cast("double")
-        oof = pf.join(tt, ["enc", "key"]).select(
-            F.col("key").alias(f"_k{i}"), F.col(fold).alias(f"_f{i}"),
-            ((rest + m * gl) / (F.col("_kn") - F.col("_fn") + m)).alias(f"_v{i}"))
+    for i, (name, keys, _) in enumerate(spec):
+        oof = oof_all.where(F.col("enc") == i).select(F.col("key").alias(f"_k{i}"), F.col(fold).alias(f"_f{i}"),
+                                                      F.col("_v").alias(f"_v{i}"))
         history = history.join(F.broadcast(oof) if small else oof,
                                (_key_array(keys) == F.col(f"_k{i}")) & (F.col(fold) == F.col(f"_f{i}")), "left")
         hcols[name] = F.coalesce(F.col(f"_v{i}"), gl)
         if future is not None:
-            full = tt.select(F.col("key").alias(f"_k{i}"),
-                             ((F.col("_ks").cast("double") + m * gl) / (F.col("_kn") + m)).alias(f"_v{i}"))
+            full = full_all.where(F.col("enc") == i).select(F.col("key").alias(f"_k{i}"), F.col("_v").alias(f"_v{i}"))
             future = future.join(F.broadcast(full) if small else full, _key_array(keys) == F.col(f"_k{i}"), "left")
             fcols[name] = F.coalesce(F.col(f"_v{i}"), gl)
     temp = [c for i in range(len(spec)) for c in (f"_k{i}", f"_f{i}", f"_v{i}")]
