@@ -81,7 +81,7 @@ def target_encode(history: DataFrame, future: DataFrame | None, keys: Sequence[s
     ``source`` is the frame the statistics come from (default ``history``);
     pass the persisted base when encodings are chained so that each
     aggregate reads the base, not the growing chain of joins. ``key_bound``
-    bounds the number of distinct keys (see ``key_profile``).
+    is an upper bound on the number of distinct keys, if known.
     """
     keys = list(keys)
     oof, full = encoding_lookups(source if source is not None else history, keys, name, smoothing, g,
@@ -121,21 +121,6 @@ V2_ENCODINGS = [
 ]
 
 
-def key_profile(history: DataFrame, key_sets: Sequence[Sequence[str]], target: str = "demand",
-                rsd: float = 0.02) -> dict:
-    """One aggregate: row count, target mean (A26) and, per key set, an upper
-    bound on its distinct count (HyperLogLog estimate plus a 5-sigma margin)."""
-    uniq = {tuple(k) for k in key_sets}
-    aggs = [F.count(F.lit(1)).alias("rows"), exact_avg(target).alias("mean")]
-    names = {}
-    for i, ks in enumerate(sorted(uniq)):
-        names[ks] = f"k{i}"
-        aggs.append(F.approx_count_distinct(F.xxhash64(*ks), rsd).alias(f"k{i}"))
-    r = scalar_row(history.agg(*aggs))
-    bounds = {ks: float(r[n]) * (1 + 5 * rsd) + 10 for ks, n in names.items()}
-    return {"rows": int(r["rows"]), "mean": r["mean"], "bounds": bounds}
-
-
 def _key_array(keys: Sequence[str]):
     """A key set as one comparable value (array of texts); a null part never matches."""
     return F.array(*[F.col(k).cast("string") for k in keys])
