@@ -25,7 +25,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,8 +113,9 @@ def _match(block: Block) -> Callable:
         entries[int(size)] = (own, np.append(start, len(own)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row_number = TaskContext.get().partitionId() << 33
+        done = 0
         for part in T.row_slices(batches, "text", SLICE_BYTES):
+            row_number = (T.column(part, "part")[0].as_py() << 33) + done
             h, _, _, first = T.words(T.column(part, "text"), T.ALNUM, True)
             cover, found = np.zeros(len(h) + 1, dtype=np.int64), []
             for size, lookup in lookups.items():
@@ -154,7 +154,7 @@ def _match(block: Block) -> Callable:
                 T.column(part, "id"), pa.array(np.arange(row_number, row_number + part.num_rows)), pa.array(np.diff(first)),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                 pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["id", "row_number", "n_words", "spans", "items"])
-            row_number += part.num_rows
+            done += part.num_rows
     return run
 
 
@@ -178,7 +178,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     ``block``: most benchmark windows that are sent to the tasks at once.
     """
     ship_code(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
     id_type = texts.schema["id"].dataType.simpleString()
     out = f"id {id_type}, row_number long, n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
     pieces = materialise(benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).cast("string").alias("text"))

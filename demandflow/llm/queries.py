@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .substrings import remove_repeated
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +38,25 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeated(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return done.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+win AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM dup),
+word AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (SELECT word.r, string_agg(x, ' ' ORDER BY word.j) AS t FROM word ANTI JOIN gone ON gone.r = word.r AND gone.j = word.j GROUP BY word.r)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r LEFT JOIN kept ON kept.r = d.r
+"""
+
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
+    "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
 }
