@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .near_dups import near_duplicates
 from .substrings import remove_repeated
 
 
@@ -38,6 +39,24 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+link AS (SELECT a, b FROM both_ JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+two AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, two.b FROM reach JOIN two ON two.a = reach.r)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeated(table(spark, sf_dir, "documents"))
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -45,7 +64,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = r"""
-WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 win AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
 dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS c FROM win) WHERE c > 1),
 gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM dup),
@@ -58,5 +78,6 @@ FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r L
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
+    "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
 }
