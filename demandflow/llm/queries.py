@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .mixing import mix
 from .near_dups import near_duplicates
 from .substrings import remove_repeated
 
@@ -39,6 +40,12 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+                        (F.col("mix_size") * F.size("mix_places")).alias("taken"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -78,6 +85,7 @@ FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r L
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
+    "op6_mix_sources": (op6_mix_sources, None),
     "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
 }
