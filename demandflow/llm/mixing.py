@@ -29,11 +29,10 @@ columns stay as they are.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .exact_stats import log_factorial
 from .store import materialise
 
 
@@ -53,21 +52,15 @@ def targets(sizes: DataFrame, most_copies: int = 3) -> DataFrame:
     return ranked.withColumn("level", level).withColumn("target", F.least("capacity", F.max("level").over(total) * F.col("weight"))).select("key", "source", "source_size", "target")
 
 
-def _log_factorial(n: Column) -> Column:
-    """ln n! by Stirling's series, shifted by one for small n."""
-    z = n + 2.0
-    return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) - F.ln(n + 1.0)
-
-
 def hypergeometric(population: Column, marked: Column, draws: Column, u: Column) -> Column:
     """Number of marked among ``draws`` without replacement, by inversion of a uniform ``u``; sums run over 12 deviations around the mean."""
     mean = draws * marked / F.greatest(population, F.lit(1.0))
     spread = F.sqrt(mean * (1 - marked / F.greatest(population, F.lit(1.0)))) * 12 + 12
     low = F.ceil(F.greatest(F.lit(0.0), draws + marked - population, mean - spread)).cast("double")
     high = F.floor(F.least(marked, draws, mean + spread)).cast("double")
-    at_low = F.exp(_log_factorial(marked) - _log_factorial(low) - _log_factorial(marked - low) + _log_factorial(population - marked)
-                   - _log_factorial(draws - low) - _log_factorial(population - marked - draws + low)
-                   - _log_factorial(population) + _log_factorial(draws) + _log_factorial(population - draws))
+    at_low = F.exp(log_factorial(marked) - log_factorial(low) - log_factorial(marked - low) + log_factorial(population - marked)
+                   - log_factorial(draws - low) - log_factorial(population - marked - draws + low)
+                   - log_factorial(population) + log_factorial(draws) + log_factorial(population - draws))
 
     def step(acc: Column, x: Column) -> Column:
         more = acc["cdf"] < u

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from .decontaminate import decontaminate
 from .mixing import mix
 from .near_dups import near_duplicates
+from .quality import calibrate, features, judge
+from .store import materialise
 from .substrings import remove_repeated
 
 
@@ -40,6 +42,13 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialise(features(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text"))
+    judged = judge(measured, calibrate(measured, table(spark, sf_dir, "labels")))
+    names = {f"q_{c}": c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")}
+    return judged.select("doc_id", *[F.col(a).alias(b) for a, b in names.items()], F.col("q_failed").alias("failed_rules"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
@@ -85,6 +94,7 @@ FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r L
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
+    "op5_quality_rules": (op5_quality_rules, None),
     "op6_mix_sources": (op6_mix_sources, None),
     "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
