@@ -85,7 +85,7 @@ def _stratum(column: str | None) -> Column:
     return F.lit("all") if column is None else F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(column).cast("string")))
 
 
-def calibrate(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", stratum_col: str | None = "lang", label_col: str = "quality", alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+def calibrate(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", stratum_col: str | None = "lang", label_col: str = "quality", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
     """(stratum, a cutoff for each rule or null, n_good) from features and labels."""
     good = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("good"))
     rules = measured.select(F.col(id_col).alias("id"), _stratum(stratum_col).alias("stratum"), *GRID)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .html_text import extract_main_text
+from .licenses import scan_licenses
 from .mixing import mix
 from .near_dups import near_duplicates
 from .quality import calibrate, features, judge
@@ -19,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -55,6 +61,15 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("mix_size") * F.size("mix_places")).alias("taken"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["start"])
+    labels = lambda places: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))))
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"), "score")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -93,9 +108,11 @@ FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r L
 
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_html_text": (op1_html_text, None),
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_mix_sources": (op6_mix_sources, None),
+    "op7_licenses": (op7_licenses, None),
     "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
 }
