@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
@@ -12,6 +12,7 @@ from .html_text import extract_main_text
 from .licenses import scan_licenses
 from .mixing import mix
 from .near_dups import near_duplicates
+from .pitman_yor import score_texts
 from .quality import calibrate, features, judge
 from .store import materialise
 from .substrings import remove_repeated
@@ -106,6 +107,15 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIG
 FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r LEFT JOIN kept ON kept.r = d.r
 """
 
+def crc_of_id(mod: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % mod
+
+
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_texts(table(spark, sf_dir, "documents"), crc_of_id(10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_text": (op1_html_text, None),
@@ -114,5 +124,6 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_mix_sources": (op6_mix_sources, None),
     "op7_licenses": (op7_licenses, None),
     "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
+    "op10_lm_scores": (op10_lm_scores, None),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
 }
