@@ -25,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage ends here, lost executors lose nothing."""
     path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
