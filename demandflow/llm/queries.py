@@ -16,16 +16,26 @@ from .pitman_yor import score_texts
 from .quality import calibrate, features, judge
 from .store import materialise
 from .substrings import remove_repeated
+from .toxicity import score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc_of_id(mod: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % mod
+
+
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_of_id(5) != 0)
+    return scored.select("doc_id", (crc_of_id(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -107,10 +117,6 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIG
 FROM d LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) g ON g.r = d.r LEFT JOIN kept ON kept.r = d.r
 """
 
-def crc_of_id(mod: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % mod
-
-
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_texts(table(spark, sf_dir, "documents"), crc_of_id(10) != 0)
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -119,6 +125,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_text": (op1_html_text, None),
+    "op2_toxicity": (op2_toxicity, None),
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_mix_sources": (op6_mix_sources, None),
