@@ -12,6 +12,7 @@ from .html_text import extract_main_text
 from .licenses import scan_licenses
 from .mixing import mix
 from .near_dups import near_duplicates
+from .pii import BASE, find_pii
 from .pitman_yor import score_texts
 from .quality import calibrate, features, judge
 from .store import materialise
@@ -36,6 +37,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_of_id(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -126,6 +134,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_text": (op1_html_text, None),
     "op2_toxicity": (op2_toxicity, None),
+    "op3_pii": (op3_pii, None),
     "op4_decontaminate": (op4_decontaminate, OP4_SQL),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_mix_sources": (op6_mix_sources, None),
