@@ -50,7 +50,10 @@ def _count(text: Column, characters: str) -> Column:
 
 
 def features(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with q_n_words, q_word_chars, q_n_symbols, q_n_dup_lines, q_n_repeat_words and the rules' numbers."""
+    """``docs`` with q_n_words, q_word_chars, q_n_symbols, q_n_dup_lines, q_n_repeat_words and the rules' numbers.
+
+    Write the result before filtering by it: a filter that is pushed down repeats these expressions for every word.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text.alias("t"))
     d = kept.withColumns({
