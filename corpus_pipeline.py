@@ -29,15 +29,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi").dropDuplicates(["doc_id"])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.where("size(items) > 0").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    hit = found.where("size(items) > 0").select(F.col("doc_id").alias("__hit_id")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit_id"]), "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time a document is taken, with its copy, output shard and place in the shard's order."""
     mixed = mix(docs)
-    return mixed.select(*docs.columns, F.col("mix_size").alias("size"), F.explode("mix_places").alias("place")).select(*docs.columns, "size", "place.copy", "place.shard", "place.position")
+    return mixed.select(*docs.columns, F.col("mix_size"), F.explode("mix_places").alias("__place")).select(*docs.columns, "mix_size", "__place.copy", "__place.shard", "__place.position")
 
 
 STAGES = [

@@ -24,7 +24,7 @@ partitioning: reruns agree.
 Defined results: a null or empty text has size 0 and takes 0 words (its block
 may place it); a null source is a source of its own; repeated rows are separate
 documents with the same places; an empty table gives an empty result; other
-columns stay as they are.
+columns stay as they are, except those named like one that is added.
 """
 
 from __future__ import annotations
@@ -97,12 +97,12 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = 16, blocks: int = 1024, most_copies: int = 3, seed: int = 7) -> DataFrame:
-    """``docs`` with size, source_size, target and ``places``: an array of (copy, shard, position), one for each time the document is taken.
+    """``docs`` with mix_size, mix_source_size, mix_target and mix_places: an array of (copy, shard, position), one for each time the document is taken.
 
     ``position`` orders a shard's rows. ``blocks``: blocks a source; ``shards``: output shards.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"), F.col(source_col).cast("string").alias("source"), F.col(id_col).alias("id"),
+    own = docs.select(F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("key"), F.col(source_col).cast("string").alias("source"), F.col(id_col).alias("id"),
                       word_count(F.col(text_col)).alias("size")).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(blocks)).cast("int"))
     by_block = materialise(own.groupBy("key", "source", "block").agg(F.sum("size").alias("words")))
     goal = targets(by_block.groupBy("key", "source").agg(F.sum("words").alias("source_size")), most_copies)
@@ -135,4 +135,4 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     fits = F.filter(F.coalesce("units", F.array().cast(placed.schema["units"].dataType)), lambda x: (x["limit"] >= x["words"]) | (F.col("upto") - F.col("size") / 2 <= x["limit"]))
     places = F.transform(fits, lambda x: F.struct(x["copy"].alias("copy"), x["shard"].alias("shard"), F.xxhash64(F.lit(seed + 2), F.col("id"), x["copy"]).alias("position")))
     added = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "places": places}
-    return found.select("doc.*", *[v.alias(f"mix_{k}") for k, v in added.items()])
+    return found.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in {f"mix_{k}" for k in added}], *[v.alias(f"mix_{k}") for k, v in added.items()])

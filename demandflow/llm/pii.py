@@ -165,13 +165,13 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **parameters: float) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; documents with the same id must be equal."""
-    spans = find_pii(docs, id_col=id_col, text_col=text_col, **parameters).where("size(spans) > 0").select(F.col(id_col).alias("pii_id"), "spans").dropDuplicates(["pii_id"])
+    spans = find_pii(docs, id_col=id_col, text_col=text_col, **parameters).where("size(spans) > 0").select(F.col(id_col).alias("__pii_id"), F.col("spans").alias("__pii_spans")).dropDuplicates(["__pii_id"])
     # overlapping base spans of different kinds are taken together
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    ordered = F.array_sort(F.transform("__pii_spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     text = F.col(text_col).cast("string")
     step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["stop"]).alias("at"))).otherwise(F.struct(
         F.concat(acc["out"], F.array(F.substring(text, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"), s["stop"].alias("at")))
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("bigint").alias("at"))
     clean = F.aggregate(ordered, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"].cast("int") + 1, F.length(text))))
-    joined = docs.join(spans, docs[id_col] == F.col("pii_id"), "left")
-    return joined.withColumn(text_col, F.when(F.col("spans").isNull(), text).otherwise(clean)).select(*docs.columns)
+    joined = docs.join(spans, docs[id_col].eqNullSafe(F.col("__pii_id")), "left")
+    return joined.withColumn(text_col, F.when(F.col("__pii_spans").isNull(), text).otherwise(clean)).select(*docs.columns)

@@ -18,7 +18,8 @@ windows counted within their row, and only counts are shuffled.
 Defined results: null and empty texts have no words and fail the base rule; a
 null stratum is one of its own; a document with several labels is good only if
 all say so; labels that are null or of unknown documents count for nothing; no
-labels: no cutoffs; repeated document rows each count; other columns stay.
+labels: no cutoffs; repeated document rows each count; other columns stay,
+except those named like one that is added.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ GRID = {
     "upper_share": [0.1, 0.2, 0.3, 0.5, 0.7, 0.9],
     "exclamations_per_word": [0.05, 0.1, 0.2, 0.3, 0.5, 0.8],
 }
+MEASURES = ["q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words"]
+#: columns that are added; those of the documents with such names are replaced
+ADDED = frozenset([*MEASURES, *GRID, "q_base_failed", "q_failed", "q_kept", "q_stratum", "q_n_good", *[f"cut_{r}" for r in GRID]])
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -55,7 +59,7 @@ def features(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     Write the result before filtering by it: a filter that is pushed down repeats these expressions for every word.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text.alias("t"))
+    kept = docs.select(F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ADDED]).alias("doc"), text.alias("t"))
     d = kept.withColumns({
         "words": F.when(F.btrim("t", F.lit(SPACE)) == "", F.array().cast("array<string>")).otherwise(F.split(F.btrim("t", F.lit(SPACE)), SPACES)),
         "lines": F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")})
@@ -78,7 +82,7 @@ def features(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("q_n_dup_lines"), covered.alias("q_n_repeat_words"),
                  F.size("lines").alias("n_lines"), _count(F.col("t"), "A-Z").alias("n_upper"), _count(F.col("t"), "!").alias("n_bang"))
     share = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    return d.select("doc.*", "q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words",
+    return d.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c not in ADDED], "q_n_words", "q_word_chars", "q_n_symbols", "q_n_dup_lines", "q_n_repeat_words",
                     share("q_n_symbols", "q_n_words").alias("symbols_per_word"), share("q_n_dup_lines", "n_lines").alias("dup_line_share"),
                     share("q_n_repeat_words", "q_n_words").alias("repeat_share"), share("q_word_chars", "q_n_words").alias("mean_word_chars"),
                     share("n_upper", "q_word_chars").alias("upper_share"), share("n_bang", "q_n_words").alias("exclamations_per_word"))
@@ -89,11 +93,11 @@ def _stratum(column: str | None) -> Column:
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", stratum_col: str | None = "lang", label_col: str = "quality", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """(stratum, a cutoff for each rule or null, n_good) from features and labels."""
+    """(q_stratum, a cutoff for each rule or null, q_n_good) from features and labels."""
     good = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("good"))
-    rules = measured.select(F.col(id_col).alias("id"), _stratum(stratum_col).alias("stratum"), *GRID)
+    rules = measured.select(F.col(id_col).alias("id"), _stratum(stratum_col).alias("q_stratum"), *GRID)
     above = {f"{r}_{i}_{g}": F.sum(((F.col(r) > c) & (F.col("good") == g)).cast("long")).cast("double") for r, cuts in GRID.items() for i, c in enumerate(cuts) for g in (0, 1)}
-    counts = materialise(rules.join(good, "id").groupBy("stratum").agg(F.sum((F.col("good") == 1).cast("long")).cast("double").alias("n_good"), *[v.alias(k) for k, v in above.items()]))
+    counts = materialise(rules.join(good, "id").groupBy("q_stratum").agg(F.sum((F.col("good") == 1).cast("long")).cast("double").alias("q_n_good"), *[v.alias(k) for k, v in above.items()]))
     tests = sum(map(len, GRID.values())) * max(counts.count(), 1)
     each = alpha / len(GRID)
 
@@ -102,17 +106,17 @@ def calibrate(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
         choices = []
         for i, c in enumerate(GRID[rule]):
             k, gain = F.col(f"{rule}_{i}_1"), F.col(f"{rule}_{i}_0") - F.col(f"{rule}_{i}_1")
-            safe = (k < F.col("n_good") * each) & (gain > 0) & (binomial_lower_tail(k, F.col("n_good"), each) <= delta / tests)
+            safe = (k < F.col("q_n_good") * each) & (gain > 0) & (binomial_lower_tail(k, F.col("q_n_good"), each) <= delta / tests)
             choices.append(F.when(safe, F.struct(gain.alias("gain"), F.lit(c).alias("cutoff"))))
         return F.array_max(F.array(*choices))["cutoff"]
 
-    return materialise(counts.select("stratum", "n_good", *[best_safe(r).alias(f"cut_{r}") for r in GRID]))
+    return materialise(counts.select("q_stratum", "q_n_good", *[best_safe(r).alias(f"cut_{r}") for r in GRID]))
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, *, stratum_col: str | None = "lang") -> DataFrame:
     """``measured`` with q_base_failed, q_failed (names of the rules that reject) and q_kept."""
     base = (F.col("q_n_words") < 50) | (100 * F.col("q_n_repeat_words") > 50 * F.col("q_n_words"))
     failed = F.filter(F.array(*[F.when(F.col(r) > F.col(f"cut_{r}"), F.lit(r)) for r in GRID]), lambda x: x.isNotNull())
-    joined = measured.withColumn("stratum", _stratum(stratum_col)).join(cutoffs, "stratum", "left")
+    joined = measured.withColumn("q_stratum", _stratum(stratum_col)).join(cutoffs, "q_stratum", "left")
     out = joined.withColumns({"q_base_failed": base, "q_failed": failed})
-    return out.withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0)).drop("stratum", "n_good", *[f"cut_{r}" for r in GRID])
+    return out.withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0)).drop("q_stratum", "q_n_good", *[f"cut_{r}" for r in GRID])
