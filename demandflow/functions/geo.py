@@ -3,8 +3,8 @@
 G1 is a native column expression: each base-32 character contributes five
 bits, interleaved longitude-first. A character at an even position gives its
 bits 4,2,0 to longitude and 3,1 to latitude; at an odd position the roles
-swap. Folding those bit groups into two integers gives the cell indices, and
-the cell centre follows in closed form. No Python runs per row.
+swap. Folding those bit groups into a corner and a size gives the cell, and the
+cell centre follows. No Python runs per row.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 # Fixed value: the geohash base-32 alphabet.
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
-MAX_DECODE_CHARS = 12  # 30 bits per axis; doubles stay exact
 
 
 def _c(c: str | Column) -> Column:
@@ -36,32 +35,32 @@ def _two(code: Column) -> Column:
 
 
 def decode_geohash(gh: str | Column = "geohash") -> tuple[Column, Column]:
-    """G1: (latitude, longitude) of the cell centre; '' -> (0, 0); null or >12 chars -> null.
+    """G1: (latitude, longitude) of the cell centre; '' -> (0, 0); null -> null; codes of any length.
 
     Characters become 0..31 codes (unknown ones 0); one ``aggregate`` folds
-    them into the two cell indices; the centre follows in closed form. The
-    expression has constant size whatever the code length.
+    them into the cell's corner and size as shares of the axes, exact in
+    doubles while they have the bits and converging beyond. The expression has
+    constant size whatever the code length.
     """
     s = _c(gh)
     n = F.length(s)
     chars = F.split(s, "")
     codes = F.transform(chars, lambda ch: F.greatest(F.instr(F.lit(BASE32), ch) - 1, F.lit(0)).cast("long"))
-    start = F.struct(F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("la"))
+    start = F.struct(*[F.lit(v).alias(k) for k, v in (("lo", 0.0), ("la", 0.0), ("lo_size", 1.0), ("la_size", 1.0))])
 
     def step(acc: Column, j: Column) -> Column:
         c = F.element_at(codes, j + 1)
         even = (j % 2) == 0
+        lo_size, la_size = acc["lo_size"] / F.when(even, 8).otherwise(4), acc["la_size"] / F.when(even, 4).otherwise(8)
         return F.struct(
-            F.when(even, acc["lo"] * 8 + _three(c)).otherwise(acc["lo"] * 4 + _two(c)).alias("lo"),
-            F.when(even, acc["la"] * 4 + _two(c)).otherwise(acc["la"] * 8 + _three(c)).alias("la"))
+            (acc["lo"] + F.when(even, _three(c)).otherwise(_two(c)) * lo_size).alias("lo"),
+            (acc["la"] + F.when(even, _two(c)).otherwise(_three(c)) * la_size).alias("la"),
+            lo_size.alias("lo_size"), la_size.alias("la_size"))
 
     idx = F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), start,
                       lambda acc, j: F.when(n > j, step(acc, j)).otherwise(acc))
-    lon_bits = F.ceil(n * 5 / 2)
-    lat_bits = F.floor(n * 5 / 2)
-    ok = s.isNotNull() & (n <= MAX_DECODE_CHARS)
-    lat = F.when(ok, (idx["la"] + 0.5) * 180.0 / F.pow(F.lit(2.0), lat_bits) - 90.0)
-    lon = F.when(ok, (idx["lo"] + 0.5) * 360.0 / F.pow(F.lit(2.0), lon_bits) - 180.0)
+    lat = F.when(s.isNotNull(), (idx["la"] + 0.5 * idx["la_size"]) * 180.0 - 90.0)
+    lon = F.when(s.isNotNull(), (idx["lo"] + 0.5 * idx["lo_size"]) * 360.0 - 180.0)
     return lat, lon
 
 

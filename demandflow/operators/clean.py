@@ -69,8 +69,9 @@ def impute(df: DataFrame, st: TrainStats, fill_lanes: bool = True) -> DataFrame:
         "RoadType": F.coalesce(F.col("RoadType"), F.lit(st.road_mode).cast("string")),
         "Weather": F.coalesce(F.col("Weather"), F.lit(st.weather_mode).cast("string")),
     }
-    if fill_lanes and st.lanes_nulls > 0:
-        cols["NumberofLanes"] = F.coalesce(F.col("NumberofLanes"), F.lit(st.lanes_median).cast("int"))
+    if fill_lanes:  # a double column whatever the data, as a median may lie between two counts
+        lanes = F.col("NumberofLanes").cast("double")
+        cols["NumberofLanes"] = lanes if st.lanes_nulls == 0 else F.coalesce(lanes, F.lit(st.lanes_median).cast("double"))
     return df.withColumns(cols)
 
 
@@ -84,11 +85,6 @@ def clip_column(df: DataFrame, col: str, lo: float | None, hi: float | None) ->
     return df.withColumn(col, F.when(F.col(col).isNull(), None).otherwise(c))
 
 
-def clip_at_zero(col: str = "prediction"):
-    """F7."""
-    return F.greatest(F.col(col), F.lit(0.0))
-
-
 def leak_frame(history_t: DataFrame, future_t: DataFrame) -> DataFrame:
     """K14 as data: (train_max, test_min, no_overlap)."""
     tmax = history_t.agg(F.max("time_order").alias("train_max"))

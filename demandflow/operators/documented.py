@@ -53,14 +53,10 @@ def rolling_previous(df: DataFrame, value: str = "demand", part: str = "geohash"
                      order: tuple[str, ...] = ("time_order", "Index"), k: int = 3) -> DataFrame:
     """Mean and sample std of the ``k`` previous rows of the same ``part``."""
     ranked = rank_within(df, part, chunk, list(order))
-    sends = ranked.select(part, F.col(value).cast("decimal(20,8)").alias("_x"),
+    sends = ranked.select(part, F.col(value).alias("_x"),
                           F.explode(F.sequence(F.col("_rank") + 1, F.col("_rank") + k)).alias("_to"))
-    frame = sends.groupBy(part, "_to").agg(F.sum("_x").alias("_s"), F.sum(F.col("_x") * F.col("_x")).alias("_ss"),
-                                          F.count(F.lit(1)).alias("_n"))
-    s_, ss_ = F.col("_s").cast("double"), F.col("_ss").cast("double")
-    var = F.greatest((ss_ - s_ * s_ / F.col("_n")) / (F.col("_n") - 1), F.lit(0.0))
-    stats = frame.select(part, F.col("_to").alias("_rank"), (s_ / F.col("_n")).alias(f"rolling_mean_{k}"),
-                         F.when(F.col("_n") > 1, F.sqrt(var)).alias(f"rolling_std_{k}"))
+    stats = sends.groupBy(part, F.col("_to").alias("_rank")).agg(F.avg("_x").alias(f"rolling_mean_{k}"),
+                                                                F.stddev_samp("_x").alias(f"rolling_std_{k}"))
     return ranked.join(stats, [part, "_rank"], "left").drop("_rank")
 
 

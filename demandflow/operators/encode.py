@@ -54,13 +54,22 @@ def fold_stats(history: DataFrame, keys: Sequence[str], target: str = "demand",
                fold: str = "fold") -> DataFrame:
     """Per (key, fold): target sum and row count (map-side combined)."""
     return history.groupBy(*keys, fold).agg(F.sum(F.col(target).cast("decimal(38,12)")).alias("_fs"),
-                                            F.count(F.lit(1)).alias("_fn"))
+                                            F.count(target).alias("_fn"))
+
+
+def _parts(keys: Sequence[str]) -> dict:
+    """Columns to join on: a single key itself (null: no encoding), texts for a composite key (null part: 'nan')."""
+    return {f"_key{i}": F.col(k) if len(keys) == 1 else F.coalesce(F.col(k).cast("string"), F.lit("nan")) for i, k in enumerate(keys)}
 
 
 def encoding_lookups(source: DataFrame, keys: Sequence[str], name: str, smoothing: float, g: float,
                      target: str = "demand", fold: str = "fold") -> tuple[DataFrame, DataFrame]:
-    """(out-of-fold table on keys+fold, full table on keys), value column ``name``."""
-    keys = list(keys)
+    """(out-of-fold table on the keys' ``_parts`` and fold, full table on the parts), value column ``name``.
+
+    Rows with a null target count for nothing; null single keys have no entry.
+    """
+    parts = _parts(keys)
+    source, keys = source.withColumns(parts), list(parts)
     m, gl = float(smoothing), F.lit(float(g))
     per_fold = fold_stats(source, keys, target, fold)
     totals = per_fold.groupBy(*keys).agg(F.sum("_fs").alias("_ks"), F.sum("_fn").alias("_kn"))
@@ -83,9 +92,11 @@ def target_encode(history: DataFrame, future: DataFrame | None, keys: Sequence[s
     aggregate reads the base, not the growing chain of joins. ``key_bound``
     is an upper bound on the number of distinct keys, if known.
     """
-    keys = list(keys)
     oof, full = encoding_lookups(source if source is not None else history, keys, name, smoothing, g,
                                  target, fold)
+    parts = _parts(keys)
+    history, keys = history.withColumns(parts), list(parts)
+    future = None if future is None else future.withColumns(parts)
     oof_bound = None if key_bound is None else key_bound * N_FOLDS
     hist_out = history.join(checked_broadcast(oof, bound=oof_bound), [*keys, fold], "left")
     fut_out = None if future is None else future.join(checked_broadcast(full, bound=key_bound), keys, "left")
@@ -93,7 +104,7 @@ def target_encode(history: DataFrame, future: DataFrame | None, keys: Sequence[s
         hist_out = hist_out.withColumn(name, F.coalesce(F.col(name), F.lit(float(g))))
         if fut_out is not None:
             fut_out = fut_out.withColumn(name, F.coalesce(F.col(name), F.lit(float(g))))
-    return hist_out, fut_out
+    return hist_out.drop(*parts), None if fut_out is None else fut_out.drop(*parts)
 
 
 # Key sets and smoothing strengths of the two variants.
@@ -122,8 +133,8 @@ V2_ENCODINGS = [
 
 
 def _key_array(keys: Sequence[str]):
-    """A key set as one comparable value (array of texts); a null part never matches."""
-    return F.array(*[F.col(k).cast("string") for k in keys])
+    """A key set as one comparable value, an array of the texts of its ``_parts``; a null single key is left out of the tables."""
+    return F.array(*[p.cast("string") for p in _parts(keys).values()])
 
 
 def encoding_tables(base: DataFrame, spec, target: str = "demand", fold: str = "fold"):
@@ -133,19 +144,22 @@ def encoding_tables(base: DataFrame, spec, target: str = "demand", fold: str = "
     per-key totals come from that small table. Returns (oof, full, info):
     oof on (enc, key, fold) and full on (enc, key), both with ``value``
     still to be formed, plus one job's worth of scalars: lookup row count,
-    history row count and the exact global target mean.
+    history row count and the exact global target mean (encoding id -1 holds all rows).
     """
     entries = [F.struct(F.lit(i).alias("enc"), _key_array(keys).alias("key")) for i, (_, keys, _) in enumerate(spec)]
+    entries.append(F.struct(F.lit(-1).alias("enc"), F.array(F.lit("")).alias("key")))
     long = base.select(F.col(fold), F.col(target).cast("decimal(38,12)").alias("_y"),
-                       F.explode(F.array(*entries)).alias("_e")).select("_e.enc", "_e.key", fold, "_y")
-    per_fold = long.groupBy("enc", "key", fold).agg(F.sum("_y").alias("_fs"), F.count(F.lit(1)).alias("_fn")) \
-                   .persist()
+                       F.explode(F.array(*entries)).alias("_e")).select("_e.enc", "_e.key", fold, "_y") \
+               .where(F.get("key", F.lit(0)).isNotNull())
+    per_fold = long.groupBy("enc", "key", fold).agg(F.sum("_y").alias("_fs"), F.count("_y").alias("_fn"),
+                                                    F.count(F.lit(1)).alias("_fr")).persist()
     info = scalar_row(per_fold.agg(
         F.count(F.lit(1)).alias("lookup_rows"),
-        F.sum(F.when(F.col("enc") == 0, F.col("_fs"))).alias("_sum0"),
-        F.sum(F.when(F.col("enc") == 0, F.col("_fn"))).alias("rows")))
+        F.sum(F.when(F.col("enc") == -1, F.col("_fs"))).alias("_sum"),
+        F.sum(F.when(F.col("enc") == -1, F.col("_fn"))).alias("_targets"),
+        F.sum(F.when(F.col("enc") == -1, F.col("_fr"))).alias("rows")))
     totals = per_fold.groupBy("enc", "key").agg(F.sum("_fs").alias("_ks"), F.sum("_fn").alias("_kn"))
-    g = float(info["_sum0"]) / int(info["rows"])
+    g = float(info["_sum"]) / int(info["_targets"])
     return per_fold, totals, {"lookup_rows": int(info["lookup_rows"]), "rows": int(info["rows"]), "mean": g}
 
 

@@ -22,7 +22,6 @@ from demandflow.operators.stats import checked_broadcast, exact_avg, exact_quant
 
 # The seed list and the blend weights of the two variants.
 SEEDS = [42, 123, 456, 789, 2024]
-DEFAULT_WEIGHTS_V1 = {"catboost": 0.45, "lightgbm": 0.30, "xgboost": 0.25}
 FIXED_WEIGHTS_V2 = {"catboost": 0.55, "lightgbm": 0.25, "xgboost": 0.20}
 
 # Stand-in predictors: (model name, key columns, smoothing).

@@ -20,7 +20,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64  # fine-key ranges for ordered_row_number
 VALUES_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 16384
 BROADCAST_MAX_ROWS = 2_000_000
@@ -182,10 +181,6 @@ def column_quantiles(df: DataFrame, spec: dict[str, Sequence[float]],
     return out
 
 
-def exact_median(df: DataFrame, value: str, name: str = "median", by: Sequence[str] = ()) -> DataFrame:
-    return exact_quantiles(df, value, [0.5], [name], by)
-
-
 def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = ()) -> DataFrame:
     """Most frequent non-null ``value`` per group of ``by``; ties to the smallest value."""
     by = list(by)

@@ -85,12 +85,6 @@ def clean(history: DataFrame, future: DataFrame, variant: str = "v2",
     return Cleaned(h, f, st, center)
 
 
-def city_center(history: DataFrame) -> tuple[float, float]:
-    """Exact medians of history latitude and longitude (over rows)."""
-    q = column_quantiles(history, {"latitude": [0.5], "longitude": [0.5]})
-    return q["latitude"][0], q["longitude"][0]
-
-
 def row_features(df: DataFrame, center: tuple[float, float], variant: str,
                  decoded: DataFrame | None = None) -> DataFrame:
     """Geo, cyclical, flags, interactions: per-row expressions (plus the G2 lookup join)."""
@@ -126,13 +120,6 @@ def build_features(history: DataFrame, future: DataFrame, variant: str = "v2",
             f_e.select(*column_order(variant, "future")))
 
 
-def model_columns(df: DataFrame) -> list[str]:
+def model_columns(columns: list[str]) -> list[str]:
     """Every column but Index, timestamp, demand, day."""
-    return [c for c in df.columns if c not in ("Index", "timestamp", "demand", "day", "fold")]
-
-
-def feature_table(history: DataFrame, future: DataFrame, variant: str = "v2") -> DataFrame:
-    """Both sides in one frame with a ``side`` column (for one registered query)."""
-    h, f = build_features(history, future, variant)
-    return (h.withColumn("side", F.lit("history"))
-             .unionByName(f.withColumn("side", F.lit("future")), allowMissingColumns=True))
+    return [c for c in columns if c not in ("Index", "timestamp", "demand", "day", "fold")]

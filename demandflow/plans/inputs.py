@@ -62,5 +62,5 @@ def features(spark, sf, variant: str = "v2") -> tuple[DataFrame, DataFrame]:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (never a machine-local temp dir)."""
+    """A fresh path under the shared checkpoint folder (see ``checkpoint_dir``)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/demandflow-io/{uuid.uuid4().hex}/{name}"

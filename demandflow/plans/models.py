@@ -9,8 +9,8 @@ re-aimed at distributed MLlib estimators with the same roles:
 * M3 ``random_forest``: level-wise trees, on label codes.
 
 MLlib refuses NaN features, so the lag gets -1 plus a ``lag_missing`` flag.
-Categorical columns with more levels than ``MAX_NOMINAL_LEVELS`` enter as
-ordinal codes instead (MLlib needs maxBins above the level count).
+Which categories are nominal is the caller's choice, never the data's;
+maxBins follows from the fitted indexer's exact level counts.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from demandflow.operators.encode import CATEGORY_COLUMNS, label_encode
 from demandflow.operators.score import SEEDS, score
 from demandflow.operators.stats import scalar_row
 
-MAX_NOMINAL_LEVELS = 1024
 DROP = ("Index", "timestamp", "demand", "day", "fold", "block", "side")
 
 
@@ -47,11 +46,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in DROP and c not in CATEGORY_COLUMNS]
 
 
-def category_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    r = scalar_row(df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]))
-    return {c: int(r[c]) for c in cols}
-
-
 def estimator(kind: str, seed: int = 42, max_iter: int = 10, max_bins: int = 32, **params):
     """M1-M3 estimators with the label column ``demand``."""
     common = dict(featuresCol="features", labelCol="demand", predictionCol="prediction", seed=seed)
@@ -68,17 +62,17 @@ def estimator(kind: str, seed: int = 42, max_iter: int = 10, max_bins: int = 32,
     raise ValueError(kind)
 
 
-def build_pipeline(kind: str, history: DataFrame, seed: int = 42, max_iter: int = 10, **params) -> Pipeline:
-    """M1 indexes low-cardinality categories as nominal features; M2/M3 take label codes."""
+def build_pipeline(kind: str, history: DataFrame, seed: int = 42, max_iter: int = 10,
+                   nominal: Sequence[str] = tuple(CATEGORY_COLUMNS), **params) -> Pipeline:
+    """M1 indexes the ``nominal`` categories (default: all) as nominal features; M2/M3 take label codes."""
     num = numeric_columns(history)
     if kind == "gbt_categorical":
-        levels = category_levels(history, CATEGORY_COLUMNS)
-        nominal = [c for c in CATEGORY_COLUMNS if levels[c] <= MAX_NOMINAL_LEVELS]
+        nominal = list(nominal)
         ordinal = [c for c in CATEGORY_COLUMNS if c not in nominal]
-        idx = StringIndexer(inputCols=nominal, outputCols=[f"{c}_idx" for c in nominal], handleInvalid="keep")
+        idx = StringIndexer(inputCols=nominal, outputCols=[f"{c}_idx" for c in nominal], handleInvalid="keep").fit(history)
         asm = VectorAssembler(inputCols=num + [f"{c}_idx" for c in nominal] + [f"{c}_code" for c in ordinal],
                               outputCol="features", handleInvalid="keep")
-        bins = max([32] + [levels[c] + 2 for c in nominal])
+        bins = max([32] + [len(levels) + 1 for levels in idx.labelsArray])  # one more for unseen values
         return Pipeline(stages=[idx, asm, estimator(kind, seed, max_iter, bins, **params)])
     asm = VectorAssembler(inputCols=num + [f"{c}_code" for c in CATEGORY_COLUMNS], outputCol="features",
                           handleInvalid="keep")
@@ -155,7 +149,7 @@ def rescale_params(params: DataFrame, iter_factor: float = 2.0, rate_divisor: fl
                                "stepSize": F.col("stepSize") / rate_divisor})
 
 
-def seed_ensemble(kinds: Sequence[str], train: DataFrame, test: DataFrame, n_seeds: int = 2,
+def seed_ensemble(kinds: Sequence[str], train: DataFrame, test: DataFrame, n_seeds: int = len(SEEDS),
                   max_iter: int = 10) -> DataFrame:
     """M9: fit each model once per seed; long table (Index, model, seed, prediction)."""
     out = None

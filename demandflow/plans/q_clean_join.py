@@ -90,8 +90,8 @@ def f6(spark, sf):
 
 
 @query("f8_lanes_fill", oracle(
-    'select "Index", case when lanes_nulls > 0 then coalesce(NumberofLanes, cast(lanes_median as integer)) '
-    "else NumberofLanes end as NumberofLanes from both_sides cross join stats", STATS_CTE))
+    'select "Index", case when lanes_nulls > 0 then coalesce(NumberofLanes, lanes_median) '
+    "else cast(NumberofLanes as double) end as NumberofLanes from both_sides cross join stats", STATS_CTE))
 def f8(spark, sf):
     c = I.cleaned(spark, sf, "v1")
     return c.history.select("Index", "NumberofLanes").unionByName(c.future.select("Index", "NumberofLanes"))
@@ -180,15 +180,15 @@ def j4(spark, sf):
 @query("j7_unseen_keys", oracle(
     "select distinct geohash from future f where not exists (select 1 from history h where h.geohash = f.geohash)"))
 def j7(spark, sf):
-    return I.future(spark, sf).select("geohash").join(I.history(spark, sf).select("geohash"), "geohash",
-                                                      "left_anti").distinct()
+    return I.future(spark, sf).select("geohash").distinct().join(I.history(spark, sf).select("geohash").distinct(),
+                                                                 "geohash", "left_anti")
 
 
 @query("j8_seen_keys", oracle(
     "select distinct geohash from future f where exists (select 1 from history h where h.geohash = f.geohash)"))
 def j8(spark, sf):
-    return I.future(spark, sf).select("geohash").join(I.history(spark, sf).select("geohash"), "geohash",
-                                                      "left_semi").distinct()
+    return I.future(spark, sf).select("geohash").distinct().join(I.history(spark, sf).select("geohash").distinct(),
+                                                                 "geohash", "left_semi")
 
 
 @query("k14_leak_check", oracle(

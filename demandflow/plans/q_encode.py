@@ -11,6 +11,7 @@ from demandflow.operators import encode as E
 from demandflow.operators import score as S
 from demandflow.operators.split import time_blocks
 from demandflow.plans import inputs as I
+from demandflow.plans.features import column_order, model_columns
 
 from demandflow.plans.registry import context, query, rnd, sql_rnd
 from demandflow.plans.sql_features import feature_sql
@@ -107,8 +108,7 @@ _sql, _fn = _feature_query("v1", ["Index", "side"] + [n for n, _, _ in E.V1_ENCO
 query("k5_v1_encodings", _sql)(_fn)
 _sql, _fn = _feature_query("v2", ["Index", "side"] + [n for n, _, _ in E.V2_ENCODINGS])
 query("k6_v2_encodings", _sql)(_fn)
-_V2_MODEL_COLS = [c for c in __import__("demandflow.plans.features", fromlist=["column_order"]).column_order(
-    "v2", "history") if c not in ("Index", "timestamp", "demand", "day")]
+_V2_MODEL_COLS = model_columns(column_order("v2", "history"))
 _sql, _fn = _feature_query("v2", _V2_MODEL_COLS)
 query("c24_feature_select", _sql)(_fn)
 

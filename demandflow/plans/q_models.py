@@ -1,7 +1,7 @@
 """Registered queries: MLlib model jobs (M1-M11), rows-only (tree fits have no SQL twin).
 
-Sizes are kept small (few trees) so the registered checks stay quick; the
-same functions take production settings.
+``TREES``, ``CV_TREES`` and ``TRIALS`` are the queries' model sizes; all seeds,
+folds and rows are used, and the functions take other sizes.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from demandflow.plans import models as M
 from demandflow.plans.registry import context, query
 from demandflow.session import cut_lineage
 
+TREES, CV_TREES, TRIALS = 8, 5, 2
+
 
 def _data(spark, sf):
     def build():
@@ -28,7 +30,7 @@ def _data(spark, sf):
 def _predict(kind):
     def fn(spark, sf):
         h, f = _data(spark, sf)
-        return M.fit_predict(kind, h, f, 42, 8)
+        return M.fit_predict(kind, h, f, 42, TREES)
     return fn
 
 
@@ -48,39 +50,39 @@ def m4(spark, sf):
 @query("m5_cv_rmse")
 def m5(spark, sf):
     h, _ = _data(spark, sf)
-    return M.cross_validate("gbt_categorical", h, 3, 42, 5).groupBy("model").agg(F.avg("rmse").alias("rmse"))
+    return M.cross_validate("gbt_categorical", h, 3, 42, CV_TREES).groupBy("model").agg(F.avg("rmse").alias("rmse"))
 
 
 @query("m6_cv_r2_rmse")
 def m6(spark, sf):
     h, _ = _data(spark, sf)
-    return S.cv_summary(M.cross_validate("random_forest", h, 3, 42, 5))
+    return S.cv_summary(M.cross_validate("random_forest", h, 3, 42, CV_TREES))
 
 
 @query("m7_cv_report")
 def m7(spark, sf):
     h, _ = _data(spark, sf)
-    return M.cross_validate("gbt_deep", h, 3, 42, 5).select(
+    return M.cross_validate("gbt_deep", h, 3, 42, CV_TREES).select(
         "model", "fold", "rmse", "r2", S.display_score().alias("shown"))
 
 
 @query("m8_param_search")
 def m8(spark, sf):
     h, _ = _data(spark, sf)
-    return M.parameter_search(spark, "gbt_categorical", h, n_trials=2).orderBy("rmse")
+    return M.parameter_search(spark, "gbt_categorical", h, n_trials=TRIALS).orderBy("rmse")
 
 
 @query("m10_param_rescale")
 def m10(spark, sf):
     h, _ = _data(spark, sf)
-    best = M.parameter_search(spark, "gbt_deep", h, n_trials=1).orderBy("rmse").limit(1)
+    best = M.parameter_search(spark, "gbt_deep", h, n_trials=TRIALS).orderBy("rmse").limit(1)
     return M.rescale_params(best, 2.0, 2.0)
 
 
 @query("m9_seed_ensemble")
 def m9(spark, sf):
     h, f = _data(spark, sf)
-    preds = M.seed_ensemble(["gbt_categorical", "gbt_deep", "random_forest"], h, f, n_seeds=2, max_iter=5)
+    preds = M.seed_ensemble(["gbt_categorical", "gbt_deep", "random_forest"], h, f, max_iter=CV_TREES)
     avg = S.seed_average(preds)
     weights = S.weights_frame(spark, {"gbt_categorical": S.FIXED_WEIGHTS_V2["catboost"],
                                       "gbt_deep": S.FIXED_WEIGHTS_V2["lightgbm"],
@@ -91,4 +93,4 @@ def m9(spark, sf):
 @query("m11_predict")
 def m11(spark, sf):
     h, f = _data(spark, sf)
-    return M.fit_predict("gbt_categorical", h.where(F.col("block") < 2), h.where(F.col("block") == 2), 42, 5)
+    return M.fit_predict("gbt_categorical", h, f, 42, CV_TREES)

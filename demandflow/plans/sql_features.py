@@ -27,8 +27,8 @@ def feature_sql(variant: str) -> tuple[str, str]:
     spec = V1_ENCODINGS if v1 else V2_ENCODINGS
     low, peak = ("is_low_demand_window", "is_peak_window") if v1 else ("is_low_demand", "is_peak")
     demand = "least(greatest(demand, demand_lo), demand_hi)" if v1 else "demand"
-    lanes = ("case when lanes_nulls > 0 then coalesce(NumberofLanes, cast(lanes_median as integer)) "
-             "else NumberofLanes end") if v1 else "NumberofLanes"
+    lanes = ("case when lanes_nulls > 0 then coalesce(NumberofLanes, lanes_median) "
+             "else cast(NumberofLanes as double) end") if v1 else "NumberofLanes"
     ctes = [f"""stats as (select
   (select quantile_cont(Temperature, 0.5) from history) as temp_median,
   (select RoadType from (select RoadType, count(*) as n from history where RoadType is not null group by 1)

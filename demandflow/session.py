@@ -1,13 +1,13 @@
 """Session construction and lineage cutting.
 
 On a cluster the session is created by the platform; ``checkpoint_dir``
-reads ``spark.checkpoint.dir`` from it. Only when that setting is absent
-(local tests) do we pick a scratch directory ourselves.
+reads ``spark.checkpoint.dir`` from it. Only on a local master without that
+setting (tests, bench) do we pick a scratch directory ourselves; on a cluster
+its absence is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +36,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch one only if unset."""
+    """Shared checkpoint folder named by the cluster; a scratch one only on a local master that names none."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="demandflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -53,9 +55,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -59,7 +59,3 @@ def params_or_compute(spark: SparkSession, path: str, compute, schema: T.StructT
     df = compute()
     write_params(df, path)
     return read_params(spark, path, schema or df.schema)
-
-
-def layout_matches(df: DataFrame, schema: T.StructType) -> bool:
-    return [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]

@@ -9,22 +9,11 @@ from pyspark.sql import functions as F
 from demandflow.functions import geo, interact, timefeat
 
 
-def halving_decode(code):
-    """Reference-free restatement of geohash decoding: halve the intervals bit by bit."""
-    lat, lon = [-90.0, 90.0], [-180.0, 180.0]
-    even = True
-    for ch in code:
-        v = geo.BASE32.find(ch)
-        v = 0 if v < 0 else v
-        for shift in (4, 3, 2, 1, 0):
-            iv = lon if even else lat
-            mid = (iv[0] + iv[1]) / 2
-            if (v >> shift) & 1:
-                iv[0] = mid
-            else:
-                iv[1] = mid
-            even = not even
-    return (lat[0] + lat[1]) / 2, (lon[0] + lon[1]) / 2
+def encode(lat, lon, size):
+    """Geohash of a point: the bits of its place along each axis, longitude first, five to a character."""
+    bits = [[int((v + half) / (2 * half) * 2**40) >> (39 - i) & 1 for i in range(40)] for v, half in ((lon, 180), (lat, 90))]
+    mixed = [b for pair in zip(*bits) for b in pair][:5 * size]
+    return "".join(geo.BASE32[int("".join(map(str, mixed[i:i + 5])), 2)] for i in range(0, 5 * size, 5))
 
 
 def test_parse_time_edges(spark):
@@ -56,16 +45,26 @@ def test_geohash_special_values(spark):
     assert got[None] == (None, None)
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000))
-def test_geohash_matches_halving(spark, seed):
+@settings(max_examples=15, deadline=None)
+@given(st.integers(0, 10_000))
+def test_geohash_decode_of_encoded_points(spark, seed):
     rnd = random.Random(seed)
-    alphabet = geo.BASE32 + "ailo"
-    codes = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(200)]
-    df = spark.createDataFrame([(c,) for c in codes], "g string")
+    points = [(rnd.uniform(-89.9, 89.9), rnd.uniform(-179.9, 179.9), rnd.randint(1, 15)) for _ in range(100)]
+    df = spark.createDataFrame([(encode(*p), *p) for p in points], "g string, y double, x double, n int")
     lat, lon = geo.decode_geohash("g")
-    for r in df.select("g", lat.alias("lat"), lon.alias("lon")).collect():
-        assert (r.lat, r.lon) == halving_decode(r.g)
+    for r in df.select("y", "x", "n", lat.alias("lat"), lon.alias("lon")).collect():
+        # a centre is at most half a cell away; the cell halves once for each bit
+        assert abs(r.lat - r.y) <= 90 / 2 ** (5 * r.n // 2) + 1e-9 and abs(r.lon - r.x) <= 180 / 2 ** ((5 * r.n + 1) // 2) + 1e-9
+
+
+def test_geohash_published_values(spark):
+    rows = [("ezs42", 42.605, -5.603), ("u4pruydqqvj", 57.64911, 10.40744), ("", 0.0, 0.0), ("s", 22.5, 22.5), ("9q8yyk8ytpxr0000", 37.77493, -122.41942)]
+    lat, lon = geo.decode_geohash("g")
+    for r in spark.createDataFrame(rows, "g string, y double, x double").select("g", "y", "x", lat.alias("lat"), lon.alias("lon")).collect():
+        assert abs(r.lat - r.y) < 1e-3 and abs(r.lon - r.x) < 1e-3
+    unknown = spark.createDataFrame([("ai0", "000"), ("slo", "s00")], "g string, same string")
+    lat2, lon2 = geo.decode_geohash("same")
+    assert all((r.lat, r.lon) == (r.lat2, r.lon2) for r in unknown.select(lat.alias("lat"), lon.alias("lon"), lat2.alias("lat2"), lon2.alias("lon2")).collect())
 
 
 def test_null_text_in_interactions(spark):

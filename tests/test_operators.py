@@ -37,15 +37,10 @@ def test_row_number_in_order(spark):
     assert (out["row_num"].to_numpy() == np.arange(500)).all()
 
 
-def oof_loop(pdf, key, m, g, k=5):
-    """Fold-by-fold smoothed means (the straightforward definition)."""
-    out = pd.Series(np.nan, index=pdf.index)
-    for f in range(k):
-        tr, va = pdf[pdf.fold != f], pdf[pdf.fold == f]
-        st = tr.groupby(key)["demand"].agg(["mean", "count"])
-        sm = (st["count"] * st["mean"] + m * g) / (st["count"] + m)
-        out[va.index] = va[key].map(sm).fillna(g).to_numpy()
-    return out
+def left_out_value(rows, row, m, g):
+    """A row's encoding by definition: targets of the same key in the other folds, with m more of value g."""
+    seen = [r["demand"] for r in rows if r["k"] == row["k"] and r["fold"] != row["fold"] and r["demand"] is not None] if row["k"] is not None else []
+    return (sum(seen) + m * g) / (len(seen) + m)
 
 
 def test_oof_closed_form_matches_fold_loop(spark):
@@ -60,7 +55,8 @@ def test_oof_closed_form_matches_fold_loop(spark):
     fut = spark.createDataFrame(pd.DataFrame({"Index": [1000, 1001], "k": ["a", "unseen"]}))
     h, f = E.target_encode(hist, fut, ["k"], "te", 10, g)
     got = h.orderBy("Index").toPandas()["te"].to_numpy()
-    assert np.allclose(got, oof_loop(pdf, "k", 10, g).to_numpy(), rtol=0, atol=1e-12)
+    rows = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
+    assert np.allclose(got, [left_out_value(rows, r, 10, g) for r in rows], rtol=0, atol=1e-12)
     fr = {r.Index: r.te for r in f.collect()}
     st = pdf.groupby("k")["demand"].agg(["sum", "count"])
     assert abs(fr[1000] - (st.loc["a", "sum"] + 10 * g) / (st.loc["a", "count"] + 10)) < 1e-12
@@ -96,3 +92,44 @@ def test_rolling_previous_matches_window(spark):
     prev = s.groupby("geohash")["demand"].transform(lambda x: x.shift(1).rolling(3, min_periods=1).mean())
     exp = prev.reindex(got.index)
     assert np.allclose(got["rolling_mean_3"].to_numpy(dtype=float), exp.to_numpy(dtype=float), equal_nan=True)
+
+
+def test_null_keys_and_targets_agree_in_both_encoders(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(["x", "y", None]), None if i % 11 == 0 else float(rng.random()), i % 5) for i in range(200)]
+    rows = [(i, None if k is None else str(k), None if j is None else str(j), d, f) for i, k, j, d, f in rows]
+    hist = spark.createDataFrame(rows, "Index long, k string, j string, demand double, fold int")
+    fut = hist.select("Index", "k", "j")
+    spec = [("te_k", ["k"], 10), ("te_kj", ["k", "j"], 5)]
+    h, f = E.encode_all(hist, fut, spec)
+    all_h, all_f = {r.Index: r for r in h.collect()}, {r.Index: r for r in f.collect()}
+    known = [d for *_, d, _ in rows if d is not None]
+    g = sum(known) / len(known)
+    for name, keys, m in spec:
+        one, one_f = E.target_encode(hist, fut, keys, name, m, g)
+        one, one_f = {r.Index: r for r in one.collect()}, {r.Index: r for r in one_f.collect()}
+        for i, k, j, _, fold in rows:
+            key = k if len(keys) == 1 else (k or "nan", j or "nan")
+            same = [r for r in rows if (r[1] if len(keys) == 1 else (r[1] or "nan", r[2] or "nan")) == key and key is not None and r[3] is not None]
+            for got, others in ((all_h[i], [r[3] for r in same if r[4] != fold]), (one[i], [r[3] for r in same if r[4] != fold]), (all_f[i], [r[3] for r in same]), (one_f[i], [r[3] for r in same])):
+                assert abs(got[name] - (sum(others) + m * g) / (len(others) + m)) < 1e-9
+
+
+def test_hash_folds_spread_ids(spark):
+    folds = spark.range(5000).select(E.fold_id("id", 5, "hash").alias("f")).groupBy("f").count().collect()
+    assert sorted(r.f for r in folds) == list(range(5)) and all(900 < r["count"] < 1100 for r in folds)
+
+
+def test_rolling_keeps_full_precision(spark):
+    from demandflow.operators.documented import rolling_previous
+    values = [1e-9, 2e-9, 3e-9, 0.0]
+    df = spark.createDataFrame([(i, "a", 1, i, v) for i, v in enumerate(values)], "Index long, geohash string, day int, time_order int, demand double")
+    last = {r.Index: r for r in rolling_previous(df).collect()}[3]
+    assert abs(last.rolling_mean_3 - 2e-9) < 1e-20 and abs(last.rolling_std_3 - 1e-9) < 1e-20
+
+
+def test_lanes_median_may_be_fractional(spark):
+    from demandflow.operators import clean as C
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "NumberofLanes int").selectExpr("NumberofLanes", "1.0D as Temperature", "'r' as RoadType", "'w' as Weather")
+    st = C.TrainStats(1.0, "r", "w", 2.5, 1, 0.0, 1.0, {})
+    assert sorted(r.NumberofLanes for r in C.impute(df, st).collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
