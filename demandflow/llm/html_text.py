@@ -5,8 +5,8 @@ inline ones do not. Scripts, styles, forms, comments in markup and the like
 have no text. Blocks inside navigation, headers, footers, asides, adverts,
 notices and reader comments (by element, role or class) are boilerplate.
 
-First pass, on the other blocks: in a page with an article (or main) element,
-blocks outside it are boilerplate, blocks inside are content; items that are
+First pass, on the other blocks: in a page with an article (a main element, or a
+block that is named content), blocks outside it are boilerplate, blocks inside are content; items that are
 nearly all link text are boilerplate. In a page without one, blocks with a high
 share of link text are boilerplate, and length and stop-word density decide:
 long blocks, and blocks with enough stop words, are content. Headings and
@@ -56,7 +56,9 @@ BOILERPLATE = frozenset("nav aside footer form menu dialog head button fieldset"
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar alert dialog".split())
 HINTS = frozenset("""ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs
  masthead footer cookie cookies consent notice notices alert popup modal overlay comment comments reply replies disqus share sharing social related recommended
- newsletter subscribe signup login widget pagination pager toolbar copyright legal disclaimer""".split())
+ newsletter subscribe signup login widget pagination pager toolbar topbar copyright legal disclaimer gdpr privacy side rail teaser promoted discussion responses respond feedback""".split())
+HINT_STARTS = ("comment", "advert", "sponsor", "cookie", "newsletter", "breadcrumb", "sidebar", "navbar", "navig")
+CONTENT_NAMES = frozenset("content main main-content main_content maincontent article article-body article-content post-content post-body entry-content story story-body".split())
 STOP_WORDS = frozenset("""a about all also an and are as at be because been but by can for from had has have he her his i if in into is it its more no not of on one or our out
  she so some than that the their them then there they this to was we were what when which who will with you your
  der die das den dem des ein eine einer eines einem einen und ist im mit von zu auf für nicht auch sich es an als wie aus bei nach über oder aber wird sind war hat
@@ -82,13 +84,20 @@ def _is_boilerplate(name: str, attrs: str, inside_content: bool) -> bool:
         if kind in ("class", "id"):
             for one in value.split():
                 parts = [p.lower() for p in _PART.findall(one)]
-                if parts and parts[0] not in ("has", "no", "with", "without") and not HINTS.isdisjoint(parts):
+                if parts and parts[0] not in ("has", "no", "with", "without") and any(p in HINTS or p.startswith(HINT_STARTS) for p in parts):
                     return True
                 if "header" in parts and not inside_content and name not in CONTENT:
                     return True
     return False
 
 
+def _is_content(name: str, attrs: str) -> bool:
+    if name in CONTENT:
+        return True
+    values = ("".join(v) for kind, *v in _ATTR.findall(attrs) if kind.lower() in ("class", "id")) if attrs and name in ("div", "section") else ()
+    return any(not CONTENT_NAMES.isdisjoint(v.lower().split()) for v in values)
+
+
 def blocks_of(page: str) -> list[tuple[str, int, str, bool, bool]]:
     """(text, characters of it in links, name of its element, in boilerplate, in an article) of each block in page order."""
     found, text, linked, links, breaks = [], [], 0, 0, 0
@@ -140,7 +149,7 @@ def blocks_of(page: str) -> list[tuple[str, int, str, bool, bool]]:
             own = _is_boilerplate(name, m["attrs"], content)
             if own and not boiler and name not in BLOCKS:
                 flush()
-            stack.append((name, boiler or own, content or name in CONTENT))
+            stack.append((name, boiler or own, content or _is_content(name, m["attrs"])))
     flush()
     return found
 

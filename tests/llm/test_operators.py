@@ -79,6 +79,8 @@ def test_html_blocks():
     assert main_text(page) == "A title\nFirst <b> para & bold x.\nShort.\nitem one\nSee the docs."
     long = "The man and the woman of the house went to the sea. " * 4
     assert main_text(f"<div><a>a</a> <a>b</a></div><h1>Heading</h1><p>{long}</p><p>Short.</p><p>{long}</p><div><a>p</a> <a>q</a></div>") == f"Heading\n{long.strip()}\nShort.\n{long.strip()}"
+    named = f"<div>Top words of the site and of the day</div><div id='content'><p>{long}</p><ol class='commentlist'><li>Nice to see you</li></ol></div><div class='sideBar'>{long}</div>"
+    assert main_text(named) == long.strip()
     for odd, text in (("", ""), (None, ""), ("<p>a < b", "a < b"), ("x<!-- open", "x"), ("<p>x<script>y", "x"), ("<" * 2000, None), ("<a " * 5000, None), ("<p>" * 3000 + "deep", "deep")):
         got = main_text(odd)
         assert text is None or got == text
