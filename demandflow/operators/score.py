@@ -22,6 +22,7 @@ from demandflow.operators.stats import checked_broadcast, exact_avg, exact_quant
 
 # The seed list and the blend weights of the two variants.
 SEEDS = [42, 123, 456, 789, 2024]
+DEFAULT_WEIGHTS_V1 = {"catboost": 0.45, "lightgbm": 0.30, "xgboost": 0.25}
 FIXED_WEIGHTS_V2 = {"catboost": 0.55, "lightgbm": 0.25, "xgboost": 0.20}
 
 # Stand-in predictors: (model name, key columns, smoothing).
@@ -122,13 +123,24 @@ def inverse_rmse_weights(scores: DataFrame) -> DataFrame:
     return inv.crossJoin(F.broadcast(total)).select("model", (F.col("_inv") / F.col("_tot")).alias("weight"))
 
 
-def blend(avg_preds: DataFrame, weights: DataFrame) -> DataFrame:
-    """K13 + F7: sum of weight x prediction per Index, clipped at zero."""
-    return (avg_preds.join(F.broadcast(weights), "model")
+def blend(avg_preds: DataFrame, weights: DataFrame, defaults: dict[str, float] | None = None) -> DataFrame:
+    """K13 + F7: sum of weight x prediction per Index, clipped at zero.
+
+    A model without a saved weight takes its default; without either the job fails.
+    """
+    fallback = [F.element_at(F.create_map(*[F.lit(x) for kv in defaults.items() for x in kv]), F.col("model"))] if defaults else []
+    missing = F.raise_error(F.concat(F.lit("no weight for model "), F.col("model"))).cast("double")
+    weighted = checked_broadcast_join(avg_preds, weights)
+    return (weighted.withColumn("weight", F.coalesce(F.col("weight"), *fallback, missing))
             .groupBy("Index").agg(F.sum(F.col("weight") * F.col("prediction")).alias("_raw"))
             .select("Index", F.greatest(F.col("_raw"), F.lit(0.0)).alias("demand"), F.col("_raw").alias("raw")))
 
 
+def checked_broadcast_join(avg_preds: DataFrame, weights: DataFrame) -> DataFrame:
+    """Every prediction with its model's weight or null; the weight table is broadcast after a row count."""
+    return avg_preds.join(checked_broadcast(weights.select("model", "weight")), "model", "left")
+
+
 def weights_frame(spark, weights: dict[str, float]) -> DataFrame:
     return spark.createDataFrame(list(weights.items()), "model string, weight double")
 

@@ -291,6 +291,29 @@ def k13(spark, sf):
     return _submission(spark, sf).select("Index", rnd("demand").alias("demand"))
 
 
+_DEFAULTS = dict(zip([name for name, _, _ in S.STANDIN_MODELS], S.DEFAULT_WEIGHTS_V1.values()))
+_FIXED = dict(zip([name for name, _, _ in S.STANDIN_MODELS], S.FIXED_WEIGHTS_V2.values()))
+
+
+def _case(weights):
+    return "case model " + " ".join(f"when '{k}' then {float(v)!r}" for k, v in weights.items()) + " end"
+
+
+@query("k13_saved_else_default_blend", oracle(
+    'select "Index", ' + sql_rnd(f"greatest(sum(coalesce(w.weight, {_case(_DEFAULTS)}) * prediction), 0.0)") + " as demand "
+    "from avgp left join (select * from wts where model = 'te_geohash') w using (model) group by \"Index\"", BLEND_CTE))
+def k13_saved(spark, sf):
+    """Only one model has a saved weight; the others take their defaults."""
+    saved = _weights(spark, sf).where("model = 'te_geohash'")
+    return S.blend(_avgp(spark, sf), saved, _DEFAULTS).select("Index", rnd("demand").alias("demand"))
+
+
+@query("k13_fixed_weights_blend", oracle(
+    'select "Index", ' + sql_rnd(f"greatest(sum({_case(_FIXED)} * prediction), 0.0)") + ' as demand from avgp group by "Index"', PRED_CTE))
+def k13_fixed(spark, sf):
+    return S.blend(_avgp(spark, sf), S.weights_frame(spark, _FIXED)).select("Index", rnd("demand").alias("demand"))
+
+
 @query("f7_clip_at_zero", oracle(f'select "Index", {sql_rnd("raw")} as raw, {sql_rnd("demand")} as demand from sub',
                                  BLEND_CTE))
 def f7(spark, sf):
@@ -353,3 +376,29 @@ def s7(spark, sf):
     return df.select("model", rnd("weight").alias("weight"))
 
 
+@query("s7_params_saved", oracle(f"select model, {sql_rnd('weight')} as weight from wts", CV_CTE))
+def s7_saved(spark, sf):
+    """The saved file is there, so nothing is computed."""
+    path = I.scratch(spark, "saved_params.json")
+    files.write_params(_weights(spark, sf), path)
+
+    def never():
+        raise AssertionError("saved parameters were not read")
+    return files.params_or_compute(spark, path, never, WEIGHTS_SCHEMA).select("model", rnd("weight").alias("weight"))
+
+
+DOCUMENT_SCHEMA = "models map<string, struct<rmse: double, r2: double>>, ensemble_weights map<string, double>"
+
+
+@query("s5_nested_params_document", oracle(
+    f"select model, {sql_rnd('rmse')} as rmse, {sql_rnd('r2')} as r2, {sql_rnd('weight')} as weight from cvs join wts using (model)", CV_CTE))
+def s5_document(spark, sf):
+    """One nested document for a run (a record per model, the ensemble weights), written and read back."""
+    path = I.scratch(spark, "run_params.json")
+    both = _cv(spark, sf).join(_weights(spark, sf), "model")
+    files.write_params(both.groupBy().agg(
+        F.map_from_entries(F.collect_list(F.struct("model", F.struct("rmse", "r2")))).alias("models"),
+        F.map_from_entries(F.collect_list(F.struct("model", "weight"))).alias("ensemble_weights")), path)
+    document = spark.read.schema(DOCUMENT_SCHEMA).json(path)
+    return document.select(F.explode("models").alias("model", "scores"), "ensemble_weights").select(
+        "model", rnd("scores.rmse").alias("rmse"), rnd("scores.r2").alias("r2"), rnd(F.col("ensemble_weights")[F.col("model")]).alias("weight"))

@@ -14,6 +14,7 @@ from demandflow.plans import inputs as I
 from demandflow.plans import models as M
 from demandflow.plans.registry import context, query
 from demandflow.session import cut_lineage
+from demandflow.sources.observations import oracle
 
 TREES, CV_TREES, TRIALS = 8, 5, 2
 
@@ -38,6 +39,26 @@ query("m1_gbt_categorical_predict")(_predict("gbt_categorical"))
 query("m2_gbt_deep_predict")(_predict("gbt_deep"))
 query("m3_random_forest_predict")(_predict("random_forest"))
 
+_CHECK = oracle("select count(*) as n_rows, 0 as n_unknown, 0 as n_null, 0 as n_negative, true as beats_mean from history")
+
+
+def _checked(kind):
+    """What must hold of any fitted model on its own rows: one prediction each, no null, none below 0, closer than the mean."""
+    def fn(spark, sf):
+        h, _ = _data(spark, sf)
+        preds = M.fit_predict(kind, h, h, 42, TREES).join(I.history(spark, sf).select("Index", "demand"), "Index", "left")
+        mean = I.history(spark, sf).agg(F.avg("demand").alias("mean"))
+        zero = lambda cond: F.count_if(cond).cast("int")
+        return preds.crossJoin(F.broadcast(mean)).agg(
+            F.count_distinct("Index").alias("n_rows"), zero(F.col("demand").isNull()).alias("n_unknown"), zero(F.col("prediction").isNull()).alias("n_null"),
+            zero(F.col("prediction") < 0).alias("n_negative"),
+            (F.avg(F.pow(F.col("prediction") - F.col("demand"), 2)) < F.avg(F.pow(F.col("mean") - F.col("demand"), 2))).alias("beats_mean"))
+    return fn
+
+
+for _n, _kind in ((1, "gbt_categorical"), (2, "gbt_deep"), (3, "random_forest")):
+    query(f"m{_n}_{_kind}_check", _CHECK)(_checked(_kind))
+
 
 @query("m4_early_stopping")
 def m4(spark, sf):

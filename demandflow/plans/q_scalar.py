@@ -263,6 +263,19 @@ def c19(spark, sf):
         F.concat_ws("_", "geohash", F.col("hour").cast("string")).alias("gh_hour"), "n")
 
 
+def _composite(a, b):
+    def fn(spark, sf):
+        h = I.cleaned(spark, sf, "v2").history.withColumn("geohash_4", geo.geohash_prefix("geohash", 4))
+        return h.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")).select(F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string")).alias("key"), "n")
+    return fn
+
+
+for _name, _a, _b in (("road_hour", "RoadType", "hour"), ("geohash_road", "geohash", "RoadType"), ("geohash4_hour", "geohash_4", "hour")):
+    query(f"c19_{_name}_keys", oracle(
+        f"select cast(a as varchar) || '_' || cast(b as varchar) as key, count(*) as n from "
+        f"(select {_a if _a != 'geohash_4' else 'substr(geohash, 1, 4)'} as a, {_b} as b from inter where side = 'history') group by a, b", CLEAN_CTE))(_composite(_a, _b))
+
+
 @query("c20_log1p_demand", oracle(f'select "Index", {sql_rnd("ln(1 + demand)")} as log1p_demand from history'))
 def c20(spark, sf):
     return I.history(spark, sf).select("Index", rnd(F.log1p("demand")).alias("log1p_demand"))
