@@ -46,20 +46,32 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in DROP and c not in CATEGORY_COLUMNS]
 
 
+#: what each kind starts from, and the ranges its search draws from: (low, high), whole numbers if both are; step sizes
+#: are drawn log-uniformly
+DEFAULTS = {
+    "gbt_categorical": {"maxDepth": 5, "stepSize": 0.1},
+    "gbt_deep": {"maxDepth": 8, "stepSize": 0.1, "subsamplingRate": 0.8},
+    "random_forest": {"maxDepth": 8, "subsamplingRate": 0.8},
+}
+RANGES = {
+    "gbt_categorical": {"maxIter": (5, 15), "maxDepth": (3, 7), "stepSize": (0.02, 0.3), "minInstancesPerNode": (1, 20)},
+    "gbt_deep": {"maxIter": (5, 15), "maxDepth": (4, 9), "stepSize": (0.02, 0.3), "subsamplingRate": (0.6, 1.0), "minInstancesPerNode": (1, 20), "minInfoGain": (0.0, 0.001)},
+    "random_forest": {"maxIter": (5, 15), "maxDepth": (4, 9), "subsamplingRate": (0.6, 1.0), "minInstancesPerNode": (1, 20)},
+}
+#: Factors on the number of trees for the final fit, by variant
+RESCALE = {
+    "v2": {"gbt_categorical": 2.5, "gbt_deep": 2.0, "random_forest": 2.0},
+    "nb": {"gbt_categorical": 1.5, "gbt_deep": 1.3, "random_forest": 1.3},
+}
+
+
 def estimator(kind: str, seed: int = 42, max_iter: int = 10, max_bins: int = 32, **params):
-    """M1-M3 estimators with the label column ``demand``."""
-    common = dict(featuresCol="features", labelCol="demand", predictionCol="prediction", seed=seed)
-    if kind == "gbt_categorical":
-        return GBTRegressor(maxIter=max_iter, maxDepth=params.get("maxDepth", 5), maxBins=max_bins,
-                            stepSize=params.get("stepSize", 0.1), **common)
-    if kind == "gbt_deep":
-        return GBTRegressor(maxIter=max_iter, maxDepth=params.get("maxDepth", 8), maxBins=max_bins,
-                            stepSize=params.get("stepSize", 0.1), subsamplingRate=params.get("subsamplingRate", 0.8),
-                            featureSubsetStrategy=params.get("featureSubsetStrategy", "all"), **common)
+    """M1-M3 estimators with the label column ``demand``; ``params`` override the kind's defaults."""
+    settings = DEFAULTS[kind] | params | dict(featuresCol="features", labelCol="demand", predictionCol="prediction",
+                                              seed=seed, maxBins=max_bins)
     if kind == "random_forest":
-        return RandomForestRegressor(numTrees=max_iter, maxDepth=params.get("maxDepth", 8), maxBins=max_bins,
-                                     subsamplingRate=params.get("subsamplingRate", 0.8), **common)
-    raise ValueError(kind)
+        return RandomForestRegressor(numTrees=max_iter, **settings)
+    return GBTRegressor(maxIter=max_iter, **settings)
 
 
 def build_pipeline(kind: str, history: DataFrame, seed: int = 42, max_iter: int = 10,
@@ -119,15 +131,14 @@ def cross_validate(kind: str, history_blocked: DataFrame, k: int = 3, seed: int
 
 
 def sample_params(kind: str, n_trials: int, seed: int = 42) -> list[dict]:
-    """M8 draws: seeded, log-uniform step size, integer depth/iterations."""
-    rng = random.Random(seed)
-    trials = []
-    for t in range(n_trials):
-        trials.append({"trial": t,
-                       "maxIter": rng.randint(5, 15),
-                       "maxDepth": rng.randint(3, 7),
-                       "stepSize": math.exp(rng.uniform(math.log(0.02), math.log(0.3)))})
-    return trials
+    """M8 draws from the kind's ranges, seeded."""
+    rng = random.Random(f"{kind}-{seed}")
+
+    def draw(name, low, high):
+        if name == "stepSize":
+            return math.exp(rng.uniform(math.log(low), math.log(high)))
+        return rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
+    return [{"trial": t} | {name: draw(name, *bounds) for name, bounds in RANGES[kind].items()} for t in range(n_trials)]
 
 
 def parameter_search(spark: SparkSession, kind: str, history_blocked: DataFrame, n_trials: int = 2,
@@ -135,17 +146,20 @@ def parameter_search(spark: SparkSession, kind: str, history_blocked: DataFrame,
     """M8: one CV per draw; the table of (trial, params, rmse) sorted by rmse."""
     rows = []
     for p in sample_params(kind, n_trials, seed):
-        cv = cross_validate(kind, history_blocked, 3, seed, p["maxIter"], maxDepth=p["maxDepth"],
-                            stepSize=p["stepSize"])
+        cv = cross_validate(kind, history_blocked, 3, seed, p["maxIter"],
+                            **{k: v for k, v in p.items() if k not in ("trial", "maxIter")})
         r = scalar_row(cv.agg(F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2")))
-        rows.append((kind, p["trial"], p["maxIter"], p["maxDepth"], float(p["stepSize"]), r["rmse"], r["r2"]))
+        rows.append((kind, p["trial"], p["maxIter"], p["maxDepth"], p.get("stepSize"), p.get("subsamplingRate"),
+                     p.get("minInstancesPerNode"), p.get("minInfoGain"), r["rmse"], r["r2"]))
     return spark.createDataFrame(rows, "model string, trial int, maxIter int, maxDepth int, stepSize double, "
+                                       "subsamplingRate double, minInstancesPerNode int, minInfoGain double, "
                                        "rmse double, r2 double")
 
 
-def rescale_params(params: DataFrame, iter_factor: float = 2.0, rate_divisor: float = 2.0) -> DataFrame:
-    """More iterations and a smaller step for the final fit."""
-    return params.withColumns({"maxIter": F.floor(F.col("maxIter") * iter_factor).cast("int"),
+def rescale_params(params: DataFrame, variant: str, rate_divisor: float = 2.0) -> DataFrame:
+    """More trees by the variant's factor for the model, and a smaller step, for the final fit."""
+    factor = F.create_map(*[F.lit(x) for kv in RESCALE[variant].items() for x in kv])[F.col("model")]
+    return params.withColumns({"maxIter": F.floor(F.col("maxIter") * factor).cast("int"),
                                "stepSize": F.col("stepSize") / rate_divisor})
 
 

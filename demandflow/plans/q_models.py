@@ -97,7 +97,8 @@ def m8(spark, sf):
 def m10(spark, sf):
     h, _ = _data(spark, sf)
     best = M.parameter_search(spark, "gbt_deep", h, n_trials=TRIALS).orderBy("rmse").limit(1)
-    return M.rescale_params(best, 2.0, 2.0)
+    return M.rescale_params(best, "v2").withColumn("variant", F.lit("v2")).unionByName(
+        M.rescale_params(best, "nb").withColumn("variant", F.lit("nb")))
 
 
 @query("m9_seed_ensemble")

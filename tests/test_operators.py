@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from demandflow.operators import encode as E
@@ -133,3 +134,25 @@ def test_lanes_median_may_be_fractional(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "NumberofLanes int").selectExpr("NumberofLanes", "1.0D as Temperature", "'r' as RoadType", "'w' as Weather")
     st = C.TrainStats(1.0, "r", "w", 2.5, 1, 0.0, 1.0, {})
     assert sorted(r.NumberofLanes for r in C.impute(df, st).collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
+
+
+def test_search_draws_and_rescaling(spark):
+    from demandflow.plans import models as M
+    for kind, ranges in M.RANGES.items():
+        draws = M.sample_params(kind, 20, 1)
+        assert draws == M.sample_params(kind, 20, 1) and ("stepSize" in ranges) == (kind != "random_forest")
+        for d in draws:
+            assert set(d) == {"trial", *ranges} and all(lo <= d[k] <= hi for k, (lo, hi) in ranges.items())
+            M.estimator(kind, 1, d["maxIter"], 32, **{k: v for k, v in d.items() if k not in ("trial", "maxIter")})
+    params = spark.createDataFrame([("gbt_categorical", 10, 0.2), ("random_forest", 10, None)], "model string, maxIter int, stepSize double")
+    got = {(r.model): (r.maxIter, r.stepSize) for r in M.rescale_params(params, "v2").collect()}
+    assert got == {"gbt_categorical": (25, 0.1), "random_forest": (20, None)}
+
+
+def test_blend_weights_saved_default_or_error(spark):
+    from demandflow.operators import score as S
+    preds = spark.createDataFrame([(1, "a", 2.0), (1, "b", 4.0)], "Index long, model string, prediction double")
+    saved = S.weights_frame(spark, {"a": 0.5})
+    assert S.blend(preds, saved, {"a": 0.1, "b": 0.25}).first().demand == 2.0
+    with pytest.raises(Exception, match="no weight for model b"):
+        S.blend(preds, saved).collect()
