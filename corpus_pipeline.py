@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all documents it is given and
 returns a DataFrame; all but the last return the columns of ``documents``. The
 tables that a stage needs besides its documents are read from ``sf_dir``.
-Empty input gives empty output. A repeated doc_id leaves the near-duplicate
-stage once.
+Empty input gives empty output. Rows are told apart by a number of their own, not
+by doc_id: rows with a null or a repeated doc_id are documents that are judged by
+their own text. Texts without words under one doc_id count as copies.
 """
 
 from __future__ import annotations
@@ -20,6 +21,14 @@ from demandflow.llm.quality import calibrate, features, judge
 from demandflow.llm.store import materialise
 
 
+_ROW = "__row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row number, stored so that each reading gives the same."""
+    return materialise(docs.withColumn(_ROW, F.monotonically_increasing_id()))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
     measured = materialise(features(docs))
@@ -28,21 +37,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """The row with the smallest id of each group (null last)."""
+    rows = _numbered(docs)
+    found = near_duplicates(rows, id_col=_ROW).join(rows.select(_ROW, "doc_id"), _ROW)
+    no_words = F.col("n_shingles") == 0
+    group = [F.when(~no_words | F.col("doc_id").isNull(), F.col("component_id")).alias("group"), F.when(no_words, F.col("doc_id")).alias("group_id")]
+    kept = found.groupBy(*group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", _ROW)).alias("first")).select(F.col(f"first.{_ROW}").alias(_ROW))
+    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.where("size(items) > 0").select(F.col("doc_id").alias("__hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit_id"]), "left_anti")
+    rows = _numbered(docs)
+    found = decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=_ROW)
+    return rows.join(found.where("size(items) > 0").select(_ROW), _ROW, "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, spans of personal data replaced by their kind; n_chars follows the text."""
-    clean = redact(docs)
+    clean = redact(_numbered(docs), id_col=_ROW).select(*docs.columns)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 

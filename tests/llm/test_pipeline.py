@@ -77,3 +77,20 @@ def test_stages_keep_and_remove_what_they_should(spark, tmp_path):
     empty = spark.createDataFrame([], schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_rows_without_an_id_of_their_own_are_judged_by_their_text(spark, tmp_path):
+    rng = random.Random(12)
+    item, null_texts, same_id = sentence(rng, 25), [sentence(rng, 100) for _ in range(6)], [sentence(rng, 100) for _ in range(3)]
+    leak, mail = sentence(rng, 50) + " " + item, sentence(rng, 60) + " write to a.b@c.org"
+    rows = [(None, t) for t in [*null_texts, null_texts[0], leak, mail]] + [(7, t) for t in [*same_id, same_id[1]]] + [(8, null_texts[2]), (9, ""), (9, ""), (None, ""), (None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], schema).repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pairs = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    deduped = corpus_pipeline.materialise(corpus_pipeline.near_dedup(spark, docs, str(tmp_path)))
+    own = [(None, t) for i, t in enumerate(null_texts) if i != 2] + [(8, null_texts[2])] + [(7, t) for t in same_id] + [(9, ""), (None, ""), (None, None)]
+    assert pairs(deduped) == sorted([*own, (None, leak), (None, mail)], key=str)
+    clean = corpus_pipeline.materialise(corpus_pipeline.benchmark_decontamination(spark, deduped, str(tmp_path)))
+    assert pairs(clean) == sorted([*own, (None, mail)], key=str)
+    assert pairs(corpus_pipeline.personal_data(spark, clean, str(tmp_path))) == sorted([*own, (None, mail.replace("a.b@c.org", "[EMAIL]"))], key=str)
