@@ -5,12 +5,15 @@
    secrets); spans of different generators may overlap. Places come from the
    lengths of what a pattern matches and of what it leaves between.
 2. Gradient-boosted trees learn from a bounded sample of up to ``sample``
-   candidates which look like spans that pass their kind's strict check
-   (check digit, part sizes, number of digits, prefix), from format and context
-   features that do not hold the check itself.
-3. On other candidates of the sample the threshold is set to the lowest score
-   at which the share of strict spans is at least ``precision``. Candidates
-   from there on are selected, best score first where they overlap.
+   different candidates (kind, match and context; copies count once) which look
+   like spans that pass their kind's strict check (check digit, part sizes,
+   number of digits, prefix), from format and context features that do not hold
+   the check itself. If all of them agree, up to ``sample`` of the other label
+   are added.
+3. On all candidates that were not learned from, copies included, the threshold
+   is set to the lowest score at which the share of strict spans is at least
+   ``precision``. Candidates from there on are selected, best score first where
+   they overlap.
 4. Base spans that pass their check are always kept.
 
 Only DataFrame functions and Spark ML. Patterns run in linear time: no pattern
@@ -116,18 +119,25 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
 def _selected(found: DataFrame, sample: int, precision: float, seed: int) -> DataFrame | None:
     """Candidates (row, kind, start, stop, score) at or above the threshold; None if there is nothing to learn from."""
     names = list(_features())
-    key = F.xxhash64("match", "before", "after", F.lit(seed))
+    own = ["kind", "match", "before", "after"]
     vectors = lambda df: VectorAssembler(inputCols=names, outputCol="features").transform(df.withColumns(_features()))
-    chosen = materialise(found.withColumn("order", key).orderBy("order", "row", "start", "kind").limit(sample))
-    train = vectors(chosen.where(F.pmod(F.shiftright("order", 20), F.lit(4)) != 0).withColumn("label", F.col("strict").cast("double")))
-    kinds = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
-    if len(kinds) < 2:
+    order, for_fit = F.xxhash64(*own, F.lit(seed)), F.pmod(F.shiftright("order", 20), F.lit(4)) != 0
+    open_to_fit = found.select(*own, "strict").distinct().withColumn("order", order).where(for_fit)
+    chosen = materialise(open_to_fit.orderBy("order", *own).limit(sample))
+    last = {r.strict: r.last for r in chosen.groupBy("strict").agg(F.max("order").alias("last")).collect()}
+    if len(last) == 1:
+        other = materialise(open_to_fit.where(F.col("strict") != next(iter(last))).orderBy("order", *own).limit(sample))
+        last |= {r.strict: r.last for r in other.groupBy("strict").agg(F.max("order").alias("last")).collect()}
+        chosen = chosen.unionAll(other)
+    elif last:  # one sample of both labels: they were learned from up to the same place
+        last = dict.fromkeys(last, max(last.values()))
+    if len(last) < 2:
         return None
+    train = vectors(chosen.withColumn("label", F.col("strict").cast("double")))
     model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.2, subsamplingRate=0.8, seed=seed, checkpointInterval=-1).fit(train.select("features", "label"))
-    score = vector_to_array("probability")[1]
-    scored = model.transform(vectors(found)).withColumn("score", score)
-    held = model.transform(vectors(chosen.where(F.pmod(F.shiftright("order", 20), F.lit(4)) == 0))).withColumn("bin", F.floor(score * 100))
-    bins = held.groupBy("bin").agg(F.sum(F.col("strict").cast("long")).alias("strict"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("bin")).collect()  # 101 rows at most
+    learned = for_fit & (F.col("order") <= F.when(F.col("strict"), last[True]).otherwise(last[False]))
+    scored = materialise(model.transform(vectors(found)).withColumn("order", order).select("row", "kind", "start", "stop", "strict", learned.alias("learned"), vector_to_array("probability")[1].alias("score")))
+    bins = scored.where("NOT learned").groupBy(F.floor(F.col("score") * 100).alias("bin")).agg(F.sum(F.col("strict").cast("long")).alias("strict"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("bin")).collect()  # 101 rows at most
     threshold, strict, n = None, 0, 0
     for b in bins:
         strict, n = strict + b.strict, n + b.n

@@ -156,6 +156,17 @@ def test_pii_base_spans_and_redaction(spark, empty):
     assert clean.count() == len(rows) and pii.find_pii(empty).count() == 0 and pii.redact(empty).count() == 0
 
 
+def test_pii_copies_do_not_fill_the_sample(spark):
+    rng = random.Random(9)
+    hot = [f"call ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)} now" for _ in range(60)]
+    other = [f"section 1{rng.randint(10, 99)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)} of" for _ in range(60)]
+    rows = list(enumerate([t for t in hot for _ in range(50)] + other))
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for sample in (40, 1):  # 1: one label alone in the sample
+        found = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in pii.find_pii(d, sample=sample).collect()}
+        assert all(found[i] == [("tel", 5, 19)] for i in range(3000)) and sum(map(bool, found.values())) <= 3000 / 0.9
+
+
 # 4
 def contaminated(texts, items, size):
     windows = collections.defaultdict(set)
