@@ -455,3 +455,23 @@ def test_seating_matches_the_restaurant_process():
         assert drawn.mean() == pytest.approx(float((p / p.sum() * np.arange(1, n + 1)).sum()), rel=0.03)
     many = pitman_yor.seat(np.array([0, 1, 100_000]), np.full(3, 0.5), 0.5, rng)
     assert many[0] == 0 and many[1] == 1 and 1 <= many[2] < 100_000
+
+
+def test_language_model_does_not_depend_on_partitions(spark, docs):
+    def scores(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        return {r.doc_id: r.score for r in pitman_yor.score_texts(docs, F.col("doc_id") % 5 != 0).collect()}
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert scores(2) == pytest.approx(scores(7), rel=1e-12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hashed_binomial():
+    keys = textops.mix(np.arange(40_000, dtype=np.uint64))
+    for n, p in ((5, 0.3), (200, 0.01), (1000, 0.2), (1000, 0.97), (10**7, 0.3), (7, 1.0), (7, 0.0)):
+        x = pitman_yor._binomial(np.full(len(keys), n), np.full(len(keys), p), keys)
+        assert x.min() >= 0 and x.max() <= n
+        assert x.mean() == pytest.approx(n * p, rel=0.01) and x.var() == pytest.approx(n * p * (1 - p), rel=0.04, abs=1e-12)
