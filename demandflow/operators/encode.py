@@ -211,40 +211,50 @@ CATEGORY_COLUMNS = ["geohash", "RoadType", "Weather", "LargeVehicles", "Landmark
                     "geohash_4", "geohash_5", "road_weather", "road_vehicles"]
 
 
-def first_appearance_codes(history: DataFrame, future: DataFrame, col: str,
-                           code: str = "code") -> DataFrame:
-    """(value, code) with codes in order of first appearance over history
-    in (time_order, Index) order followed by future in Index order.
+def _appearance_codes(history: DataFrame, future: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code) for all ``columns`` at once: codes count up from 0 in each column.
 
-    Per value the first position is a min over a struct (partial aggregation);
-    the distinct values are then numbered with ``ordered_row_number``.
+    Rows are unpivoted to (column, value); a value's first position is one
+    min over a struct (partial aggregation), and the distinct values are
+    numbered by range partition in (column, position) order. A column's codes
+    start where its first number is.
     """
     def firsts(df: DataFrame, side: int, order: str | None) -> DataFrame:
         t = F.col(order) if order else F.lit(0)
-        return df.select(F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("value"),
-                         F.lit(side).alias("side"), t.cast("int").alias("t"), F.col("Index"))
+        values = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
+                           for c in columns])
+        return df.select(F.explode(values).alias("v"), F.struct(F.lit(side).alias("side"), t.cast("int").alias("t"), F.col("Index")).alias("p")) \
+                 .select("v.column", "v.value", "p")
 
     both = firsts(history, 0, "time_order").unionByName(firsts(future, 1, None))
-    first = both.groupBy("value").agg(F.min(F.struct("side", "t", "Index")).alias("p"))
-    first = first.select("value", "p.side", "p.t", "p.Index")
-    numbered = ordered_row_number(first, ["side", "t"], "Index", out=code)
-    return numbered.select("value", F.col(code).cast("int").alias(code))
+    first = both.groupBy("column", "value").agg(F.min("p").alias("p")).select("column", "value", "p.*")
+    numbered = ordered_row_number(first, ["column", "side", "t", "Index", "value"], "n")
+    starts = numbered.groupBy("column").agg(F.min("n").alias("start"))  # one row a column
+    return numbered.join(F.broadcast(starts), "column").select("column", "value", (F.col("n") - F.col("start")).cast("int").alias("code"))
+
+
+def first_appearance_codes(history: DataFrame, future: DataFrame, col: str,
+                           code: str = "code") -> DataFrame:
+    """(value, code) with codes in order of first appearance over history
+    in (time_order, Index) order followed by future in Index order."""
+    return _appearance_codes(history, future, [col]).select("value", F.col("code").alias(code))
 
 
 def label_encode(history: DataFrame, future: DataFrame,
                  columns: Sequence[str] = CATEGORY_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """K7: replace each category column by its first-appearance code on both sides.
 
-    Every code table is computed from the input frames (not from the frame
-    being joined), so the plan grows linearly with the number of columns.
+    All columns' codes come from one numbering of the input frames; each
+    column's share of it is counted and broadcast below the row limit.
     """
-    base_h, base_f = history, future
+    codes = _appearance_codes(history, future, columns).persist()
+    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a column
     for c in columns:
-        codes = checked_broadcast(first_appearance_codes(base_h, base_f, c, "_code"))
+        own = checked_broadcast(codes.where(F.col("column") == c).select("value", F.col("code").alias("_code")), bound=sizes.get(c, 0))
 
         def apply(df: DataFrame) -> DataFrame:
             keyed = df.withColumn("_val", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
-            return keyed.join(codes, keyed["_val"] == codes["value"], "left") \
+            return keyed.join(own, keyed["_val"] == own["value"], "left") \
                         .withColumn(c, F.col("_code")).drop("_val", "value", "_code")
         history, future = apply(history), apply(future)
     return history, future

@@ -4,7 +4,10 @@ With n rows and k folds, t = n div (k+1); fold i tests positions
 [n-(k-i)t, n-(k-i-1)t) and trains on every earlier position. A row's
 ``block`` is the fold it tests in, or -1 when it only ever trains, so one
 column describes all folds: fold i trains on block < i and tests block == i.
-Positions come from ``ordered_row_number`` (no single-partition window).
+
+Only the keys at the k cut positions are needed: they come from numbering the
+two order columns by range partition, and every row then finds its block by
+comparing its own key with k literals, without moving.
 """
 
 from __future__ import annotations
@@ -12,16 +15,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import VALUES_PER_BUCKET, ordered_row_number, scalar_row
+from demandflow.operators.stats import position_keys, scalar_row
 
 
 def time_blocks(history_t: DataFrame, k: int = 3, order: str = "time_order", tie: str = "Index",
                 out: str = "block") -> DataFrame:
     n = int(scalar_row(history_t.agg(F.count(F.lit(1)).alias("n")))["n"])
     t = n // (k + 1)
-    start = n - k * t
-    pos = ordered_row_number(history_t, [order], tie, out="_pos",
-                             buckets=max(1, -(-n // VALUES_PER_BUCKET)))
-    block = F.when(F.col("_pos") < start, F.lit(-1)).otherwise(
-        F.floor((F.col("_pos") - start) / F.lit(max(t, 1)))).cast("int")
-    return pos.withColumn(out, block).drop("_pos")
+    if t == 0:  # fewer rows than blocks: all train
+        return history_t.withColumn(out, F.lit(-1))
+    keys = position_keys(history_t, [order, tie], [n - (k - i) * t for i in range(k)])
+    block = F.lit(-1)
+    for row in keys.values():
+        after = (F.col(order) > row[order]) | ((F.col(order) == row[order]) & (F.col(tie) >= row[tie]))
+        block = block + F.when(after, 1).otherwise(0)
+    return history_t.withColumn(out, block.cast("int"))

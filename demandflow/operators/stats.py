@@ -8,18 +8,20 @@
 * ``mode_of``: most frequent non-null value, smallest on ties, as two
   ordinary aggregations (map-side combine, no per-group value buffer).
 * ``checked_broadcast``: broadcast a lookup only after counting it.
-* ``ordered_row_number``: 0-based row numbers in (coarse..., fine) order
-  without a single-partition window over all rows.
+* ``ordered_row_number``: 0-based row numbers by range partition, without a
+  window over rows; ``position_keys`` reads the keys at given positions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from demandflow.session import cut_lineage
+
 VALUES_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 16384
 BROADCAST_MAX_ROWS = 2_000_000
@@ -194,24 +196,30 @@ def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = (
     return out
 
 
-def ordered_row_number(df: DataFrame, coarse: Sequence[str], fine: str, out: str = "row_num",
-                       buckets: int | None = None) -> DataFrame:
-    """0-based row number in (coarse..., fine) order; (coarse, fine) must be unique.
+def ordered_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_num",
+                       partitions: int | None = None, store: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
+    """0-based row number in ``order`` (names or sort expressions, unique together).
 
-    ``coarse`` should be low-cardinality (time slots). Rows are cut into
-    (coarse, fine-range) cells; a small count table gives each cell its
-    offset; the window then runs inside one cell only. By default the number
-    of fine ranges is chosen from the row count so that a cell holds at most
-    VALUES_PER_BUCKET rows when the fine key is spread evenly.
+    Rows go to range partitions and are sorted there; the id they get in that
+    order holds their partition and their place in it. The rows are stored, so
+    that numbers stay with them, and the counts per partition (one row a
+    partition) give each partition its offset. One shuffle; no task holds more
+    than its range, and a key of any share is cut at the later order columns.
     """
-    coarse = list(coarse)
-    if buckets is None:
-        n = int(scalar_row(df.agg(F.count(F.lit(1)).alias("n")))["n"])
-        buckets = min(MAX_BUCKETS, max(1, -(-n // VALUES_PER_BUCKET)))
-    keyed = _bucketed(df, fine, buckets, "_fb") if buckets > 1 else df.withColumn("_fb", F.lit(0.0))
-    cells = keyed.groupBy(*coarse, "_fb").agg(F.count(F.lit(1)).alias("_cn"))
-    offsets = _running_offsets(cells, [], [*coarse, "_fb"], "_cn", "_coff").drop("_cn")
-    w = Window.partitionBy(*coarse, "_fb").orderBy(fine)
-    return (keyed.join(checked_broadcast(offsets), [*coarse, "_fb"])
-                 .withColumn(out, (F.col("_coff") + F.row_number().over(w) - 1).cast("long"))
-                 .drop("_fb", "_coff"))
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    placed = store(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+                     .withColumn("__at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return (placed.join(F.broadcast(offsets), part == F.col("__part"))
+                  .withColumn(out, F.col("__before") + place).drop("__at", "__part", "__before"))
+
+
+def position_keys(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> dict[int, Row]:
+    """The ``order`` columns of the rows at the given 0-based positions: as many rows as positions come to the driver."""
+    numbered = ordered_row_number(df.select(*order), order, "__pos")
+    found = numbered.where(F.col("__pos").isin([int(p) for p in positions])).collect()
+    return {r["__pos"]: r for r in found}

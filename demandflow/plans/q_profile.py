@@ -307,8 +307,7 @@ def a27(spark, sf):
     'select "Index", time_order, row_number() over (order by time_order, "Index") - 1 as pos from history_t'))
 def o1(spark, sf):
     """Position in (time_order, Index) order without a single-partition window over all rows."""
-    return ordered_row_number(I.history_t(spark, sf).select("Index", "time_order"), ["time_order"], "Index",
-                              out="pos")
+    return ordered_row_number(I.history_t(spark, sf).select("Index", "time_order"), ["time_order", "Index"], out="pos")
 
 
 @query("o2_top10_by_mean", oracle(

@@ -33,9 +33,35 @@ def test_mode_ties_and_nulls(spark):
 
 def test_row_number_in_order(spark):
     pdf = pd.DataFrame({"t": np.repeat(np.arange(10), 50), "i": np.random.default_rng(1).permutation(500)})
-    out = ordered_row_number(spark.createDataFrame(pdf), ["t"], "i", buckets=5).toPandas()
-    out = out.sort_values(["t", "i"]).reset_index(drop=True)
-    assert (out["row_num"].to_numpy() == np.arange(500)).all()
+    for parts in (None, 1, 37):
+        out = ordered_row_number(spark.createDataFrame(pdf), ["t", F.col("i").desc()], partitions=parts).toPandas()
+        out = out.sort_values(["t", "i"], ascending=[True, False]).reset_index(drop=True)
+        assert (out["row_num"].to_numpy() == np.arange(500)).all()
+
+
+def test_row_number_cuts_a_hot_key_and_takes_no_window_over_rows(spark):
+    df = spark.range(0, 3000, 1, 7).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("t"), "id")
+    out = ordered_row_number(df, ["t", "id"], partitions=40)
+    got = [r.row_num for r in out.orderBy("t", "id").collect()]
+    assert got == list(range(3000))
+    at = out.withColumn("p", F.floor(F.col("row_num") / 100)).where("t = 5").select("p").distinct().count()
+    assert at >= 20  # two thirds of the rows share t = 5
+    assert ordered_row_number(df.limit(0), ["t", "id"]).count() == 0
+
+
+def test_codes_of_several_columns_follow_first_appearance(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"Index": np.arange(200), "time_order": rng.integers(0, 50, 200), "a": rng.choice(list("pqrs") + [None], 200), "b": rng.choice(list("xyz"), 200)})
+    fut = pd.DataFrame({"Index": np.arange(300, 310), "time_order": 0, "a": ["new", "p"] * 5, "b": ["x", "later"] * 5})
+    h, f = E.label_encode(spark.createDataFrame(pdf), spark.createDataFrame(fut), ["a", "b"])
+    h, f = h.toPandas().set_index("Index"), f.toPandas().set_index("Index")
+    order = pdf.sort_values(["time_order", "Index"])
+    for c in ("a", "b"):
+        seen = {}
+        for v in [*order[c].where(order[c].notna(), "nan"), *fut[c]]:
+            seen.setdefault(v, len(seen))
+        assert h[c].to_dict() == {i: seen["nan" if v is None or v != v else v] for i, v in zip(pdf["Index"], pdf[c])}
+        assert f[c].to_dict() == {i: seen[v] for i, v in zip(fut["Index"], fut[c])}
 
 
 def left_out_value(rows, row, m, g):
