@@ -15,6 +15,7 @@ from .near_dups import near_duplicates
 from .pii import BASE, find_pii
 from .pitman_yor import score_texts
 from .quality import calibrate, features, judge
+from .resample import resample
 from .store import materialise
 from .substrings import remove_repeated
 from .toxicity import score_toxicity
@@ -130,6 +131,37 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: crc32's table as a list of 256 numbers, and crc32 of a list of bytes
+_CRC_TABLE_SQL = "SELECT list(list_reduce(list_prepend(b, [1, 2, 3, 4, 5, 6, 7, 8]), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t FROM (SELECT unnest(range(256)) AS b)"
+
+
+def _crc_sql(of: str) -> str:
+    """crc32 of a text's UTF-8 bytes, ``t`` being the table's list."""
+    codes = f"list_transform(range(octet_length(encode({of}))), lambda k: (instr('0123456789ABCDEF', substr(hex(encode({of})), 2 * k + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hex(encode({of})), 2 * k + 2, 1)) - 1)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295)"
+
+
+OP11_SQL = rf"""
+WITH crc AS ({_CRC_TABLE_SQL}),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT r, unnest(w) AS x FROM d), bw AS (SELECT unnest(w) AS x FROM b),
+word AS (SELECT x, CAST({_crc_sql("x")} % 10000 AS BIGINT) AS k FROM (SELECT x FROM dw UNION SELECT x FROM bw), crc),
+s AS (SELECT k, count(*) AS n FROM dw JOIN word USING (x) GROUP BY k), g AS (SELECT k, count(*) AS n FROM bw JOIN word USING (x) GROUP BY k),
+gain AS (SELECT k.k, CAST(floor(1000 * ln((coalesce(g.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000) / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)))) AS BIGINT) AS gain
+         FROM (SELECT unnest(range(10000)) AS k) k LEFT JOIN s ON s.k = k.k LEFT JOIN g ON g.k = k.k),
+scored AS (SELECT r, doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5) / 4294967296.0))) AS BIGINT) AS score
+           FROM (SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(total, 0) AS BIGINT) AS weight
+                 FROM d LEFT JOIN (SELECT r, sum(gain) AS total FROM dw JOIN word USING (x) JOIN gain USING (k) GROUP BY r) q ON q.r = d.r)),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN place <= 10 * n // 100 THEN place END AS BIGINT) AS rank FROM scored LEFT JOIN placed USING (r)
+"""
+
+
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_text": (op1_html_text, None),
@@ -142,4 +174,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
     "op10_lm_scores": (op10_lm_scores, None),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
+    "op11_target_resampling": (op11_target_resampling, OP11_SQL),
 }
