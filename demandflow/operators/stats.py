@@ -197,7 +197,8 @@ def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = (
 
 
 def ordered_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_num",
-                       partitions: int | None = None, store: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
+                       partitions: int | None = None, range_by: int | None = None,
+                       store: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """0-based row number in ``order`` (names or sort expressions, unique together).
 
     Rows go to range partitions and are sorted there; the id they get in that
@@ -205,10 +206,12 @@ def ordered_row_number(df: DataFrame, order: Sequence[str | Column], out: str =
     that numbers stay with them, and the counts per partition (one row a
     partition) give each partition its offset. One shuffle; no task holds more
     than its range, and a key of any share is cut at the later order columns.
+    ``range_by``: ranges by the first so many columns only (long texts stay out
+    of the sampled bounds).
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    placed = store(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    placed = store(df.repartitionByRange(parts, *cols[:range_by]).sortWithinPartitions(*cols)
                      .withColumn("__at", F.monotonically_increasing_id()))
     part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
