@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversations import repair_conversations
 from .decontaminate import decontaminate
 from .html_text import extract_main_text
 from .licenses import scan_licenses
@@ -162,6 +163,61 @@ SELECT doc_id, n_features, weight, score, CAST(CASE WHEN place <= 10 * n // 100
 """
 
 
+def _damaged(conversations: DataFrame) -> DataFrame:
+    """The turns of ``conversations`` with the faults that the query plants."""
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    hit = conversations.select("conv_id", "turn", as_text("role").alias("role"), as_text("text").alias("text"), (F.crc32(F.concat_ws(":", as_text("conv_id"), as_text("turn"))) % 20).alias("c")).where("c <> 0")
+    text = F.when(F.col("c") == 1, "").when(F.col("c") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("c") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return hit.select("conv_id", "turn", F.when(F.col("c") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    fixed = repair_conversations(_damaged(conversations)).withColumnRenamed("conv_id", "of")
+    ids = conversations.select("conv_id").distinct()
+    none = {c: F.lit(0).cast("long") for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return ids.join(fixed, ids["conv_id"].eqNullSafe(fixed["of"]), "left").select("conv_id", *[F.coalesce(F.col(c), v).alias(c) for c, v in none.items()])
+
+
+#: the lattice turn by turn: s holds cost and least audit of start, after s, after u, after a; op 0 allows inserts, op 1 takes a turn with fault f and initial k
+_STEP_SQL = """CASE WHEN x.op = 0 THEN {'op': 0, 'f': 0, 'k': '', 's': [acc.s[1], acc.s[2],
+  list_min([acc.s[3], {'c': acc.s[1].c + 2, 'a': acc.s[1].a || 'I'}, {'c': acc.s[2].c + 2, 'a': acc.s[2].a || 'I'}, {'c': acc.s[4].c + 2, 'a': acc.s[4].a || 'I'}]),
+  list_min([acc.s[4], {'c': acc.s[3].c + 2, 'a': acc.s[3].a || 'I'}, {'c': acc.s[1].c + 4, 'a': acc.s[1].a || 'II'}, {'c': acc.s[2].c + 4, 'a': acc.s[2].a || 'II'}])]}
+ ELSE {'op': 1, 'f': 0, 'k': '', 's': [{'c': acc.s[1].c + 3, 'a': acc.s[1].a || 'D'},
+  list_min([{'c': acc.s[2].c + 3, 'a': acc.s[2].a || 'D'}, {'c': acc.s[1].c + x.f + CASE WHEN x.k = 's' THEN 0 ELSE 1000000 END, 'a': acc.s[1].a || 'K'}]),
+  list_min(list_concat([{'c': acc.s[3].c + 3, 'a': acc.s[3].a || 'D'}], list_transform([acc.s[1], acc.s[2], acc.s[4]], lambda y: CASE WHEN x.k = 'u' THEN {'c': y.c + x.f, 'a': y.a || 'K'} ELSE {'c': y.c + x.f + 2, 'a': y.a || 'R'} END))),
+  list_min([{'c': acc.s[4].c + 3, 'a': acc.s[4].a || 'D'}, CASE WHEN x.k = 'a' THEN {'c': acc.s[3].c + x.f, 'a': acc.s[3].a || 'K'} ELSE {'c': acc.s[3].c + x.f + 2, 'a': acc.s[3].a || 'R'} END])]} END"""
+_FAR_SQL = "{'c': 10000000, 'a': ''}"
+_KEY_SQL = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+
+OP12_SQL = rf"""
+WITH crc AS ({_CRC_TABLE_SQL}),
+t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc_sql(_KEY_SQL)} % 20 AS c FROM conversations, crc),
+hit AS (SELECT conv_id, turn, CASE WHEN c = 4 THEN 'user' ELSE role END AS role, CASE WHEN c = 1 THEN '' WHEN c = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE WHEN c = 3 THEN 2 ELSE 1 END)) AS copy FROM t WHERE c <> 0),
+n AS (SELECT *, left(role, 1) AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM hit),
+f AS (SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY i) || k AS pair,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault FROM n),
+x AS (SELECT conv_id, i, unnest([{{'op': 0, 'f': 0, 'k': '', 's': [{_FAR_SQL}]}},
+                                 {{'op': 1, 'f': CASE fault WHEN '' THEN 0 WHEN 'truncated' THEN 1 ELSE 1000000 END, 'k': k, 's': [{_FAR_SQL}]}}]) AS x, unnest([0, 1]) AS half FROM f),
+steps AS (SELECT conv_id, list_append(list_prepend({{'op': 1, 'f': 0, 'k': '', 's': [{{'c': 0, 'a': ''}}, {_FAR_SQL}, {_FAR_SQL}, {_FAR_SQL}]}}, list(x ORDER BY i, half)), {{'op': 0, 'f': 0, 'k': '', 's': [{_FAR_SQL}]}}) AS steps FROM x GROUP BY conv_id),
+best AS (SELECT conv_id, list_min([e.s[1], e.s[4]]) AS b FROM (SELECT conv_id, list_reduce(steps, lambda acc, x: {_STEP_SQL}) AS e FROM steps)),
+edit AS (SELECT conv_id, e, sum(CASE WHEN e = 'I' THEN 0 ELSE 1 END) OVER w AS i, sum(CASE WHEN e = 'D' THEN 0 ELSE 1 END) OVER w AS o
+         FROM (SELECT conv_id, unnest(range(1, length(b.a) + 1)) AS p, substr(b.a, p, 1) AS e FROM best) WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+o AS (SELECT edit.conv_id, e, o, role, text, max(CASE WHEN o = 1 AND e = 'K' AND k = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY edit.conv_id) AS s
+      FROM edit LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM edit.conv_id AND f.i = edit.i AND e <> 'I' WHERE e <> 'D'),
+fixed AS (SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (o - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY o)) AS h FROM o GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT d.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.a, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN fixed ON fixed.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_text": (op1_html_text, None),
@@ -175,4 +231,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_lm_scores": (op10_lm_scores, None),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
     "op11_target_resampling": (op11_target_resampling, OP11_SQL),
+    "op12_conversation_repair": (op12_conversation_repair, OP12_SQL),
 }

@@ -33,15 +33,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Gives the executors this subpackage, once per application, for the functions that run in their Python workers."""
+    """Gives the executors this package, once per application, for the functions that run in their Python workers."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    here = Path(__file__).resolve().parent
+    package = Path(__file__).resolve().parent.parent
     archive = Path(tempfile.mkdtemp(prefix="llm-code-")) / "llm_code.zip"
     with zipfile.ZipFile(archive, "w") as z:
-        z.write(here.parent / "__init__.py", f"{here.parent.name}/__init__.py")
-        for source in sorted(here.glob("*.py")):
-            z.write(source, f"{here.parent.name}/{here.name}/{source.name}")
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(archive))
     _SHIPPED.add(app)
