@@ -17,6 +17,7 @@ from .pii import BASE, find_pii
 from .pitman_yor import score_texts
 from .quality import calibrate, features, judge
 from .resample import resample
+from .sharding import shard_documents
 from .store import materialise
 from .substrings import remove_repeated
 from .toxicity import score_toxicity
@@ -218,6 +219,11 @@ LEFT JOIN fixed ON fixed.conv_id IS NOT DISTINCT FROM d.conv_id
 """
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 #: name -> (query, DuckDB SQL or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_html_text": (op1_html_text, None),
@@ -232,4 +238,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
     "op11_target_resampling": (op11_target_resampling, OP11_SQL),
     "op12_conversation_repair": (op12_conversation_repair, OP12_SQL),
+    "op13_sharding": (op13_sharding, None),
 }
