@@ -53,7 +53,7 @@ def _hashes(value: Column, names: Sequence[str]) -> list[Column]:
 
 
 def admitted(asked: dict[tuple[int, int, int], int], room: Sequence[int]) -> dict[tuple[int, int, int], float]:
-    """The share of each request (from, to, level) that is let in: no shard takes more than its room and what leaves it (to a millionth); high levels go first.
+    """The share of each request (from, to, level) that is let in: no shard takes more than its room and what leaves it (to some millionths); high levels go first.
 
     Starts from all requests and withdraws until they fit; what remains after 50 turns must fit into the room alone.
     """
