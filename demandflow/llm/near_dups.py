@@ -13,13 +13,14 @@ connected components of the links.
    therefore listed under all but its ``least - 1`` most frequent retained
    values (prefix filter; sets of n shingles need ``threshold * n`` if that is
    less): values that a third of all documents have make no pairs.
-3. Pairs are never emitted within a whole list. In each of ``rounds`` rounds a
-   list pairs one of its classes with the others; verified links contract the
-   lists; lists whose classes are all in one component are done. Classes of
-   lists that are still open may share much without being linked (a common
-   passage): they are paired over their full sets, on the rarest quarter of
-   their shingles and where enough others are left to share, so no link
-   between components is lost.
+3. In each of ``rounds`` rounds a list pairs one of its classes with the others;
+   verified links contract the lists; lists whose classes are all in one
+   component are done. Classes of lists that are still open may share much
+   without being linked (a common passage): they are paired over their full
+   sets, on the rarest quarter of their shingles and where enough others are
+   left to share, so no link between components is lost. Different texts of
+   one template that are just short of the threshold stay candidates of each
+   other there, as nothing less than their full sets tells them apart.
 4. Pairs pass the size bound and the union-sketch estimate (at least
    ``likely`` = 0.4, six deviations below 0.75), then the exact Jaccard
    similarity of the full sets.
@@ -82,20 +83,10 @@ def _sketches(shingle: int, k: int) -> Callable:
 def _full_sets(shingle: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in T.row_slices(batches, "text", SLICE_BYTES):
-            sets = [s.tobytes() for s in _shingle_sets(part, shingle)]
-            yield pa.RecordBatch.from_arrays([T.column(part, "class"), pa.array(sets, pa.binary())], ["class", "shingles"])
-    return run
-
-
-def _jaccard(threshold: float) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= 100 * threshold * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sets = list(_shingle_sets(part, shingle))
+            ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
+            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([T.column(part, "class"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["class", "shingles"])
     return run
 
 
@@ -149,7 +140,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     lists = materialise(by_class.select("class", "n", F.col("v.value").alias("value")))
     busy = lists.select("class").distinct()
     sets = materialise(texts.join(busy.withColumnRenamed("class", "id"), "id").select(F.col("id").alias("class"), "text")
-                       .mapInArrow(_full_sets(shingle), f"class {id_type}, shingles binary").dropDuplicates(["class"]))
+                       .mapInArrow(_full_sets(shingle), f"class {id_type}, shingles array<bigint>").dropDuplicates(["class"]))
     labels = materialise(busy.select("class", F.col("class").alias("component")))
     tried = None
     for turn in range(rounds + 1):
@@ -157,7 +148,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         open_lists = current.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         here = current.join(open_lists.select("value", "lo"), "value")
         if turn == rounds:
-            found = _rare_pairs(here.select("class", "component").distinct().join(sets, "class"), id_type, threshold)
+            found = _rare_pairs(here.select("class", "component").distinct().join(sets, "class"), threshold)
         else:  # one hub a list: the smallest class of its smallest component, then of the others
             hubs = here.where(F.col("component") == F.col("lo") if turn % 2 == 0 else F.col("component") != F.col("lo")).groupBy("value").agg(
                 F.min(F.struct(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("of"))).alias("hub")).select("value", "hub.*")
@@ -167,7 +158,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs)
-        links = materialise(_verified(pairs, sketches, sets, id_type, k, likely, threshold, hub_rows))
+        links = materialise(_verified(pairs, sketches, sets, k, likely, threshold, hub_rows))
         tried = pairs if tried is None else tried.unionAll(pairs)
         labels = components(links, labels)
     groups = classes.select("set1", "set2", "class").join(labels, "class", "left").select("set1", "set2", F.coalesce("component", "class").alias("component"))
@@ -176,18 +167,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return own.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
-def _rare_pairs(open_sets: DataFrame, id_type: str, threshold: float) -> DataFrame:
+def _rare_pairs(open_sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs between components that share one of their rarest shingles: linked sets of n share more than a set's
     ``threshold * n`` most frequent shingles, hence one of the others (prefix filter on the full sets)."""
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own = np.frombuffer(batch.column("shingles")[i].as_buffer(), np.int64)
-                fill = pa.array(np.zeros(len(own), np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column("class").slice(i, 1).take(fill), batch.column("component").slice(i, 1).take(fill), pa.array(np.full(len(own), len(own))), pa.array(own)],
-                                                 ["class", "component", "n", "shingle"])
-
-    spelt = open_sets.select("class", "component", "shingles").mapInArrow(spell, f"class {id_type}, component {id_type}, n long, shingle long")
+    spelt = open_sets.select("class", "component", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
     shared = spelt.groupBy("shingle").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
     alone = F.col("n") - F.size("own")  # shingles no other open set has come first
     prefix = F.floor(F.col("n") - F.ceil(F.col("n") * threshold) + 1 - alone).cast("int")
@@ -201,7 +184,7 @@ def _rare_pairs(open_sets: DataFrame, id_type: str, threshold: float) -> DataFra
     return listed.join(other, "shingle").where((F.col("component") != F.col("of")) & (F.col("class") > F.col("a")) & enough)
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, id_type: str, k: int, likely: float, threshold: float, hub_rows: int) -> DataFrame:
+def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, likely: float, threshold: float, hub_rows: int) -> DataFrame:
     """The pairs (a, b) that are linked. Classes in very many pairs are dealt out in groups of ``hub_rows``."""
     spread = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / hub_rows).alias("parts"))
     dealt = pairs.join(spread, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
@@ -214,6 +197,7 @@ def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, id_type: s
     shared = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
     passed = (dealt.join(copies(sketches, "sketch"), ["a", "part"]).join(sketches.select(F.col("class").alias("b"), F.col("sketch").alias("sketch_b")), "b")
               .where(shared >= likely * F.size(union)).select("a", "b", "part"))
-    return (passed.join(copies(sets, "shingles").withColumnRenamed("shingles_a", "set_a"), ["a", "part"])
-            .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
-            .mapInArrow(_jaccard(threshold), f"a {id_type}, b {id_type}"))
+    both = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
+    linked = 100 * both >= 100 * threshold * (F.size("shingles_a") + F.size("shingles_b") - both)
+    return (passed.join(copies(sets, "shingles"), ["a", "part"]).join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("shingles_b")), "b")
+            .where(linked).select("a", "b"))
