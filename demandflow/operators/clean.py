@@ -12,8 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import (VALUES_PER_BUCKET, column_quantiles, exact_quantiles, mode_of,
-                                        scalar_row)
+from demandflow.operators.stats import mode_of, quantile_frame, scalar_row
 
 
 @dataclass(frozen=True)
@@ -30,36 +29,28 @@ class TrainStats:
 
 def stats_frame(history: DataFrame, clip_lower: float = 0.01, clip_upper: float = 0.99) -> DataFrame:
     """One-row frame (temp_median, road_mode, weather_mode, lanes_median, lanes_nulls, demand_lo, demand_hi)."""
-    temp = exact_quantiles(history, "Temperature", [0.5], ["temp_median"])
-    lanes = exact_quantiles(history, "NumberofLanes", [0.5], ["lanes_median"])
-    demand = exact_quantiles(history, "demand", [clip_lower, clip_upper], ["demand_lo", "demand_hi"])
+    quantiles = quantile_frame(history, {"Temperature": {"temp_median": 0.5}, "NumberofLanes": {"lanes_median": 0.5},
+                                         "demand": {"demand_lo": clip_lower, "demand_hi": clip_upper}})
     road = mode_of(history, "RoadType", "road_mode")
     weather = mode_of(history, "Weather", "weather_mode")
     nulls = history.agg(F.count_if(F.col("NumberofLanes").isNull()).alias("lanes_nulls"))
     # Every piece has exactly one row: the cross joins are 1 x 1.
-    return (temp.crossJoin(road).crossJoin(weather).crossJoin(lanes)
-                .crossJoin(nulls).crossJoin(demand)
-                .select("temp_median", "road_mode", "weather_mode", "lanes_median",
-                        "lanes_nulls", "demand_lo", "demand_hi"))
+    return (quantiles.crossJoin(road).crossJoin(weather).crossJoin(nulls)
+                     .select("temp_median", "road_mode", "weather_mode", "lanes_median",
+                             "lanes_nulls", "demand_lo", "demand_hi"))
 
 
 def train_stats(history: DataFrame, clip_lower: float = 0.01, clip_upper: float = 0.99,
                 extra: dict | None = None) -> TrainStats:
-    """The statistics of ``stats_frame`` in few jobs: every quantile (plus any
-    ``extra`` {column: probs}) in one ranked pass; both modes and the null
-    count in one aggregate."""
-    spec = {"Temperature": [0.5], "NumberofLanes": [0.5], "demand": [clip_lower, clip_upper]}
-    spec.update(extra or {})
-    cats = (mode_of(history, "RoadType", "road_mode")
-            .crossJoin(mode_of(history, "Weather", "weather_mode"))
-            .crossJoin(history.agg(F.count_if(F.col("NumberofLanes").isNull()).alias("lanes_nulls"),
-                                   F.count(F.lit(1)).alias("rows"))))
-    r = scalar_row(cats)
-    # distinct values <= rows: one value range suffices when rows are few (no estimate job)
-    q = column_quantiles(history, spec, buckets=1 if r["rows"] <= VALUES_PER_BUCKET else None)
-    return TrainStats(q["Temperature"][0], r["road_mode"], r["weather_mode"], q["NumberofLanes"][0],
-                      int(r["lanes_nulls"]), q["demand"][0], q["demand"][1],
-                      {k: q[k] for k in (extra or {})})
+    """The statistics of ``stats_frame``, plus medians of ``extra`` {column: probs}, read in one job."""
+    wanted = {f"x{i}_{j}": (c, p) for i, (c, ps) in enumerate((extra or {}).items()) for j, p in enumerate(ps)}
+    row = stats_frame(history, clip_lower, clip_upper)
+    if wanted:
+        spec = {c: {name: p for name, (own, p) in wanted.items() if own == c} for c in extra}
+        row = row.crossJoin(quantile_frame(history, spec))  # 1 x 1
+    r = scalar_row(row)
+    return TrainStats(r["temp_median"], r["road_mode"], r["weather_mode"], r["lanes_median"], int(r["lanes_nulls"]), r["demand_lo"], r["demand_hi"],
+                      {c: [r[name] for name, (own, _) in wanted.items() if own == c] for c in extra or {}})
 
 
 def impute(df: DataFrame, st: TrainStats, fill_lanes: bool = True) -> DataFrame:

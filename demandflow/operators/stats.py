@@ -2,9 +2,8 @@
 
 * ``exact_quantiles``: linear-interpolated quantiles (the pandas/numpy rule)
   without Spark's exact ``percentile`` aggregate, whose final buffer holds
-  every distinct value of a group in one task. Values are collapsed to
-  (value, count) first, cut into value ranges by an approximate sketch,
-  ranked inside each range, and offset by the running total of the ranges.
+  every distinct value of a group in one task. A sketch brackets each wanted
+  rank; only values inside the brackets are ranked.
 * ``mode_of``: most frequent non-null value, smallest on ties, as two
   ordinary aggregations (map-side combine, no per-group value buffer).
 * ``checked_broadcast``: broadcast a lookup only after counting it.
@@ -15,15 +14,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from demandflow.session import cut_lineage
 
-VALUES_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 16384
+SKETCH_ACCURACY = 100_000
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -67,93 +65,57 @@ def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return small
 
 
-def _distinct_estimate(df: DataFrame, col: str) -> int:
-    return int(scalar_row(df.agg(F.approx_count_distinct(F.col(col), 0.05).alias("d")))["d"] or 0)
-
-
-def _splits(df: DataFrame, col: str, buckets: int) -> list[float]:
-    """Strictly increasing bucket edges from an approximate quantile sketch."""
-    if buckets <= 1:
-        return [float("-inf"), float("inf")]
-    probs = [i / buckets for i in range(1, buckets)]
-    row = scalar_row(df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("s")))
-    found = sorted({float(x) for x in (row["s"] or []) if x is not None})
-    return [float("-inf")] + found + [float("inf")]
-
-
-def _bucketed(df: DataFrame, col: str, buckets: int, out: str) -> DataFrame:
-    tmp = f"{out}_src"
-    splits = _splits(df, col, buckets)
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, F.col(col).cast("double"))).drop(tmp)
-
-
-def _running_offsets(counts: DataFrame, part: list[str], order: list[str], n: str, out: str) -> DataFrame:
-    """Exclusive running sum of ``n`` in ``order`` within ``part`` on a small table."""
-    w = Window.orderBy(*order) if not part else Window.partitionBy(*part).orderBy(*order)
-    w = w.rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn(out, F.coalesce(F.sum(n).over(w), F.lit(0)).cast("long"))
-
-
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, by: Sequence[str] = (),
-                    buckets: int | None = None, max_groups: int | None = None) -> DataFrame:
+                    max_groups: int | None = None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """One row per group of ``by``: exact quantiles of ``value`` (nulls ignored).
 
     Position h = (n-1)p; result lerp(v[floor h], v[floor h + 1], h - floor h)
     with numpy's two-sided lerp. Without ``by`` there is always one row.
 
-    Plan: (group, value, count) by aggregation; each distinct value gets the
-    rank range it covers from a running sum; each row tests whether it covers
-    the wanted ranks, and one aggregate per group picks them. The running sum
-    runs inside value ranges holding at most VALUES_PER_BUCKET distinct values
-    (ranges from an approximate sketch, offsets from their small count table),
-    so no task ever orders more than that. ``buckets`` overrides the count of
-    ranges (default: from a distinct-count estimate). ``max_groups`` is a
-    proven bound on the number of groups; with it the small per-group tables
-    are broadcast without a counting job.
+    Two passes over ``df`` and no shuffle of its values. A mergeable quantile
+    sketch, off by at most 1/``accuracy`` of a group's rows, gives each wanted
+    rank a bracket of values. The second pass keeps the values inside brackets
+    (a few in ``accuracy`` rows, equal ones as one row with a count) and, of all
+    others, the count, smallest and largest between one bracket and the next:
+    partial aggregation leaves little to shuffle. Running counts over these
+    rows are exact ranks. A wanted rank lies inside its bracket or next to it;
+    if ever not, the job fails instead of returning another value.
+    ``max_groups`` is a proven bound on the number of groups; with it the table
+    of brackets is broadcast.
     """
     by = list(by)
-    if not by:
-        max_groups = 1
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     g = by if by else ["_g"]
-    base = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    if not by:
-        base = base.withColumn("_g", F.lit(0))
-    vc = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, max(1, -(-_distinct_estimate(vc, "_v") // VALUES_PER_BUCKET)))
-    within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    running = F.coalesce(F.sum("_n").over(within), F.lit(0))
-    if buckets <= 1:
-        ranked = vc.select("*", F.lit(0).alias("_b"))
-        ranked = ranked.select("*", running.alias("_lo_rank"),
-                               F.sum("_n").over(Window.partitionBy(*g)).alias("_tot"))
-    else:
-        vb = _bucketed(vc, "_v", buckets, "_b")
-        tot = vb.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
-        tot = _running_offsets(tot, g, ["_b"], "_bn", "_off") \
-            .withColumn("_tot", F.sum("_bn").over(Window.partitionBy(*g))).drop("_bn")
-        if max_groups is not None and max_groups * (buckets + 1) <= BROADCAST_MAX_ROWS:
-            tot = F.broadcast(tot)
-        else:
-            tot = checked_broadcast(tot)
-        ranked = vb.join(tot, [*g, "_b"]).select("*", (F.col("_off") + running).alias("_lo_rank"))
-    hi_rank = F.col("_lo_rank") + F.col("_n")
+    base = df.select(*(by or [F.lit(0).alias("_g")]), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    slack = 2.0 / accuracy
+    wanted = [max(p - slack, 0.0) for p in probs] + [min(p + slack, 1.0) for p in probs]
+    brackets = base.groupBy(*g).agg(F.percentile_approx("_v", wanted, accuracy).alias("_s"), F.count(F.lit(1)).alias("_tot"))
+    if not by or (max_groups is not None and max_groups <= BROADCAST_MAX_ROWS):
+        brackets = F.broadcast(brackets)
+    lows, highs = ([F.col("_s")[i + side * len(probs)] for i in range(len(probs))] for side in (0, 1))
+    inside = reduce(Column.__or__, [(F.col("_v") >= lo) & (F.col("_v") <= hi) for lo, hi in zip(lows, highs)])
+    region = reduce(Column.__add__, [(F.col("_v") > hi).cast("int") for hi in highs])
+    kept = (base.join(brackets, g)
+            .select(*g, "_v", "_tot", F.when(inside, F.col("_v")).alias("_x"), F.when(~inside, region).alias("_r"))
+            .groupBy(*g, "_tot", "_x", "_r").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
+    before = Window.partitionBy(*g).orderBy("_mn").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = kept.withColumn("_lo_rank", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    last = F.col("_lo_rank") + F.col("_n") - 1
+
+    def at(rank: Column) -> Column:
+        """The value at ``rank`` if this row holds it."""
+        known = (F.when(F.col("_x").isNotNull() | (rank == F.col("_lo_rank")), F.col("_mn")).when(rank == last, F.col("_mx"))
+                 .otherwise(F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")))
+        return F.max(F.when((F.col("_lo_rank") <= rank) & (rank <= last), known))
+
     picks, finals = [], []
     for i, p in enumerate(probs):
         h = (F.col("_tot") - 1) * F.lit(float(p))
         r0 = F.floor(h)
-        r1 = F.least(r0 + 1, F.col("_tot") - 1)
-        covers0 = (F.col("_lo_rank") <= r0) & (r0 < hi_rank)
-        covers1 = (F.col("_lo_rank") <= r1) & (r1 < hi_rank)
-        picks += [F.max(F.when(covers0, F.col("_v"))).alias(f"_a{i}"),
-                  F.max(F.when(covers1, F.col("_v"))).alias(f"_b{i}"),
-                  F.max(h - r0).alias(f"_t{i}")]
+        picks += [at(r0).alias(f"_a{i}"), at(F.least(r0 + 1, F.col("_tot") - 1)).alias(f"_b{i}"), F.max(h - r0).alias(f"_t{i}")]
         a, b, t = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_t{i}")
-        finals.append(F.when(t >= 0.5, b - (b - a) * (1 - t)).otherwise(a + (b - a) * t)
-                      .cast("double").alias(names[i]))
+        finals.append(F.when(t >= 0.5, b - (b - a) * (1 - t)).otherwise(a + (b - a) * t).alias(names[i]))
     out = ranked.groupBy(*g).agg(*picks).select(*g, *finals)
     if not by:
         one = df.sparkSession.range(1).select(F.lit(0).alias("_g"))
@@ -161,26 +123,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     return out
 
 
-def column_quantiles(df: DataFrame, spec: dict[str, Sequence[float]],
-                     buckets: int | None = None) -> dict[str, list[float | None]]:
-    """Scalar exact quantiles of several columns in one distributed pass.
+def quantile_frame(df: DataFrame, spec: dict[str, dict[str, float]]) -> DataFrame:
+    """One row: for each column of ``spec`` its exact quantiles, {output name: probability}.
 
-    The columns are unpivoted to (name, value) and ranked per name, so the
-    whole request is one plan with a group count bounded by ``len(spec)``.
+    The columns are unpivoted to (name, value) and ranked per name: one plan,
+    whose number of groups is bounded by ``len(spec)``.
     """
-    names = list(spec)
-    probs = sorted({float(p) for ps in spec.values() for p in ps})
+    probs = sorted({float(p) for wanted in spec.values() for p in wanted.values()})
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("v")) for n in names])).alias("x")) \
+        F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("v")) for n in spec])).alias("x")) \
         .select("x.name", "x.v")
-    cols = [f"p{i}" for i in range(len(probs))]
-    rows = {r["name"]: r for r in exact_quantiles(long, "v", probs, cols, by=["name"], buckets=buckets,
-                                                  max_groups=len(names)).collect()}
-    out: dict[str, list[float | None]] = {}
-    for n in names:
-        r = rows.get(n)
-        out[n] = [None if r is None else r[cols[probs.index(float(p))]] for p in spec[n]]
-    return out
+    found = exact_quantiles(long, "v", probs, [f"p{i}" for i in range(len(probs))], by=["name"], max_groups=len(spec))
+    return found.agg(*[F.max(F.when(F.col("name") == n, F.col(f"p{probs.index(float(p))}"))).alias(out)
+                       for n, wanted in spec.items() for out, p in wanted.items()])
 
 
 def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = ()) -> DataFrame:

@@ -26,7 +26,6 @@ from demandflow.operators.encode import (V1_ENCODINGS, V2_ENCODINGS, encode_all,
                                          frequency_encode, with_fold)
 from demandflow.operators.stats import checked_broadcast
 from demandflow.operators.lag import with_lag
-from demandflow.operators.stats import column_quantiles
 from demandflow.session import cut_lineage
 from demandflow.sources.observations import SOURCE_COLUMNS
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from demandflow.functions.timefeat import with_time_columns
 from demandflow.operators import clean as C
 from demandflow.operators import lag as L
-from demandflow.operators.stats import mode_of
+from demandflow.operators.stats import mode_of, quantile_frame
 from demandflow.plans import inputs as I
 from demandflow.plans.registry import query, rnd, sql_rnd
 from demandflow.sources.observations import oracle
@@ -84,9 +84,10 @@ def f5(spark, sf):
     f'select "Index", {sql_rnd("least(greatest(demand, demand_lo), demand_hi)")} as demand '
     "from history cross join stats", STATS_CTE))
 def f6(spark, sf):
-    st = I.cleaned(spark, sf, "v2").stats
-    return C.clip_column(I.history(spark, sf), "demand", st.demand_lo, st.demand_hi).select(
-        "Index", rnd("demand").alias("demand"))
+    h = I.history(spark, sf)
+    bounds = quantile_frame(h, {"demand": {"lo": 0.01, "hi": 0.99}})  # one row
+    clipped = F.when(F.col("demand").isNotNull(), F.least(F.greatest("demand", "lo"), F.col("hi")))
+    return h.crossJoin(F.broadcast(bounds)).select("Index", rnd(clipped).alias("demand"))
 
 
 @query("f8_lanes_fill", oracle(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from demandflow.functions.geo import geohash_prefix
 from demandflow.functions.timefeat import slot_label, time_of_day
 from demandflow.operators import profile as P
-from demandflow.operators.stats import column_quantiles, exact_avg, exact_quantiles, ordered_row_number
+from demandflow.operators.stats import exact_avg, exact_quantiles, ordered_row_number, quantile_frame
 from demandflow.plans import inputs as I
 from demandflow.plans.q_clean_join import NULLS_CTE, TOP_GH_CTE, null_counts, top_geohash
 from demandflow.plans.registry import query, rnd, sql_avg, sql_rnd
@@ -286,9 +286,9 @@ def a24(spark, sf):
     "from history)"))
 def a25(spark, sf):
     h = I.history(spark, sf)
-    q = column_quantiles(h, {"demand": [0.01, 0.99]})["demand"]
-    clipped = F.least(F.greatest(F.col("demand"), F.lit(q[0])), F.lit(q[1]))
-    return h.agg(rnd(exact_avg("demand")).alias("mean_before"), rnd(exact_avg(clipped)).alias("mean_after"))
+    bounds = quantile_frame(h, {"demand": {"lo": 0.01, "hi": 0.99}})  # one row
+    clipped = F.when(F.col("demand").isNotNull(), F.least(F.greatest("demand", "lo"), F.col("hi")))
+    return h.crossJoin(F.broadcast(bounds)).agg(rnd(exact_avg("demand")).alias("mean_before"), rnd(exact_avg(clipped)).alias("mean_after"))
 
 
 @query("a26_global_mean", oracle(f"select {sql_rnd(sql_avg('demand'))} as global_mean from history"))

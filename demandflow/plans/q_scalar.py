@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandflow.functions import geo, interact, timefeat
-from demandflow.operators.stats import checked_broadcast
+from demandflow.operators.stats import checked_broadcast, quantile_frame
 from demandflow.plans import inputs as I
 from demandflow.plans.registry import query, rnd, sql_rnd
 from demandflow.sources.observations import _SQL_HISTORY, oracle
@@ -164,8 +164,9 @@ def g5(spark, sf):
 @query("g6_city_center", oracle(
     f"select {sql_rnd('clat')} as center_lat, {sql_rnd('clon')} as center_lon from center", GEO_CTE))
 def g6(spark, sf):
-    c = I.cleaned(spark, sf).center
-    return spark.range(1).select(rnd(F.lit(c[0])).alias("center_lat"), rnd(F.lit(c[1])).alias("center_lon"))
+    located = geo.with_geo_columns(I.history(spark, sf), decoded=I.decoded(spark, sf))
+    medians = quantile_frame(located, {"latitude": {"lat": 0.5}, "longitude": {"lon": 0.5}})
+    return medians.select(rnd("lat").alias("center_lat"), rnd("lon").alias("center_lon"))
 
 
 @query("g7_dist_to_center", oracle(

@@ -9,23 +9,35 @@ from demandflow.operators import encode as E
 from demandflow.operators import lag as L
 from demandflow.operators.documented import rolling_previous
 from demandflow.operators.split import time_blocks
-from demandflow.operators.stats import exact_quantiles, mode_of, ordered_row_number
+from demandflow.operators.stats import exact_quantiles, mode_of, ordered_row_number, quantile_frame
 
 
 def test_exact_quantiles_match_pandas(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.integers(0, 4, 3000), "v": np.round(rng.exponential(1, 3000), 3)})
     pdf.loc[pdf.index[:1000], "v"] = 0.5  # one value holds a third of the rows
-    df = spark.createDataFrame(pdf)
+    df = spark.createDataFrame(pdf).repartition(9)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    for buckets in (None, 7):
-        got = exact_quantiles(df, "v", probs, buckets=buckets).toPandas().iloc[0].to_numpy()
+    for accuracy in (100_000, 300, 40):  # wide brackets, narrow ones, brackets that the sketch misses by some ranks
+        got = exact_quantiles(df, "v", probs, accuracy=accuracy).toPandas().iloc[0].to_numpy()
         assert np.array_equal(got, pdf["v"].quantile(probs).to_numpy())
-        grp = exact_quantiles(df, "v", probs, by=["g"], buckets=buckets).toPandas().sort_values("g")
+        grp = exact_quantiles(df, "v", probs, by=["g"], accuracy=accuracy).toPandas().sort_values("g")
         exp = pdf.groupby("g")["v"].quantile(probs).unstack().to_numpy()
         assert np.array_equal(grp.drop(columns="g").to_numpy(), exp)
 
 
+def test_exact_quantiles_of_small_groups_nulls_and_nothing(spark):
+    rng = np.random.default_rng(8)
+    sizes = [1, 2, 3, 4, 5, 7, 10, 31]
+    pdf = pd.DataFrame({"g": np.repeat(np.arange(len(sizes)), sizes), "v": rng.integers(-5, 6, sum(sizes)).astype(float)})
+    probs = [0.0, 0.1, 0.3, 0.5, 0.9, 1.0]
+    got = exact_quantiles(spark.createDataFrame(pdf), "v", probs, by=["g"], max_groups=8).toPandas().sort_values("g")
+    assert np.array_equal(got.drop(columns="g").to_numpy(), pdf.groupby("g")["v"].quantile(probs).unstack().to_numpy())
+    nulls = spark.createDataFrame([(1, None), (2, None)], "a int, v double")
+    assert [tuple(r) for r in exact_quantiles(nulls, "v", [0.5, 0.9]).collect()] == [(None, None)]
+    assert quantile_frame(nulls, {"v": {"m": 0.5}, "a": {"lo": 0.0, "hi": 1.0}}).first() == (None, 1.0, 2.0)
+
+
 def test_mode_ties_and_nulls(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "x string")
     assert mode_of(df, "x").first()[0] == "a"
