@@ -1,25 +1,30 @@
 """Encodings: frequency (A19), fold ids (K1), out-of-fold and full target
-encoding (K3-K6), first-appearance label codes (O7/K7).
+encoding (K3-K6), encodings per expanding fold, first-appearance label codes (O7/K7).
 
 Target encoding uses a closed form instead of k passes. With S, N the
 target sum and row count of a key, and s_f, n_f those of the key inside
 fold f, a history row of fold f gets (S - s_f + m*g) / (N - n_f + m), which
 is g when no other fold holds the key. Future rows get (S + m*g) / (N + m).
-All statistics come from two small aggregates per key; they are broadcast
-only after a row-count check.
+
+All key sets of a variant share one aggregation, which leaves a row a key with
+its folds' sums in an array. A key set below the byte limit is broadcast; above
+it, the keys that hold more than a partition's share of the rows are, and only
+the others are joined by shuffle (``attach``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import (BROADCAST_MAX_ROWS, checked_broadcast, exact_avg,
-                                        ordered_row_number, scalar_row)
+from demandflow.operators.stats import checked_broadcast, exact_avg, ordered_row_number, position_keys, scalar_row
+from demandflow.session import cut_lineage
 
 N_FOLDS = 5
+BROADCAST_MAX_BYTES = 64 << 20
+SUM_TYPE = "decimal(38,12)"
 
 
 def fold_id(index: str = "Index", k: int = N_FOLDS, method: str = "mod"):
@@ -29,8 +34,27 @@ def fold_id(index: str = "Index", k: int = N_FOLDS, method: str = "mod"):
     return F.pmod(F.col(index), F.lit(k)).cast("int")
 
 
+def shuffled_fold(df: DataFrame, index: str = "Index", k: int = N_FOLDS, seed: int = 42) -> Column:
+    """K1: folds of equal size (one row apart at most) in the order of a seeded hash of the index.
+
+    Only the k - 1 keys at the cuts are looked up, by numbering (hash, index) by range partition; a row finds its
+    fold by comparing its own hash and index with them.
+    """
+    turn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(index).cast("string")))
+    keys = df.select(turn.alias("turn"), F.col(index).alias("at"))
+    n = int(scalar_row(df.agg(F.count(F.lit(1)).alias("n")))["n"])
+    cuts = position_keys(keys, ["turn", "at"], [n * i // k for i in range(1, k)]) if n else {}
+    fold = F.lit(0)
+    for position in [n * i // k for i in range(1, k)]:
+        if position in cuts:
+            cut = cuts[position]
+            fold = fold + F.when((turn > cut["turn"]) | ((turn == cut["turn"]) & (F.col(index) >= cut["at"])), 1).otherwise(0)
+    return fold.cast("int")
+
+
 def with_fold(df: DataFrame, k: int = N_FOLDS, method: str = "mod", name: str = "fold") -> DataFrame:
-    return df.withColumn(name, fold_id("Index", k, method))
+    """``method``: 'shuffled' (equal folds in the order of a seeded hash), 'mod' or 'hash' (``fold_id``)."""
+    return df.withColumn(name, shuffled_fold(df, k=k) if method == "shuffled" else fold_id("Index", k, method))
 
 
 def global_mean(history: DataFrame, target: str = "demand") -> float:
@@ -137,73 +161,133 @@ def _key_array(keys: Sequence[str]):
     return F.array(*[p.cast("string") for p in _parts(keys).values()])
 
 
-def encoding_tables(base: DataFrame, spec, target: str = "demand", fold: str = "fold"):
-    """Statistics of every key set in ONE aggregation.
-
-    Rows are unpivoted to (encoding id, key array, fold) and summed once; the
-    per-key totals come from that small table. Returns (oof, full, info):
-    oof on (enc, key, fold) and full on (enc, key), both with ``value``
-    still to be formed, plus one job's worth of scalars: lookup row count,
-    history row count and the exact global target mean (encoding id -1 holds all rows).
-    """
+def _long(base: DataFrame, spec, target: str, *keep: str) -> DataFrame:
+    """(enc, key, *keep, target in exact decimals) for every key set; encoding -1 holds all rows."""
     entries = [F.struct(F.lit(i).alias("enc"), _key_array(keys).alias("key")) for i, (_, keys, _) in enumerate(spec)]
     entries.append(F.struct(F.lit(-1).alias("enc"), F.array(F.lit("")).alias("key")))
-    long = base.select(F.col(fold), F.col(target).cast("decimal(38,12)").alias("_y"),
-                       F.explode(F.array(*entries)).alias("_e")).select("_e.enc", "_e.key", fold, "_y") \
-               .where(F.get("key", F.lit(0)).isNotNull())
-    per_fold = long.groupBy("enc", "key", fold).agg(F.sum("_y").alias("_fs"), F.count("_y").alias("_fn"),
-                                                    F.count(F.lit(1)).alias("_fr")).persist()
-    info = scalar_row(per_fold.agg(
-        F.count(F.lit(1)).alias("lookup_rows"),
-        F.sum(F.when(F.col("enc") == -1, F.col("_fs"))).alias("_sum"),
-        F.sum(F.when(F.col("enc") == -1, F.col("_fn"))).alias("_targets"),
-        F.sum(F.when(F.col("enc") == -1, F.col("_fr"))).alias("rows")))
-    totals = per_fold.groupBy("enc", "key").agg(F.sum("_fs").alias("_ks"), F.sum("_fn").alias("_kn"))
-    g = float(info["_sum"]) / int(info["_targets"])
-    return per_fold, totals, {"lookup_rows": int(info["lookup_rows"]), "rows": int(info["rows"]), "mean": g}
+    return base.select(*keep, F.col(target).cast(SUM_TYPE).alias("_y"), F.explode(F.array(*entries)).alias("_e")) \
+               .select("_e.enc", "_e.key", *keep, "_y").where(F.get("key", F.lit(0)).isNotNull())
+
+
+def _key_bytes() -> Column:
+    return F.aggregate("key", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(F.coalesce(x, F.lit("")))) + 24
+
+
+def encoding_tables(base: DataFrame, spec, target: str = "demand", fold: str = "fold") -> tuple[DataFrame, dict]:
+    """Statistics of every key set in ONE aggregation: (enc, key, folds: array of (fold, sum, targets), sum, targets, rows).
+
+    Rows are unpivoted to (encoding id, key array, fold) and summed once (partial
+    aggregation, so a hot key costs a row a task). The table is stored once. With it
+    come scalars: number of keys and their bytes per encoding, history row count
+    and the exact global target mean.
+    """
+    per_fold = _long(base, spec, target, fold).groupBy("enc", "key", fold).agg(F.sum("_y").alias("s"), F.count("_y").alias("n"), F.count(F.lit(1)).alias("r"))
+    tables = cut_lineage(per_fold.groupBy("enc", "key").agg(
+        F.collect_list(F.struct(F.col(fold).alias("fold"), "s", "n")).alias("folds"), F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("r").alias("r")))
+    sizes = {r["enc"]: r for r in tables.groupBy("enc").agg(F.count(F.lit(1)).alias("keys"), F.sum(_key_bytes()).alias("bytes"),
+                                                             F.max("s").alias("s"), F.max("n").alias("n"), F.max("r").alias("r")).collect()}  # a row a key set
+    every = sizes[-1]
+    return tables, {"keys": {i: r["keys"] for i, r in sizes.items()}, "bytes": {i: r["bytes"] for i, r in sizes.items()},
+                    "rows": int(every["r"]), "mean": float(every["s"]) / int(every["n"])}
+
+
+def out_of_fold(m: float, g: float, k: int = N_FOLDS) -> Column:
+    """Array over folds: the value of a key's rows in that fold, from the targets of the others."""
+    def value(f: Column) -> Column:
+        own = F.get(F.filter("folds", lambda x: x["fold"] == f), F.lit(0))
+        rest = (F.col("s") - F.coalesce(own["s"], F.lit(0).cast(SUM_TYPE))).cast("double")
+        return (F.coalesce(rest, F.lit(0.0)) + float(m) * F.lit(float(g))) / (F.col("n") - F.coalesce(own["n"], F.lit(0)) + float(m))
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), value)
+
+
+def from_all(m: float, g: float) -> Column:
+    """The value of a key from all its targets."""
+    return (F.coalesce(F.col("s").cast("double"), F.lit(0.0)) + float(m) * F.lit(float(g))) / (F.col("n") + float(m))
+
+
+def attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str], name: str, *, size: int, total: int, limit: int = BROADCAST_MAX_BYTES,
+           spread: str = "Index") -> DataFrame:
+    """Left join of ``df`` with ``lookup`` (key, value, rows: how many of ``total`` rows have the key), its value as ``name``.
+
+    ``size``: the lookup's bytes. Above ``limit`` only keys with more than a partition's share of the rows are
+    broadcast (fewer keys than partitions); rows that found theirs there, or have none, are spread by ``spread``
+    in the shuffle that joins the rest.
+    """
+    own = _key_array(keys)
+    if size <= limit:
+        found = F.broadcast(lookup.select(F.col("key").alias("_lk"), F.col("value").alias(name)))
+        return df.join(found, own == F.col("_lk"), "left").drop("_lk")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    often = F.col("rows") * parts > total
+    hot = F.broadcast(lookup.where(often).select(F.col("key").alias("_hk"), F.col("value").alias("_hv")))
+    tail = lookup.where(~often).select(F.col("key").alias("_tk"), F.col("value").alias("_tv"))
+    settled = F.col("_hk").isNotNull() | F.exists(own, lambda x: x.isNull())
+    with_hot = df.join(hot, own == F.col("_hk"), "left")
+    with_hot = with_hot.withColumn("_own", F.when(settled, F.concat(F.array(F.col(spread).cast("string")), own)).otherwise(own))  # no key has as many parts
+    return with_hot.join(tail, F.col("_own") == F.col("_tk"), "left").withColumn(name, F.coalesce("_hv", "_tv")).drop("_hk", "_hv", "_own", "_tk", "_tv")
 
 
 def encode_all(history: DataFrame, future: DataFrame | None, spec, g: float | None = None,
                target: str = "demand", fold: str = "fold", source: DataFrame | None = None,
-               info_out: dict | None = None) -> tuple[DataFrame, DataFrame | None]:
+               frequency: tuple[str, int] | None = None, limit: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, DataFrame | None]:
     """K5/K6: every encoding of a key set; history keeps its fold column.
 
     ``source`` (default ``history``) is the frame the statistics come from;
-    it should be persisted or checkpointed by the caller. ``g`` defaults to
-    the exact mean of ``source``. ``info_out`` receives the scalars of
-    ``encoding_tables`` (row count, mean, lookup size).
+    it should be checkpointed by the caller. ``g`` defaults to the exact mean of
+    ``source``. ``frequency`` (name, i) adds A19 of encoding i's key from the same table.
     """
-    base = history if source is None else source
-    per_fold, totals, info = encoding_tables(base, spec, target, fold)
-    if info_out is not None:
-        info_out.update(info)
-    if g is None:
-        g = info["mean"]
-    gl = F.lit(float(g))
-    small = info["lookup_rows"] <= BROADCAST_MAX_ROWS
-    # Both lookup tables for every encoding at once, built once and sliced per encoding.
-    m = F.create_map(*[x for i, (_, _, mm) in enumerate(spec) for x in (F.lit(i), F.lit(float(mm)))])[F.col("enc")]
-    rest = (F.col("_ks") - F.col("_fs")).cast("double")
-    oof_all = per_fold.join(totals, ["enc", "key"]).select(
-        "enc", "key", fold, ((rest + m * gl) / (F.col("_kn") - F.col("_fn") + m)).alias("_v")).persist()
-    full_all = totals.select("enc", "key", ((F.col("_ks").cast("double") + m * gl) / (F.col("_kn") + m))
-                             .alias("_v")).persist()
-    hcols, fcols = {}, {}
-    for i, (name, keys, _) in enumerate(spec):
-        oof = oof_all.where(F.col("enc") == i).select(F.col("key").alias(f"_k{i}"), F.col(fold).alias(f"_f{i}"),
-                                                      F.col("_v").alias(f"_v{i}"))
-        history = history.join(F.broadcast(oof) if small else oof,
-                               (_key_array(keys) == F.col(f"_k{i}")) & (F.col(fold) == F.col(f"_f{i}")), "left")
-        hcols[name] = F.coalesce(F.col(f"_v{i}"), gl)
+    tables, info = encoding_tables(history if source is None else source, spec, target, fold)
+    g = info["mean"] if g is None else g
+    kept = history.columns
+    for i, (name, keys, m) in enumerate(spec):
+        of = tables.where(F.col("enc") == i)
+        value = F.struct(out_of_fold(m, g).alias("oof"), from_all(m, g).alias("full"), "r").alias("value")
+        lookup = of.select("key", value, F.col("r").alias("rows"))
+        size = dict(size=info["bytes"].get(i, 0) + info["keys"].get(i, 0) * 8 * (N_FOLDS + 2), total=info["rows"], limit=limit)
+        rows = {name: lambda side: F.coalesce(F.get(F.col("_e.oof"), F.col(fold)) if side else F.col("_e.full"), F.lit(float(g)))}
+        if frequency is not None and frequency[1] == i:
+            rows[frequency[0]] = lambda _: F.coalesce(F.col("_e.r"), F.lit(0)) / F.lit(float(info["rows"]))
+        history = attach(history, lookup, keys, "_e", **size).withColumns({c: v(True) for c, v in rows.items()}).drop("_e")
         if future is not None:
-            full = full_all.where(F.col("enc") == i).select(F.col("key").alias(f"_k{i}"), F.col("_v").alias(f"_v{i}"))
-            future = future.join(F.broadcast(full) if small else full, _key_array(keys) == F.col(f"_k{i}"), "left")
-            fcols[name] = F.coalesce(F.col(f"_v{i}"), gl)
-    temp = [c for i in range(len(spec)) for c in (f"_k{i}", f"_f{i}", f"_v{i}")]
-    history = history.withColumns(hcols).drop(*temp)
-    if future is not None:
-        future = future.withColumns(fcols).drop(*temp)
-    return history, future
+            future = attach(future, lookup, keys, "_e", **size).withColumns({c: v(False) for c, v in rows.items()}).drop("_e")
+    added = [n for n, _, _ in spec] + ([frequency[0]] if frequency else [])
+    return history.select(*kept, *added), future
+
+
+def prefix_encodings(blocked: DataFrame, spec, k: int = 3, target: str = "demand", fold: str = "fold", block: str = "block",
+                     limit: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """K5/K6 refitted for every fold of the expanding time split, as a long table.
+
+    Fold ``cv`` trains on rows of earlier blocks (``role`` 'train': out-of-fold values) and tests on block ``cv``
+    ('test': values of all training rows); global means and all sums come from the training rows alone, so no
+    target of the tested or a later block is seen. One aggregation by (key, block, fold); running sums over the
+    blocks of a key, at most (k + 1) times the folds numbers, give every ``cv`` its statistics.
+    """
+    sums = _long(blocked, spec, target, fold, block).groupBy("enc", "key", block, fold).agg(F.sum("_y").alias("s"), F.count("_y").alias("n"), F.count(F.lit(1)).alias("r"))
+    tables = cut_lineage(sums.groupBy("enc", "key").agg(F.collect_list(F.struct(F.col(block).alias("block"), F.col(fold).alias("fold"), "s", "n")).alias("cells"), F.sum("r").alias("r")))
+    known = lambda cells: F.aggregate(cells, F.struct(F.lit(0).cast(SUM_TYPE).alias("s"), F.lit(0).cast("long").alias("n")), lambda a, x: F.struct(
+        (a["s"] + F.coalesce(x["s"], F.lit(0).cast(SUM_TYPE))).cast(SUM_TYPE).alias("s"), (a["n"] + x["n"]).alias("n")))
+    before = lambda c: F.filter("cells", lambda x: x["block"] < c)
+    every = scalar_row(tables.where("enc = -1").select(*[known(before(c)).alias(f"c{c}") for c in range(k)], "r"))
+    means = [float(every[f"c{c}"]["s"]) / every[f"c{c}"]["n"] if every[f"c{c}"]["n"] else 0.0 for c in range(k)]
+    sizes = {r["enc"]: r["bytes"] for r in tables.groupBy("enc").agg(F.sum(_key_bytes() + 8 * (N_FOLDS + 1) * k).alias("bytes")).collect()}  # a row a key set
+    later = F.when(F.col(block) + 1 <= k - 1, F.sequence(F.col(block) + 1, F.lit(k - 1))).otherwise(F.array().cast("array<int>"))
+    own = F.when(F.col(block) >= 0, F.array(F.col(block))).otherwise(F.array().cast("array<int>"))
+    roles = F.concat(F.transform(later, lambda c: F.struct(c.alias("cv"), F.lit("train").alias("role"))), F.transform(own, lambda c: F.struct(c.alias("cv"), F.lit("test").alias("role"))))
+    rows = blocked.withColumn("_r", F.explode(roles)).select(*blocked.columns, "_r.cv", "_r.role")
+    for i, (name, keys, m) in enumerate(spec):
+        def values(c: int) -> Column:
+            smooth = lambda t: (t["s"].cast("double") + float(m) * means[c]) / (t["n"] + float(m))  # noqa: E731, B023
+            seen = before(c)
+            oof = F.transform(F.sequence(F.lit(0), F.lit(N_FOLDS - 1)), lambda f: smooth(known(F.filter(seen, lambda x: x["fold"] != f))))
+            return F.struct(oof.alias("oof"), smooth(known(seen)).alias("full"))
+        lookup = tables.where(F.col("enc") == i).select("key", F.array(*[values(c) for c in range(k)]).alias("value"), F.col("r").alias("rows"))
+        rows = attach(rows, lookup, keys, "_e", size=sizes.get(i, 0), total=every["r"], limit=limit)
+        at = F.get("_e", F.col("cv"))
+        value = F.when(F.col("role") == "train", F.get(at["oof"], F.col(fold))).otherwise(at["full"])
+        mean = F.element_at(F.array(*[F.lit(x) for x in means]), F.col("cv") + 1)
+        rows = rows.withColumn(name, F.coalesce(value, mean)).drop("_e")
+    return rows
 
 
 # Categorical columns that get label codes.
@@ -211,7 +295,7 @@ CATEGORY_COLUMNS = ["geohash", "RoadType", "Weather", "LargeVehicles", "Landmark
                     "geohash_4", "geohash_5", "road_weather", "road_vehicles"]
 
 
-def _appearance_codes(history: DataFrame, future: DataFrame, columns: Sequence[str]) -> DataFrame:
+def appearance_codes(history: DataFrame, future: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, code) for all ``columns`` at once: codes count up from 0 in each column.
 
     Rows are unpivoted to (column, value); a value's first position is one
@@ -233,11 +317,11 @@ def _appearance_codes(history: DataFrame, future: DataFrame, columns: Sequence[s
     return numbered.join(F.broadcast(starts), "column").select("column", "value", (F.col("n") - F.col("start")).cast("int").alias("code"))
 
 
-def first_appearance_codes(history: DataFrame, future: DataFrame, col: str,
+def firstappearance_codes(history: DataFrame, future: DataFrame, col: str,
                            code: str = "code") -> DataFrame:
     """(value, code) with codes in order of first appearance over history
     in (time_order, Index) order followed by future in Index order."""
-    return _appearance_codes(history, future, [col]).select("value", F.col("code").alias(code))
+    return appearance_codes(history, future, [col]).select("value", F.col("code").alias(code))
 
 
 def label_encode(history: DataFrame, future: DataFrame,
@@ -247,7 +331,7 @@ def label_encode(history: DataFrame, future: DataFrame,
     All columns' codes come from one numbering of the input frames; each
     column's share of it is counted and broadcast below the row limit.
     """
-    codes = _appearance_codes(history, future, columns).persist()
+    codes = appearance_codes(history, future, columns).persist()
     sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a column
     for c in columns:
         own = checked_broadcast(codes.where(F.col("column") == c).select("value", F.col("code").alias("_code")), bound=sizes.get(c, 0))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.encode import N_FOLDS, _key_array, encoding_tables
+from demandflow.operators.encode import N_FOLDS, _key_array, attach, encoding_tables, out_of_fold
 from demandflow.operators.stats import checked_broadcast, exact_avg, exact_quantiles, exact_sum, scalar_row
 
 # The seed list and the blend weights of the two variants.
@@ -42,23 +42,17 @@ def encoding_predictions(history: DataFrame, future: DataFrame, models=None,
                          folds: int = N_FOLDS) -> DataFrame:
     """(Index, model, seed, prediction) for every stand-in model: per key set, the
     smoothed mean with one history fold held out per seed. All models share one
-    (model, key, fold) aggregation; one small job bounds the lookup size."""
+    aggregation; a row takes its key's values of all folds in one lookup."""
     models = list(models or STANDIN_MODELS)
-    per_fold, totals, info = encoding_tables(history, models)
-    gl = F.lit(float(info["mean"]))
-    m = _enc_map(models, lambda mdl: float(mdl[2]))[F.col("enc")]
-    grid = totals.select("enc", "key", "_ks", "_kn", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
-    rest = (F.col("_ks") - F.coalesce(F.col("_fs"), F.lit(0).cast("decimal(38,12)"))).cast("double")
-    values = grid.join(per_fold, ["enc", "key", "fold"], "left").select(
-        "enc", "key", "fold", ((rest + m * gl) / (F.col("_kn") - F.coalesce(F.col("_fn"), F.lit(0)) + m)).alias("_p"))
-    values = checked_broadcast(values, bound=info["lookup_rows"] * folds)
-    entries = [F.struct(F.lit(i).alias("enc"), _key_array(keys).alias("key")) for i, (_, keys, _) in enumerate(models)]
-    rows = future.select("Index", F.explode(F.array(*entries)).alias("_e"),
-                         F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold")) \
-        .select("Index", "_e.enc", "_e.key", "fold")
-    return rows.join(values, ["enc", "key", "fold"], "left").select(
-        "Index", _enc_map(models, lambda mdl: mdl[0])[F.col("enc")].alias("model"), _seed_of().alias("seed"),
-        F.greatest(F.coalesce(F.col("_p"), gl), F.lit(0.0)).alias("prediction"))
+    tables, info = encoding_tables(history, models)
+    g, rows = info["mean"], future
+    for i, (name, keys, m) in enumerate(models):
+        lookup = tables.where(F.col("enc") == i).select("key", out_of_fold(m, g, folds).alias("value"), F.col("r").alias("rows"))
+        rows = attach(rows, lookup, keys, f"_p{i}", size=info["bytes"].get(i, 0) + 8 * folds * info["keys"].get(i, 0), total=info["rows"])
+    found = F.array(*[F.struct(F.lit(name).alias("model"), F.coalesce(F.col(f"_p{i}"), F.array_repeat(F.lit(float(g)), folds)).alias("values"))
+                      for i, (name, _, _) in enumerate(models)])
+    return rows.select("Index", F.explode(found).alias("m")).select("Index", "m.model", F.posexplode("m.values").alias("fold", "_p")) \
+               .select("Index", "model", _seed_of().alias("seed"), F.greatest(F.col("_p"), F.lit(0.0)).alias("prediction"))
 
 
 def seed_average(preds: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ V1: clip demand to train quantiles, fill lanes, lag on clipped demand,
 V2: no clipping, frequency before the lag, lag on raw demand, 11 encodings.
 NB: V2 without the lag column.
 
-History is persisted once it has its row-level columns, because the
-statistics, the lag lookup and every encoding aggregate read it again.
+History is persisted while its statistics and lag are read; its row-level columns
+are then checkpointed once, as every encoding aggregate reads them.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from demandflow.functions.interact import with_interactions
 from demandflow.functions.timefeat import with_cyclical, with_time_columns, with_time_flags
 from demandflow.operators.clean import (TrainStats, assert_no_leak, clip_column, impute,
                                         train_stats)
-from demandflow.operators.encode import (V1_ENCODINGS, V2_ENCODINGS, encode_all,
-                                         frequency_encode, with_fold)
+from demandflow.operators.encode import V1_ENCODINGS, V2_ENCODINGS, encode_all, with_fold
 from demandflow.operators.stats import checked_broadcast
 from demandflow.operators.lag import with_lag
 from demandflow.session import cut_lineage
@@ -94,27 +93,20 @@ def row_features(df: DataFrame, center: tuple[float, float], variant: str,
 
 
 def build_features(history: DataFrame, future: DataFrame, variant: str = "v2",
-                   fold_method: str = "mod") -> tuple[DataFrame, DataFrame]:
+                   fold_method: str = "shuffled") -> tuple[DataFrame, DataFrame]:
     """History and future feature tables of one variant ('v1', 'v2', 'nb')."""
+    history = history.persist(StorageLevel.MEMORY_AND_DISK)
     decoded = checked_broadcast(geohash_table([history, future]))
     c = clean(history, future, variant, with_center=True, decoded=decoded)
-    h = row_features(c.history, c.center, variant, decoded)
-    f = row_features(c.future, c.center, variant, decoded)
-    spec = V1_ENCODINGS if variant == "v1" else V2_ENCODINGS
-    if variant == "v1":
+    h, f = c.history, c.future
+    if variant != "nb":  # the lag goes on narrow rows
         h, f = with_lag(h, h), with_lag(f, h)
+    h = row_features(h, c.center, variant, decoded)
+    f = row_features(f, c.center, variant, decoded)
     h = cut_lineage(with_fold(h, method=fold_method))
-    info: dict = {}
-    if variant == "v1":
-        h_e, f_e = encode_all(h, f, spec, info_out=info)
-        fq = dict(total=info["rows"], bound=info["lookup_rows"])
-        h_e, f_e = frequency_encode(h_e, h, **fq), frequency_encode(f_e, h, **fq)
-    else:
-        h_e, f_e = encode_all(h, f, spec, info_out=info)
-        fq = dict(total=info["rows"], bound=info["lookup_rows"])
-        h_e, f_e = frequency_encode(h_e, h, **fq), frequency_encode(f_e, h, **fq)
-        if variant == "v2":
-            h_e, f_e = with_lag(h_e, h), with_lag(f_e, h)
+    history.unpersist()
+    spec = V1_ENCODINGS if variant == "v1" else V2_ENCODINGS
+    h_e, f_e = encode_all(h, f, spec, frequency=("geohash_freq", 0))
     return (h_e.select(*column_order(variant, "history")),
             f_e.select(*column_order(variant, "future")))
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandflow.functions.geo import with_geo_columns
+from demandflow.functions.interact import with_interactions
 from demandflow.operators import encode as E
 from demandflow.operators import score as S
 from demandflow.operators.split import time_blocks
@@ -14,7 +16,7 @@ from demandflow.plans import inputs as I
 from demandflow.plans.features import column_order, model_columns
 
 from demandflow.plans.registry import context, query, rnd, sql_rnd
-from demandflow.plans.sql_features import feature_sql
+from demandflow.plans.sql_features import FOLDS_CTE, feature_sql, prefix_sql
 from demandflow.session import cut_lineage
 from demandflow.sources import files
 from demandflow.sources.observations import oracle
@@ -49,6 +51,11 @@ def k1(spark, sf):
     return E.with_fold(I.history(spark, sf)).select("Index", "fold")
 
 
+@query("k1_shuffled_folds", oracle('select "Index", fold from folds', FOLDS_CTE))
+def k1_shuffled(spark, sf):
+    return E.with_fold(I.history(spark, sf).select("Index"), method="shuffled")
+
+
 @query("a19_frequency_encoding", oracle(
     "select x.\"Index\", " + sql_rnd("coalesce(c.kc, 0) / cast(t.n as double)") + " as geohash_freq from "
     "(select \"Index\", geohash from history union all select \"Index\", geohash from future) x "
@@ -125,14 +132,11 @@ def _codes_sql(cols):
 
 
 def _codes(spark, sf, cols):
-    h, f = I.features(spark, sf, "v2")
-    # every code table reads both sides: cut their lineage once
-    h, f = cut_lineage(h.select("Index", "time_order", *cols)), cut_lineage(f.select("Index", *cols))
-    out = None
-    for c in cols:
-        t = E.first_appearance_codes(h, f, c, "code").select(F.lit(c).alias("column_name"), "value", "code")
-        out = t if out is None else out.unionByName(t)
-    return out
+    """Codes of the cleaned rows' categories: the columns they need, not the feature table."""
+    c = I.cleaned(spark, sf, "v2")
+    wide = lambda df: with_interactions(with_geo_columns(df, decoded=I.decoded(spark, sf)), v2_extras=False)
+    codes = E.appearance_codes(wide(c.history).select("Index", "time_order", *cols), wide(c.future).select("Index", *cols), cols)
+    return codes.select(F.col("column").alias("column_name"), "value", "code")
 
 
 _ctes_v2, _ = feature_sql("v2")
@@ -160,7 +164,7 @@ blocked as (select pos.*, cast(case when p < st then -1 else (p - st) // t end a
 def _blocked(spark, sf):
     def build():
         h, _ = _hist_f(spark, sf)
-        return time_blocks(h, 3)
+        return cut_lineage(time_blocks(h, 3))
     return context(spark, sf).get("blocked", build)
 
 
@@ -169,6 +173,25 @@ def k2(spark, sf):
     return _blocked(spark, sf).select("Index", "time_order", "block")
 
 
+def prefix_rows(spark, sf):
+    """V2 history with the encodings of each fold of the time split."""
+    def build():
+        h, _ = I.features(spark, sf, "v2")
+        keys = list(dict.fromkeys(k for _, keys, _ in E.V2_ENCODINGS for k in keys))
+        rows = E.with_fold(h.select("Index", "demand", "time_order", *keys), method="shuffled")
+        return E.prefix_encodings(cut_lineage(time_blocks(rows, 3)), E.V2_ENCODINGS, 3)
+    return context(spark, sf).get("prefix", build)
+
+
+_prefix_ctes, _prefix_body = prefix_sql()
+
+
+@query("k6_encodings_by_time_fold", oracle(_prefix_body, _prefix_ctes))
+def k6_prefix(spark, sf):
+    names = [n for n, _, _ in E.V2_ENCODINGS]
+    return prefix_rows(spark, sf).select("Index", "cv", "role", *[rnd(n).alias(n) for n in names])
+
+
 # --------------------------------------------------- scoring chain
 
 def _pred_sql():
@@ -238,7 +261,7 @@ def _preds(spark, sf):
 
 
 def _avgp(spark, sf):
-    return S.seed_average(_preds(spark, sf))
+    return context(spark, sf).get("avgp", lambda: cut_lineage(S.seed_average(_preds(spark, sf))))
 
 
 def _cv(spark, sf):
@@ -246,7 +269,7 @@ def _cv(spark, sf):
         b = _blocked(spark, sf)
         out = S.cv_predictions(b, k=3)
         fold_scores = S.score(out, b.select("Index", "demand"), by=("model", "fold"))
-        return S.cv_summary(fold_scores)
+        return cut_lineage(S.cv_summary(fold_scores))
     return context(spark, sf).get("cv", build)
 
 
@@ -255,7 +278,7 @@ def _weights(spark, sf):
 
 
 def _submission(spark, sf):
-    return S.blend(_avgp(spark, sf), _weights(spark, sf))
+    return context(spark, sf).get("submission", lambda: cut_lineage(S.blend(_avgp(spark, sf), _weights(spark, sf))))
 
 
 @query("k12_seed_average", oracle(f'select "Index", model, {sql_rnd("prediction")} as prediction from avgp', PRED_CTE))

@@ -17,6 +17,11 @@ INT_COLS = {"Index", "day", "NumberofLanes", "hour", "minute", "time_slot", "tim
             "lanes_peak"}
 
 
+#: K1 by definition: history in the order of a seeded hash, cut into five parts as equal as can be
+FOLDS_CTE = """folds as (select "Index", cast((p >= n * 1 // 5)::int + (p >= n * 2 // 5)::int + (p >= n * 3 // 5)::int + (p >= n * 4 // 5)::int as integer) as fold
+  from (select "Index", row_number() over (order by md5('42:' || "Index"), "Index") - 1 as p, count(*) over () as n from history))"""
+
+
 def _q(c: str) -> str:
     return f'"{c}"'
 
@@ -29,7 +34,7 @@ def feature_sql(variant: str) -> tuple[str, str]:
     demand = "least(greatest(demand, demand_lo), demand_hi)" if v1 else "demand"
     lanes = ("case when lanes_nulls > 0 then coalesce(NumberofLanes, lanes_median) "
              "else cast(NumberofLanes as double) end") if v1 else "NumberofLanes"
-    ctes = [f"""stats as (select
+    ctes = [FOLDS_CTE, f"""stats as (select
   (select quantile_cont(Temperature, 0.5) from history) as temp_median,
   (select RoadType from (select RoadType, count(*) as n from history where RoadType is not null group by 1)
      order by n desc, RoadType limit 1) as road_mode,
@@ -44,8 +49,8 @@ def feature_sql(variant: str) -> tuple[str, str]:
   coalesce(RoadType, road_mode) as RoadType, {lanes} as NumberofLanes, LargeVehicles, Landmarks,
   coalesce(Temperature, temp_median) as Temperature, coalesce(Weather, weather_mode) as Weather,
   hour, minute, time_slot, time_order,
-  case when {_SQL_HISTORY} then 'history' else 'future' end as side, "Index" % 5 as fold
-  from obs_t cross join stats)""",
+  case when {_SQL_HISTORY} then 'history' else 'future' end as side, fold
+  from obs_t left join folds using ("Index") cross join stats)""",
             f"""gg as (select *, {SQL_LAT} as latitude, {SQL_LON} as longitude,
   substr(geohash, 1, 4) as geohash_4, substr(geohash, 1, 5) as geohash_5 from cl)""",
             """ctr as (select quantile_cont(latitude, 0.5) as clat, quantile_cont(longitude, 0.5) as clon
@@ -85,13 +90,13 @@ def feature_sql(variant: str) -> tuple[str, str]:
     for i, (name, keys, m) in enumerate(spec):
         ks = ", ".join(_q(k) for k in keys)
         on = " and ".join(f"e{i}.{_q(k)} = x.{_q(k)}" for k in keys)
-        ctes.append(f"te{i}f as (select {ks}, fold, sum(cast(demand as decimal(38,12))) as fs, count(*) as fn "
-                    f"from hh group by {ks}, fold)")
-        ctes.append(f"te{i}t as (select {ks}, sum(fs) as ks, sum(fn) as kn from te{i}f group by {ks})")
-        ctes.append(f"te{i}o as (select f.*, (cast(t.ks - f.fs as double) + g * {float(m)!r}) / (t.kn - f.fn + {float(m)!r}) "
-                    f"as v from te{i}f f join te{i}t t using ({ks}) cross join gm)")
-        ctes.append(f"te{i}u as (select {ks}, (cast(ks as double) + g * {float(m)!r}) / (kn + {float(m)!r}) as v "
-                    f"from te{i}t cross join gm)")
+        # by definition: the targets of the key's rows in the other folds, and of all its rows
+        own = " and ".join(f"b.{_q(k)} = a.{_q(k)}" for k in keys)
+        total = "coalesce(cast(sum(cast(b.demand as decimal(38,12))) as double), 0.0)"
+        ctes.append(f"te{i}o as (select a.*, ({total} + g * {float(m)!r}) / (count(b.demand) + {float(m)!r}) as v "
+                    f"from (select distinct {ks}, fold from hh) a left join hh b on {own} and b.fold <> a.fold cross join gm group by {", ".join(f"a.{_q(k)}" for k in keys)}, a.fold, g)")
+        ctes.append(f"te{i}u as (select {ks}, ({total} + g * {float(m)!r}) / (count(b.demand) + {float(m)!r}) as v "
+                    f"from hh b cross join gm group by {ks}, g)")
         joins_h.append(f"left join te{i}o e{i} on {on} and e{i}.fold = x.fold")
         joins_f.append(f"left join te{i}u e{i} on {on}")
         cols_h.append(f"coalesce(e{i}.v, gm.g) as {name}")
@@ -115,3 +120,22 @@ def feature_sql(variant: str) -> tuple[str, str]:
     sel.append("side")
     body = " union all ".join(f"select {', '.join(sel)} from fin_{s}" for s in ("history", "future"))
     return ",\n".join(ctes), body
+
+
+def prefix_sql(spec=V2_ENCODINGS) -> tuple[str, str]:
+    """(extra CTEs, final select) of the encodings of each fold of the time split, from the rows of earlier blocks."""
+    ctes, _ = feature_sql("v2")
+    names, parts = [], [ctes, """pos as (select *, row_number() over (order by time_order, "Index") - 1 as p, count(*) over () as cnt from hh)""",
+                        "hb as (select *, case when p < cnt - 3 * (cnt // 4) then -1 else (p - (cnt - 3 * (cnt // 4))) // (cnt // 4) end as block from pos)",
+                        "x as (select hb.*, cv, case when block < cv then 'train' else 'test' end as role from hb cross join (select unnest(range(3)) as cv) where block <= cv)",
+                        "gv as (select cv, cast(sum(cast(demand as decimal(38,12))) as double) / count(demand) as g from x where role = 'train' group by cv)"]
+    joins = []
+    for i, (name, keys, m) in enumerate(spec):
+        ks = ", ".join(_q(k) for k in keys)
+        on = " and ".join(f"st.{_q(k)} = x.{_q(k)}" for k in keys)
+        parts.append(f"st{i} as (select {ks}, block, fold, sum(cast(demand as decimal(38,12))) as s, count(demand) as n from hb group by {ks}, block, fold)")
+        parts.append(f'px{i} as (select x."Index", x.cv, coalesce(cast(sum(st.s) as double), 0.0) as s, coalesce(sum(st.n), 0) as n from x left join st{i} st on {on} '
+                     f'and st.block < x.cv and (x.role = \'test\' or st.fold <> x.fold) group by x."Index", x.cv)')
+        joins.append(f'join px{i} on px{i}."Index" = x."Index" and px{i}.cv = x.cv')
+        names.append(f"{sql_rnd(f'(px{i}.s + {float(m)!r} * gv.g) / (px{i}.n + {float(m)!r})')} as {name}")
+    return ",\n".join(parts), f'select x."Index", x.cv, role, {", ".join(names)} from x join gv on gv.cv = x.cv {" ".join(joins)}'

@@ -194,3 +194,96 @@ def test_blend_weights_saved_default_or_error(spark):
     assert S.blend(preds, saved, {"a": 0.1, "b": 0.25}).first().demand == 2.0
     with pytest.raises(Exception, match="no weight for model b"):
         S.blend(preds, saved).collect()
+
+
+def history_rows(n, seed, hot=0.9):
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"Index": np.arange(n), "road": np.where(rng.random(n) < hot, "Residential", rng.choice(list("abcd"), n)),
+                        "cell": rng.choice([f"c{i}" for i in range(40)], n), "time_order": rng.integers(0, 50, n), "demand": np.round(rng.random(n), 6)})
+    pdf["road"] = pdf["road"].astype(object).where(rng.random(n) > 0.05, None)
+    pdf.loc[pdf.index[::17], "demand"] = np.nan
+    return pdf.astype(object).where(pdf.notna(), None)
+
+
+SPEC = [("te_road", ["road"], 50), ("te_cell", ["cell"], 10), ("te_both", ["road", "cell"], 5)]
+HISTORY_SCHEMA = "Index long, road string, cell string, time_order int, demand double"
+
+
+def test_encodings_are_the_same_however_they_are_joined(spark):
+    pdf = history_rows(900, 2)
+    h = E.with_fold(spark.createDataFrame(pdf.values.tolist(), HISTORY_SCHEMA))
+    f = spark.createDataFrame([(5000, "Residential", "c1"), (5001, "never", "c2"), (5002, None, "c3")], "Index long, road string, cell string")
+    sides = []
+    for limit in (E.BROADCAST_MAX_BYTES, 0):
+        a, b = E.encode_all(h, f, SPEC, frequency=("freq", 1), limit=limit)
+        sides.append((sorted(map(tuple, a.select("Index", "te_road", "te_cell", "te_both", "freq").collect())), sorted(map(tuple, b.select("Index", "te_road", "te_cell", "te_both", "freq").collect()))))
+    assert sides[0] == sides[1]
+    counts = pdf["cell"].value_counts()
+    assert {i: v for i, *_, v in sides[0][0]} == {r.Index: counts[r.cell] / 900 for r in pdf.itertuples()}
+
+
+def test_a_hot_key_does_not_go_through_the_join_that_shuffles(spark):
+    h = E.with_fold(spark.createDataFrame(history_rows(900, 2).values.tolist(), HISTORY_SCHEMA))
+    tables, info = E.encoding_tables(h, SPEC)
+    lookup = tables.where("enc = 0").select("key", E.from_all(50, 0.5).alias("value"), F.col("r").alias("rows"))
+    plan = E.attach(h, lookup, ["road"], "v", size=10**9, total=900, limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "(rows" not in plan
+    small = E.attach(h, lookup, ["road"], "v", size=10, total=900)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in small and "hashpartitioning" not in small.split("BroadcastHashJoin")[-1].split("BroadcastExchange")[0]
+    hot = lookup.where(F.col("rows") * 8 > 900).collect()
+    assert [r.key for r in hot] == [["Residential"]]
+
+
+def blocked_rows(n=600, seed=6):
+    pdf = history_rows(n, seed)
+    order = pdf.sort_values(["time_order", "Index"]).index
+    t = n // 4
+    pdf.loc[order, "block"] = [-1] * (n - 3 * t) + [0] * t + [1] * t + [2] * t
+    pdf["fold"] = pdf["Index"].astype(int) % 5
+    return pdf
+
+
+def test_prefix_encodings_by_definition(spark):
+    pdf = blocked_rows()
+    rows = pdf.to_dict("records")
+    df = spark.createDataFrame(pdf[["Index", "road", "cell", "demand", "block", "fold"]].values.tolist(), "Index long, road string, cell string, demand double, block double, fold long") \
+        .withColumn("block", F.col("block").cast("int"))
+    for limit in (E.BROADCAST_MAX_BYTES, 0):
+        got = {(r.Index, r.cv): r for r in E.prefix_encodings(df, SPEC, limit=limit).collect()}
+        assert {(r["Index"], c) for r in rows for c in range(3) if r["block"] <= c} == set(got)
+        for r in rows[::7]:
+            for c in range(3):
+                if r["block"] > c:
+                    continue
+                train = [x for x in rows if x["block"] < c and x["demand"] is not None]
+                g = sum(x["demand"] for x in train) / len(train)
+                out = got[r["Index"], c]
+                assert out.role == ("train" if r["block"] < c else "test")
+                others = train if out.role == "test" else [x for x in train if x["fold"] != r["fold"]]
+                for name, keys, m in SPEC:
+                    part = lambda x, k: x[k] if len(keys) == 1 else (x[k] or "nan")  # noqa: E731, B023
+                    key = [part(r, k) for k in keys]
+                    same = [x["demand"] for x in others if None not in key and [part(x, k) for k in keys] == key]
+                    assert abs(out[name] - (sum(same) + m * g) / (len(same) + m)) < 1e-9
+
+
+def test_later_targets_change_no_earlier_encoding(spark):
+    pdf = blocked_rows()
+    changed = pdf.copy()
+    changed.loc[pdf["block"] >= 1, "demand"] = 99.0
+    out = []
+    for frame in (pdf, changed):
+        df = spark.createDataFrame(frame[["Index", "road", "cell", "demand", "block", "fold"]].values.tolist(), "Index long, road string, cell string, demand double, block double, fold long") \
+            .withColumn("block", F.col("block").cast("int"))
+        out.append({(r.Index, r.cv): (r.te_road, r.te_cell, r.te_both) for r in E.prefix_encodings(df, SPEC).collect()})
+    assert {k: v for k, v in out[0].items() if k[1] <= 1} == {k: v for k, v in out[1].items() if k[1] <= 1}
+    assert {k: v for k, v in out[0].items() if k[1] == 2} != {k: v for k, v in out[1].items() if k[1] == 2}
+
+
+def test_shuffled_folds_are_even_and_repeatable(spark):
+    for n in (0, 1, 4, 5, 103):
+        df = spark.range(n).withColumnRenamed("id", "Index")
+        sizes = [r["count"] for r in E.with_fold(df, method="shuffled").groupBy("fold").count().collect()]
+        assert sum(sizes) == n and (not sizes or max(sizes) - min(sizes) <= 1) and len(sizes) == min(n, 5)
+    a = sorted(map(tuple, E.with_fold(df, method="shuffled").collect()))
+    assert a == sorted(map(tuple, E.with_fold(df.repartition(7), method="shuffled").collect())) and a != sorted(map(tuple, E.with_fold(df).collect()))
