@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import mode_of, quantile_frame, scalar_row
+from demandflow.operators.stats import quantile_frame, scalar_row
 
 
 @dataclass(frozen=True)
@@ -27,30 +27,32 @@ class TrainStats:
     extra: dict | None = None
 
 
-def stats_frame(history: DataFrame, clip_lower: float = 0.01, clip_upper: float = 0.99) -> DataFrame:
-    """One-row frame (temp_median, road_mode, weather_mode, lanes_median, lanes_nulls, demand_lo, demand_hi)."""
+def stats_frame(history: DataFrame, clip_lower: float = 0.01, clip_upper: float = 0.99,
+                extra: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """One-row frame (temp_median, road_mode, weather_mode, lanes_median, lanes_nulls, demand_lo, demand_hi).
+
+    All quantiles, those of ``extra`` {column: {name: probability}} included, are ranked in one plan; both modes and
+    the null count come from one table of value counts.
+    """
     quantiles = quantile_frame(history, {"Temperature": {"temp_median": 0.5}, "NumberofLanes": {"lanes_median": 0.5},
-                                         "demand": {"demand_lo": clip_lower, "demand_hi": clip_upper}})
-    road = mode_of(history, "RoadType", "road_mode")
-    weather = mode_of(history, "Weather", "weather_mode")
-    nulls = history.agg(F.count_if(F.col("NumberofLanes").isNull()).alias("lanes_nulls"))
-    # Every piece has exactly one row: the cross joins are 1 x 1.
-    return (quantiles.crossJoin(road).crossJoin(weather).crossJoin(nulls)
-                     .select("temp_median", "road_mode", "weather_mode", "lanes_median",
-                             "lanes_nulls", "demand_lo", "demand_hi"))
+                                         "demand": {"demand_lo": clip_lower, "demand_hi": clip_upper}} | (extra or {}))
+    values = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in ("RoadType", "Weather", "NumberofLanes")])
+    counts = history.select(F.explode(values).alias("x")).select("x.*").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    first = lambda c: F.min(F.when((F.col("c") == c) & F.col("v").isNotNull(), F.struct((-F.col("n")).alias("n"), "v")))["v"]
+    categories = counts.agg(first("RoadType").alias("road_mode"), first("Weather").alias("weather_mode"),
+                            F.coalesce(F.max(F.when((F.col("c") == "NumberofLanes") & F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("lanes_nulls"))
+    names = [name for wanted in (extra or {}).values() for name in wanted]
+    return quantiles.crossJoin(categories).select("temp_median", "road_mode", "weather_mode", "lanes_median", "lanes_nulls",
+                                                  "demand_lo", "demand_hi", *names)  # 1 x 1
 
 
 def train_stats(history: DataFrame, clip_lower: float = 0.01, clip_upper: float = 0.99,
                 extra: dict | None = None) -> TrainStats:
-    """The statistics of ``stats_frame``, plus medians of ``extra`` {column: probs}, read in one job."""
-    wanted = {f"x{i}_{j}": (c, p) for i, (c, ps) in enumerate((extra or {}).items()) for j, p in enumerate(ps)}
-    row = stats_frame(history, clip_lower, clip_upper)
-    if wanted:
-        spec = {c: {name: p for name, (own, p) in wanted.items() if own == c} for c in extra}
-        row = row.crossJoin(quantile_frame(history, spec))  # 1 x 1
-    r = scalar_row(row)
+    """The statistics of ``stats_frame``, plus quantiles of ``extra`` {column: probs}, read in one job."""
+    named = {c: {f"x{i}_{j}": p for j, p in enumerate(ps)} for i, (c, ps) in enumerate((extra or {}).items())}
+    r = scalar_row(stats_frame(history, clip_lower, clip_upper, named))
     return TrainStats(r["temp_median"], r["road_mode"], r["weather_mode"], r["lanes_median"], int(r["lanes_nulls"]), r["demand_lo"], r["demand_hi"],
-                      {c: [r[name] for name, (own, _) in wanted.items() if own == c] for c in extra or {}})
+                      {c: [r[name] for name in names] for c, names in named.items()})
 
 
 def impute(df: DataFrame, st: TrainStats, fill_lanes: bool = True) -> DataFrame:

@@ -42,13 +42,9 @@ def shuffled_fold(df: DataFrame, index: str = "Index", k: int = N_FOLDS, seed: i
     """
     turn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(index).cast("string")))
     keys = df.select(turn.alias("turn"), F.col(index).alias("at"))
-    n = int(scalar_row(df.agg(F.count(F.lit(1)).alias("n")))["n"])
-    cuts = position_keys(keys, ["turn", "at"], [n * i // k for i in range(1, k)]) if n else {}
     fold = F.lit(0)
-    for position in [n * i // k for i in range(1, k)]:
-        if position in cuts:
-            cut = cuts[position]
-            fold = fold + F.when((turn > cut["turn"]) | ((turn == cut["turn"]) & (F.col(index) >= cut["at"])), 1).otherwise(0)
+    for cut in position_keys(keys, ["turn", "at"], lambda n: [F.when(n * i >= k, F.floor(n * i / k)) for i in range(1, k)]):
+        fold = fold + F.when((turn > cut["turn"]) | ((turn == cut["turn"]) & (F.col(index) >= cut["at"])), 1).otherwise(0)
     return fold.cast("int")
 
 
@@ -191,40 +187,40 @@ def encoding_tables(base: DataFrame, spec, target: str = "demand", fold: str = "
                     "rows": int(every["r"]), "mean": float(every["s"]) / int(every["n"])}
 
 
-def out_of_fold(m: float, g: float, k: int = N_FOLDS) -> Column:
+def out_of_fold(m: Column, g: float, k: int = N_FOLDS) -> Column:
     """Array over folds: the value of a key's rows in that fold, from the targets of the others."""
     def value(f: Column) -> Column:
         own = F.get(F.filter("folds", lambda x: x["fold"] == f), F.lit(0))
         rest = (F.col("s") - F.coalesce(own["s"], F.lit(0).cast(SUM_TYPE))).cast("double")
-        return (F.coalesce(rest, F.lit(0.0)) + float(m) * F.lit(float(g))) / (F.col("n") - F.coalesce(own["n"], F.lit(0)) + float(m))
+        return (F.coalesce(rest, F.lit(0.0)) + m * F.lit(float(g))) / (F.col("n") - F.coalesce(own["n"], F.lit(0)) + m)
     return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), value)
 
 
-def from_all(m: float, g: float) -> Column:
+def from_all(m: Column, g: float) -> Column:
     """The value of a key from all its targets."""
-    return (F.coalesce(F.col("s").cast("double"), F.lit(0.0)) + float(m) * F.lit(float(g))) / (F.col("n") + float(m))
+    return (F.coalesce(F.col("s").cast("double"), F.lit(0.0)) + m * F.lit(float(g))) / (F.col("n") + m)
 
 
 def attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str], name: str, *, size: int, total: int, limit: int = BROADCAST_MAX_BYTES,
            spread: str = "Index") -> DataFrame:
-    """Left join of ``df`` with ``lookup`` (key, value, rows: how many of ``total`` rows have the key), its value as ``name``.
+    """Left join of ``df`` with ``lookup`` (key, value, rows: how many of ``total`` rows have the key), its value as ``name``
+    (and its key as ``name``_key).
 
     ``size``: the lookup's bytes. Above ``limit`` only keys with more than a partition's share of the rows are
     broadcast (fewer keys than partitions); rows that found theirs there, or have none, are spread by ``spread``
     in the shuffle that joins the rest.
     """
-    own = _key_array(keys)
+    own, lk, lv = _key_array(keys), f"{name}_key", f"{name}_value"
     if size <= limit:
-        found = F.broadcast(lookup.select(F.col("key").alias("_lk"), F.col("value").alias(name)))
-        return df.join(found, own == F.col("_lk"), "left").drop("_lk")
+        return df.join(F.broadcast(lookup.select(F.col("key").alias(lk), F.col("value").alias(name))), own == F.col(lk), "left")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     often = F.col("rows") * parts > total
-    hot = F.broadcast(lookup.where(often).select(F.col("key").alias("_hk"), F.col("value").alias("_hv")))
+    hot = F.broadcast(lookup.where(often).select(F.col("key").alias(lk), F.col("value").alias(lv)))
     tail = lookup.where(~often).select(F.col("key").alias("_tk"), F.col("value").alias("_tv"))
-    settled = F.col("_hk").isNotNull() | F.exists(own, lambda x: x.isNull())
-    with_hot = df.join(hot, own == F.col("_hk"), "left")
+    settled = F.col(lk).isNotNull() | F.exists(own, lambda x: x.isNull())
+    with_hot = df.join(hot, own == F.col(lk), "left")
     with_hot = with_hot.withColumn("_own", F.when(settled, F.concat(F.array(F.col(spread).cast("string")), own)).otherwise(own))  # no key has as many parts
-    return with_hot.join(tail, F.col("_own") == F.col("_tk"), "left").withColumn(name, F.coalesce("_hv", "_tv")).drop("_hk", "_hv", "_own", "_tk", "_tv")
+    return with_hot.join(tail, F.col("_own") == F.col("_tk"), "left").withColumn(name, F.coalesce(lv, "_tv")).drop(lv, "_own", "_tk", "_tv")
 
 
 def encode_all(history: DataFrame, future: DataFrame | None, spec, g: float | None = None,
@@ -238,20 +234,22 @@ def encode_all(history: DataFrame, future: DataFrame | None, spec, g: float | No
     """
     tables, info = encoding_tables(history if source is None else source, spec, target, fold)
     g = info["mean"] if g is None else g
-    kept = history.columns
-    for i, (name, keys, m) in enumerate(spec):
-        of = tables.where(F.col("enc") == i)
-        value = F.struct(out_of_fold(m, g).alias("oof"), from_all(m, g).alias("full"), "r").alias("value")
-        lookup = of.select("key", value, F.col("r").alias("rows"))
-        size = dict(size=info["bytes"].get(i, 0) + info["keys"].get(i, 0) * 8 * (N_FOLDS + 2), total=info["rows"], limit=limit)
-        rows = {name: lambda side: F.coalesce(F.get(F.col("_e.oof"), F.col(fold)) if side else F.col("_e.full"), F.lit(float(g)))}
-        if frequency is not None and frequency[1] == i:
-            rows[frequency[0]] = lambda _: F.coalesce(F.col("_e.r"), F.lit(0)) / F.lit(float(info["rows"]))
-        history = attach(history, lookup, keys, "_e", **size).withColumns({c: v(True) for c, v in rows.items()}).drop("_e")
-        if future is not None:
-            future = attach(future, lookup, keys, "_e", **size).withColumns({c: v(False) for c, v in rows.items()}).drop("_e")
-    added = [n for n, _, _ in spec] + ([frequency[0]] if frequency else [])
-    return history.select(*kept, *added), future
+    sides = [history] if future is None else [history, future]
+    shown = [[F.col(c) for c in side.columns] for side in sides]
+    m = F.create_map(*[x for i, (_, _, strength) in enumerate(spec) for x in (F.lit(i), F.lit(float(strength)))])[F.col("enc")]
+    lookups = tables.where("enc >= 0").withColumn("m", m).select(
+        "enc", "key", F.struct(out_of_fold(F.col("m"), g).alias("oof"), from_all(F.col("m"), g).alias("full"), "r").alias("value"), F.col("r").alias("rows"))
+    for i, (name, keys, _) in enumerate(spec):
+        lookup = lookups.where(F.col("enc") == i)
+        size = info["bytes"].get(i, 0) + info["keys"].get(i, 0) * 8 * (N_FOLDS + 2)
+        for at, side in enumerate(sides):
+            sides[at] = attach(side, lookup, keys, f"_e{i}", size=size, total=info["rows"], limit=limit)
+            found = F.get(F.col(f"_e{i}.oof"), F.col(fold)) if at == 0 else F.col(f"_e{i}.full")
+            shown[at].append(F.coalesce(found, F.lit(float(g))).alias(name))
+            if frequency is not None and frequency[1] == i:
+                shown[at].append((F.coalesce(F.col(f"_e{i}.r"), F.lit(0)) / F.lit(float(info["rows"]))).alias(frequency[0]))
+    sides = [side.select(*columns) for side, columns in zip(sides, shown)]
+    return sides[0], None if future is None else sides[1]
 
 
 def prefix_encodings(blocked: DataFrame, spec, k: int = 3, target: str = "demand", fold: str = "fold", block: str = "block",
@@ -275,6 +273,7 @@ def prefix_encodings(blocked: DataFrame, spec, k: int = 3, target: str = "demand
     own = F.when(F.col(block) >= 0, F.array(F.col(block))).otherwise(F.array().cast("array<int>"))
     roles = F.concat(F.transform(later, lambda c: F.struct(c.alias("cv"), F.lit("train").alias("role"))), F.transform(own, lambda c: F.struct(c.alias("cv"), F.lit("test").alias("role"))))
     rows = blocked.withColumn("_r", F.explode(roles)).select(*blocked.columns, "_r.cv", "_r.role")
+    shown = [F.col(c) for c in rows.columns]
     for i, (name, keys, m) in enumerate(spec):
         def values(c: int) -> Column:
             smooth = lambda t: (t["s"].cast("double") + float(m) * means[c]) / (t["n"] + float(m))  # noqa: E731, B023
@@ -282,12 +281,12 @@ def prefix_encodings(blocked: DataFrame, spec, k: int = 3, target: str = "demand
             oof = F.transform(F.sequence(F.lit(0), F.lit(N_FOLDS - 1)), lambda f: smooth(known(F.filter(seen, lambda x: x["fold"] != f))))
             return F.struct(oof.alias("oof"), smooth(known(seen)).alias("full"))
         lookup = tables.where(F.col("enc") == i).select("key", F.array(*[values(c) for c in range(k)]).alias("value"), F.col("r").alias("rows"))
-        rows = attach(rows, lookup, keys, "_e", size=sizes.get(i, 0), total=every["r"], limit=limit)
-        at = F.get("_e", F.col("cv"))
+        rows = attach(rows, lookup, keys, f"_e{i}", size=sizes.get(i, 0), total=every["r"], limit=limit)
+        at = F.get(f"_e{i}", F.col("cv"))
         value = F.when(F.col("role") == "train", F.get(at["oof"], F.col(fold))).otherwise(at["full"])
         mean = F.element_at(F.array(*[F.lit(x) for x in means]), F.col("cv") + 1)
-        rows = rows.withColumn(name, F.coalesce(value, mean)).drop("_e")
-    return rows
+        shown.append(F.coalesce(value, mean).alias(name))
+    return rows.select(*shown)
 
 
 # Categorical columns that get label codes.

@@ -47,7 +47,7 @@ def encoding_predictions(history: DataFrame, future: DataFrame, models=None,
     tables, info = encoding_tables(history, models)
     g, rows = info["mean"], future
     for i, (name, keys, m) in enumerate(models):
-        lookup = tables.where(F.col("enc") == i).select("key", out_of_fold(m, g, folds).alias("value"), F.col("r").alias("rows"))
+        lookup = tables.where(F.col("enc") == i).select("key", out_of_fold(F.lit(float(m)), g, folds).alias("value"), F.col("r").alias("rows"))
         rows = attach(rows, lookup, keys, f"_p{i}", size=info["bytes"].get(i, 0) + 8 * folds * info["keys"].get(i, 0), total=info["rows"])
     found = F.array(*[F.struct(F.lit(name).alias("model"), F.coalesce(F.col(f"_p{i}"), F.array_repeat(F.lit(float(g)), folds)).alias("values"))
                       for i, (name, _, _) in enumerate(models)])

@@ -15,18 +15,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import position_keys, scalar_row
+from demandflow.operators.stats import position_keys
 
 
 def time_blocks(history_t: DataFrame, k: int = 3, order: str = "time_order", tie: str = "Index",
                 out: str = "block") -> DataFrame:
-    n = int(scalar_row(history_t.agg(F.count(F.lit(1)).alias("n")))["n"])
-    t = n // (k + 1)
-    if t == 0:  # fewer rows than blocks: all train
-        return history_t.withColumn(out, F.lit(-1))
-    keys = position_keys(history_t, [order, tie], [n - (k - i) * t for i in range(k)])
+    def cuts(n):
+        t = F.floor(n / (k + 1))  # 0, with fewer rows than blocks: all train
+        return [F.when(t > 0, n - (k - i) * t) for i in range(k)]
+
     block = F.lit(-1)
-    for row in keys.values():
+    for row in position_keys(history_t, [order, tie], cuts):
         after = (F.col(order) > row[order]) | ((F.col(order) == row[order]) & (F.col(tie) >= row[tie]))
         block = block + F.when(after, 1).otherwise(0)
     return history_t.withColumn(out, block.cast("int"))

@@ -152,7 +152,7 @@ def mode_of(df: DataFrame, value: str, name: str = "mode", by: Sequence[str] = (
 
 
 def ordered_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_num",
-                       partitions: int | None = None, range_by: int | None = None,
+                       partitions: int | None = None, range_by: int | None = None, total: str | None = None,
                        store: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """0-based row number in ``order`` (names or sort expressions, unique together).
 
@@ -162,7 +162,7 @@ def ordered_row_number(df: DataFrame, order: Sequence[str | Column], out: str =
     partition) give each partition its offset. One shuffle; no task holds more
     than its range, and a key of any share is cut at the later order columns.
     ``range_by``: ranges by the first so many columns only (long texts stay out
-    of the sampled bounds).
+    of the sampled bounds). ``total``: a column with the number of rows, too.
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -171,13 +171,16 @@ def ordered_row_number(df: DataFrame, order: Sequence[str | Column], out: str =
     part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return (placed.join(F.broadcast(offsets), part == F.col("__part"))
-                  .withColumn(out, F.col("__before") + place).drop("__at", "__part", "__before"))
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+                            F.sum("__n").over(Window.partitionBy()).alias("__total"))
+    added = [(F.col("__before") + place).alias(out)] + ([F.col("__total").alias(total)] if total else [])
+    return placed.join(F.broadcast(offsets), part == F.col("__part")).select(*df.columns, *added)
 
 
-def position_keys(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> dict[int, Row]:
-    """The ``order`` columns of the rows at the given 0-based positions: as many rows as positions come to the driver."""
-    numbered = ordered_row_number(df.select(*order), order, "__pos")
-    found = numbered.where(F.col("__pos").isin([int(p) for p in positions])).collect()
-    return {r["__pos"]: r for r in found}
+def position_keys(df: DataFrame, order: Sequence[str], positions: Callable[[Column], Sequence[Column]]) -> list[Row]:
+    """The ``order`` columns of the rows at 0-based positions, in order.
+
+    ``positions`` says where, given the number of rows; as many rows as positions come to the driver.
+    """
+    numbered = ordered_row_number(df.select(*order), order, "__pos", total="__n")
+    return sorted(numbered.where(F.col("__pos").isin(*positions(F.col("__n")))).collect(), key=lambda r: r["__pos"])

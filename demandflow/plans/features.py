@@ -5,7 +5,7 @@ V1: clip demand to train quantiles, fill lanes, lag on clipped demand,
 V2: no clipping, frequency before the lag, lag on raw demand, 11 encodings.
 NB: V2 without the lag column.
 
-History is persisted while its statistics and lag are read; its row-level columns
+Both sides are persisted while statistics and lag are read; their row-level columns
 are then checkpointed once, as every encoding aggregate reads them.
 """
 
@@ -68,7 +68,6 @@ def clean(history: DataFrame, future: DataFrame, variant: str = "v2",
     With ``with_center`` the city centre (G6) is computed in the same
     quantile pass as the cleaning statistics (``decoded``: optional G2 table).
     """
-    history = history.persist(StorageLevel.MEMORY_AND_DISK)
     h, f = with_time_columns(history), with_time_columns(future)
     if variant == "v1":
         assert_no_leak(h, f)
@@ -95,7 +94,7 @@ def row_features(df: DataFrame, center: tuple[float, float], variant: str,
 def build_features(history: DataFrame, future: DataFrame, variant: str = "v2",
                    fold_method: str = "shuffled") -> tuple[DataFrame, DataFrame]:
     """History and future feature tables of one variant ('v1', 'v2', 'nb')."""
-    history = history.persist(StorageLevel.MEMORY_AND_DISK)
+    history, future = (side.persist(StorageLevel.MEMORY_AND_DISK) for side in (history, future))
     decoded = checked_broadcast(geohash_table([history, future]))
     c = clean(history, future, variant, with_center=True, decoded=decoded)
     h, f = c.history, c.future
@@ -103,8 +102,9 @@ def build_features(history: DataFrame, future: DataFrame, variant: str = "v2",
         h, f = with_lag(h, h), with_lag(f, h)
     h = row_features(h, c.center, variant, decoded)
     f = row_features(f, c.center, variant, decoded)
-    h = cut_lineage(with_fold(h, method=fold_method))
-    history.unpersist()
+    h, f = cut_lineage(with_fold(h, method=fold_method)), cut_lineage(f)
+    for side in (history, future):
+        side.unpersist()
     spec = V1_ENCODINGS if variant == "v1" else V2_ENCODINGS
     h_e, f_e = encode_all(h, f, spec, frequency=("geohash_freq", 0))
     return (h_e.select(*column_order(variant, "history")),

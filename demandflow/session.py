@@ -20,6 +20,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         SparkSession.builder.appName(app_name)
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site lookup for every expression
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

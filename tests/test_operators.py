@@ -225,7 +225,7 @@ def test_encodings_are_the_same_however_they_are_joined(spark):
 def test_a_hot_key_does_not_go_through_the_join_that_shuffles(spark):
     h = E.with_fold(spark.createDataFrame(history_rows(900, 2).values.tolist(), HISTORY_SCHEMA))
     tables, info = E.encoding_tables(h, SPEC)
-    lookup = tables.where("enc = 0").select("key", E.from_all(50, 0.5).alias("value"), F.col("r").alias("rows"))
+    lookup = tables.where("enc = 0").select("key", E.from_all(F.lit(50.0), 0.5).alias("value"), F.col("r").alias("rows"))
     plan = E.attach(h, lookup, ["road"], "v", size=10**9, total=900, limit=0)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "(rows" not in plan
     small = E.attach(h, lookup, ["road"], "v", size=10, total=900)._jdf.queryExecution().executedPlan().toString()
