@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from demandflow.functions.timefeat import with_time_columns
 from demandflow.plans.registry import context
-from demandflow.session import checkpoint_dir
+from demandflow.session import checkpoint_dir, cut_lineage
 from demandflow.sources.observations import observations, split_observations
 
 
@@ -49,10 +49,15 @@ def decoded(spark, sf) -> DataFrame:
 
 
 def cleaned(spark, sf, variant: str = "v2"):
-    from demandflow.plans.features import clean
-    return context(spark, sf).get(f"clean_{variant}", lambda: clean(history(spark, sf), future(spark, sf),
-                                                                      variant, with_center=True,
-                                                                      decoded=decoded(spark, sf)))
+    """Cleaned sides, stored once; the raw history is held only while its statistics are read."""
+    def build():
+        from demandflow.plans.features import clean
+        raw = history(spark, sf).persist()
+        c = clean(raw, future(spark, sf), variant, with_center=True, decoded=decoded(spark, sf))
+        c.history, c.future = cut_lineage(c.history), cut_lineage(c.future)
+        raw.unpersist()
+        return c
+    return context(spark, sf).get(f"clean_{variant}", build)
 
 
 def features(spark, sf, variant: str = "v2") -> tuple[DataFrame, DataFrame]:

@@ -170,7 +170,7 @@ def _blocked(spark, sf):
 
 @query("k2_time_split", oracle('select "Index", time_order, block from blocked', BLOCK_CTE))
 def k2(spark, sf):
-    return _blocked(spark, sf).select("Index", "time_order", "block")
+    return time_blocks(I.history_t(spark, sf).select("Index", "time_order"), 3)
 
 
 def prefix_rows(spark, sf):
