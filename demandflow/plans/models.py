@@ -17,19 +17,23 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demandflow.operators.encode import CATEGORY_COLUMNS, label_encode
-from demandflow.operators.score import SEEDS, score
+from demandflow.operators.encode import CATEGORY_COLUMNS, label_encode, prefix_encodings, with_fold
+from demandflow.operators.score import SEEDS
+from demandflow.operators.split import time_blocks
 from demandflow.operators.stats import scalar_row
+from demandflow.session import cut_lineage
 
-DROP = ("Index", "timestamp", "demand", "day", "fold", "block", "side")
+DROP = ("Index", "timestamp", "demand", "day", "fold", "block", "side", "cv", "role")
 
 
 def prepare(history: DataFrame, future: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -107,29 +111,73 @@ def fit_predict(kind: str, train: DataFrame, test: DataFrame, seed: int = 42, ma
     return out.select("Index", F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"))
 
 
-def fit_with_early_stopping(kind: str, history_blocked: DataFrame, seed: int = 42, max_iter: int = 30,
-                            tol: float = 0.01):
-    """M4: GBT with the last time block as validation set (validationIndicatorCol)."""
-    data = history_blocked.withColumn("is_val", F.col("block") == F.lit(2))
-    pipe = build_pipeline(kind, data, seed, max_iter)
-    gbt = pipe.getStages()[-1]
-    gbt.setParams(validationIndicatorCol="is_val", validationTol=tol)
-    return pipe.fit(data)
+#: M4: rounds without a better validation error after which boosting stops
+PATIENCE = 30
 
 
-def cross_validate(kind: str, history_blocked: DataFrame, k: int = 3, seed: int = 42,
-                   max_iter: int = 10, **params) -> DataFrame:
-    """M5/M6/M7: expanding-window CV; per-fold rmse and r2 (fold i trains on block < i)."""
-    out = None
+def kept_trees(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """Trees up to the best error before the first ``patience`` rounds in a row that bring no better one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def time_folds(history: DataFrame, future: DataFrame, spec, k: int = 3) -> DataFrame:
+    """Rows of the expanding time split for models: the features of ``history`` with its encodings refitted for every
+    fold (``prefix_encodings``) and label codes; columns cv and role ('train', 'test')."""
+    names = [n for n, _, _ in spec]
+    h, f = prepare(history.drop(*names), future.drop(*names))
+    h, _ = with_codes(h, f)
+    rows = cut_lineage(time_blocks(with_fold(h, method="shuffled"), k))
+    return cut_lineage(prefix_encodings(rows, spec, k))
+
+
+def fold_vectors(kind: str, folded: DataFrame, k: int = 3) -> list[dict]:
+    """For each fold: train and test as (Index, demand, features), prepared once for any number of fits."""
+    out = []
     for i in range(k):
-        train = history_blocked.where(F.col("block") < i)
-        test = history_blocked.where(F.col("block") == i)
-        p = fit_predict(kind, train, test, seed, max_iter, **params)
-        s = score(p.withColumn("model", F.lit(kind)), test.select("Index", "demand")).withColumn("fold", F.lit(i))
-        out = s if out is None else out.unionByName(s)
+        train, test = (folded.where((F.col("cv") == i) & (F.col("role") == role)) for role in ("train", "test"))
+        pipe = build_pipeline(kind, train)
+        ready = PipelineModel([stage if not hasattr(stage, "fit") else stage.fit(train) for stage in pipe.getStages()[:-1]])
+        sides = [cut_lineage(ready.transform(side).select("Index", "demand", "features")) for side in (train, test)]
+        spread = scalar_row(sides[1].agg(F.var_pop("demand").alias("v"), F.count("demand").alias("n")))
+        out.append({"train": sides[0], "test": sides[1], "bins": pipe.getStages()[-1].getMaxBins(), "variance": spread["v"], "rows": spread["n"]})
     return out
 
 
+def fit_fold(kind: str, fold: dict, seed: int, trees: int, params: dict, patience: int = PATIENCE) -> dict:
+    """One fit: the test error after each tree (boosting), the trees kept, and the rmse and r2 they give."""
+    model = estimator(kind, seed, trees, fold["bins"], **params).fit(fold["train"])
+    if kind == "random_forest":  # trees are averaged, in no order: all are kept
+        squared = F.pow(F.col("prediction") - F.col("demand"), 2)
+        errors = [scalar_row(model.transform(fold["test"]).agg(F.avg(squared).alias("e")))["e"]]
+        kept = trees
+    else:
+        errors = list(model.evaluateEachIteration(fold["test"], "squared"))
+        kept = kept_trees(errors, patience)
+    error = errors[min(kept, len(errors)) - 1]
+    return {"trees": kept, "errors": errors, "rmse": math.sqrt(error), "r2": 1.0 - error / fold["variance"]}
+
+
+def in_parallel(work: Callable, items: Sequence, threads: int = 4) -> list:
+    """Spark jobs of independent fits, a few at a time."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(work, items))
+
+
+FOLD_SCHEMA = "model string, fold int, trees int, rmse double, r2 double, errors array<double>"
+
+
+def cross_validate(spark: SparkSession, kind: str, folds: list[dict], trees: int, seed: int = 42, **params) -> DataFrame:
+    """M4-M7: a row a fold: trees kept by early stopping, rmse and r2 of those, the error after each tree."""
+    found = in_parallel(lambda i: fit_fold(kind, folds[i], seed, trees, params), range(len(folds)))
+    return spark.createDataFrame([(kind, i, r["trees"], r["rmse"], r["r2"], r["errors"]) for i, r in enumerate(found)], FOLD_SCHEMA)
+
+
 def sample_params(kind: str, n_trials: int, seed: int = 42) -> list[dict]:
     """M8 draws from the kind's ranges, seeded."""
     rng = random.Random(f"{kind}-{seed}")
@@ -141,19 +189,39 @@ def sample_params(kind: str, n_trials: int, seed: int = 42) -> list[dict]:
     return [{"trial": t} | {name: draw(name, *bounds) for name, bounds in RANGES[kind].items()} for t in range(n_trials)]
 
 
-def parameter_search(spark: SparkSession, kind: str, history_blocked: DataFrame, n_trials: int = 2,
-                     seed: int = 42) -> DataFrame:
-    """M8: one CV per draw; the table of (trial, params, rmse) sorted by rmse."""
-    rows = []
-    for p in sample_params(kind, n_trials, seed):
-        cv = cross_validate(kind, history_blocked, 3, seed, p["maxIter"],
-                            **{k: v for k, v in p.items() if k not in ("trial", "maxIter")})
-        r = scalar_row(cv.agg(F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2")))
-        rows.append((kind, p["trial"], p["maxIter"], p["maxDepth"], p.get("stepSize"), p.get("subsamplingRate"),
-                     p.get("minInstancesPerNode"), p.get("minInfoGain"), r["rmse"], r["r2"]))
-    return spark.createDataFrame(rows, "model string, trial int, maxIter int, maxDepth int, stepSize double, "
-                                       "subsamplingRate double, minInstancesPerNode int, minInfoGain double, "
-                                       "rmse double, r2 double")
+#: M8: trees a trial gets in each rung, and the share of trials that go on to the next
+RUNGS, KEEP_ONE_IN = (2, 6, 18), 3
+TRIAL_SCHEMA = ("model string, trial int, rung int, trees int, maxIter int, maxDepth int, stepSize double, subsamplingRate double, "
+                "minInstancesPerNode int, minInfoGain double, rmse double, r2 double, goes_on boolean")
+
+
+def successive_halving(spark: SparkSession, kind: str, folds: list[dict], n_trials: int = 30, seed: int = 42, rungs: Sequence[int] = RUNGS) -> DataFrame:
+    """M8: ``n_trials`` draws; after each rung the best third (by mean rmse over all folds) goes on with more trees.
+
+    Every trial is fitted on every fold with early stopping; the features of a fold are prepared once. ``maxIter`` is the
+    mean of the trees kept. The best trial is the one with the least rmse in the last rung.
+    """
+    trials, rows = sample_params(kind, n_trials, seed), []
+    for rung, trees in enumerate(rungs):
+        jobs = [(p, fold) for p in trials for fold in folds]
+        found = in_parallel(lambda job: fit_fold(kind, job[1], seed, trees, {k: v for k, v in job[0].items() if k not in ("trial", "maxIter")}), jobs)  # noqa: B023
+        scored = []
+        for t, p in enumerate(trials):
+            own = found[t * len(folds):(t + 1) * len(folds)]
+            scored.append((sum(r["rmse"] for r in own) / len(own), sum(r["r2"] for r in own) / len(own), round(sum(r["trees"] for r in own) / len(own)), p))
+        scored.sort(key=lambda x: (x[0], x[3]["trial"]))
+        going = len(scored) if rung == len(rungs) - 1 else max(1, -(-len(scored) // KEEP_ONE_IN))
+        for place, (rmse, r2, kept, p) in enumerate(scored):
+            rows.append((kind, p["trial"], rung, trees, kept, p["maxDepth"], p.get("stepSize"), p.get("subsamplingRate"), p.get("minInstancesPerNode"),
+                         p.get("minInfoGain"), rmse, r2, rung < len(rungs) - 1 and place < going))
+        trials = [p for *_, p in scored[:going]]
+    return spark.createDataFrame(rows, TRIAL_SCHEMA)
+
+
+def best_trials(trials: DataFrame) -> DataFrame:
+    """A row a model: the trial with the least rmse in the last rung."""
+    last = trials.withColumn("last", F.max("rung").over(Window.partitionBy("model"))).where("rung = last")  # a few rows a model
+    return last.groupBy("model").agg(F.min_by(F.struct(*[c for c in trials.columns if c != "model"]), F.struct("rmse", "trial")).alias("b")).select("model", "b.*")
 
 
 def rescale_params(params: DataFrame, variant: str, rate_divisor: float = 2.0) -> DataFrame:
@@ -163,13 +231,28 @@ def rescale_params(params: DataFrame, variant: str, rate_divisor: float = 2.0) -
                                "stepSize": F.col("stepSize") / rate_divisor})
 
 
+def tuned(params: DataFrame) -> dict[str, dict]:
+    """{model: {maxIter and what else was drawn}} from a row a model."""
+    return {r["model"]: {c: r[c] for c in r.asDict() if r[c] is not None and c in ("maxIter", "maxDepth", "stepSize", "subsamplingRate", "minInstancesPerNode", "minInfoGain")}
+            for r in params.collect()}  # a row a model
+
+
 def seed_ensemble(kinds: Sequence[str], train: DataFrame, test: DataFrame, n_seeds: int = len(SEEDS),
-                  max_iter: int = 10) -> DataFrame:
-    """M9: fit each model once per seed; long table (Index, model, seed, prediction)."""
-    out = None
+                  max_iter: int = 10, params: dict[str, dict] | None = None) -> DataFrame:
+    """M9: fit each model once per seed; long table (Index, model, seed, prediction).
+
+    ``params``: by model, from a search (``tuned``). A kind's features are prepared once for all seeds.
+    """
+    jobs = []
     for kind in kinds:
-        for seed in SEEDS[:n_seeds]:
-            p = fit_predict(kind, train, test, seed, max_iter).select(
-                "Index", F.lit(kind).alias("model"), F.lit(seed).alias("seed"), "prediction")
-            out = p if out is None else out.unionByName(p)
-    return out
+        pipe = build_pipeline(kind, train)
+        ready = PipelineModel([stage if not hasattr(stage, "fit") else stage.fit(train) for stage in pipe.getStages()[:-1]])
+        vectors = [cut_lineage(ready.transform(side).select(*cols)) for side, cols in ((train, ("Index", "demand", "features")), (test, ("Index", "features")))]
+        own = {"maxIter": max_iter} | (params or {}).get(kind, {})
+        jobs += [(kind, seed, vectors, pipe.getStages()[-1].getMaxBins(), own) for seed in SEEDS[:n_seeds]]
+
+    def fit(job):
+        kind, seed, (seen, unseen), bins, own = job
+        model = estimator(kind, seed, own["maxIter"], bins, **{k: v for k, v in own.items() if k != "maxIter"}).fit(seen)
+        return model.transform(unseen).select("Index", F.lit(kind).alias("model"), F.lit(seed).alias("seed"), F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"))
+    return reduce(DataFrame.unionByName, in_parallel(fit, jobs))
