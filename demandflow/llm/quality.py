@@ -72,10 +72,10 @@ def features(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     d = d.withColumn("near", F.coalesce(near, F.array().cast("array<bigint>")))
     full = lambda x: F.get("h", x.bitwiseAND(F.lit(_LOW)).cast("int"))
     mixed = F.exists(F.sequence(F.lit(1), F.greatest(F.size("near") - 1, F.lit(1))), lambda j: (high(F.get("near", j)) == high(F.get("near", j - 1))) & (full(F.get("near", j)) != full(F.get("near", j - 1))))
-    # equal high bits of different windows, or places of more than 24 bits: by the windows' whole hashes
-    twice = F.expr("filter(sort_array(h), (x, j) -> x = get(sort_array(h), j + 1))")
-    slow = F.filter(F.transform("h", lambda x, i: F.when(F.array_contains(F.array_distinct(twice), x), i.cast("long")).otherwise(F.lit(-1).cast("long"))), lambda i: i >= 0)
-    d = d.withColumn("places", F.when(F.coalesce(mixed, F.lit(False)) | (F.col("n") > _LOW), slow).otherwise(F.sort_array(F.transform("near", lambda x: x.bitwiseAND(F.lit(_LOW))))))
+    # equal high bits of different windows, or places of more than 24 bits: the whole hashes, sorted once, beside their places
+    d = d.withColumn("pairs", F.when(F.coalesce(mixed, F.lit(False)) | (F.col("n") > _LOW), F.array_sort(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("at"))))))
+    twice = F.filter("pairs", lambda x, j: (x["h"] == F.get("pairs", j + 1)["h"]) | ((j > 0) & (x["h"] == F.get("pairs", j - 1)["h"])))
+    d = d.withColumn("places", F.when(F.col("pairs").isNotNull(), F.sort_array(F.transform(twice, lambda x: x["at"]))).otherwise(F.sort_array(F.transform("near", lambda x: x.bitwiseAND(F.lit(_LOW))))))
     covered = F.aggregate("places", F.struct(F.lit(-3).cast("long").alias("at"), F.lit(0).cast("long").alias("n")),
                           lambda acc, p: F.struct(p.alias("at"), (acc["n"] + F.least(F.lit(3).cast("long"), p - acc["at"])).alias("n")), lambda acc: acc["n"])
     d = d.select("doc", F.col("n").alias("q_n_words"), F.length(F.regexp_replace("t", SPACES, F.lit(""))).cast("long").alias("q_word_chars"), _count(F.col("t"), "#*$%&|<>").alias("q_n_symbols"),
