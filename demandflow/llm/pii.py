@@ -44,11 +44,13 @@ BASE = {
 }
 LOOSE = {
     "id": r"(?<![0-9.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "key": r"(?<![A-Za-z0-9])(?:[A-Z0-9]{16,64}+|[a-f0-9]{32,128}+)(?![A-Za-z0-9])",
-    "secret": r"(?i)(?<![a-z])(?:password|passwd|token|secret|api_?key)[\x20]?[=:][\x20]?[\"']?[^\s\"']{6,256}+",
+    "key": r"(?<![A-Za-z0-9])(?:[A-Z0-9]{16,}+|[a-f0-9]{32,}+)(?![A-Za-z0-9])",
+    "secret": r"(?i)(?<![a-z])(?:password|passwd|token|secret|api_?key)[\x20]?[=:][\x20]?[\"']?[^\s\"']{6,}+",
     "tel": r"(?<![0-9+().-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 KINDS = [*BASE, *LOOSE]
+#: without one of these no generator can match: all need a digit, @, = or :, but for keys of letters alone
+_ANY = "[0-9@=:]|[A-Z]{16}|[a-f]{32}"
 CONTEXT = {
     "says_mail": "mail|contact|write", "says_phone": "phone|call|tel|mobile|fax", "says_card": "card|visa|credit|payment|account", "says_net": "ip|host|server|address",
     "says_secret": "pass|token|secret|key|login", "says_number": "version|page|chapter|number|no\\.|license|section",
@@ -107,7 +109,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     """(rows: row, id; candidates: row, kind, start, stop, match, before, after, strict, base)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("row", F.monotonically_increasing_id())
-    hits = F.when(F.col("text").rlike("[0-9@=:]"), F.concat(*[_hits(F.col("text"), k, p) for k, p in {**BASE, **LOOSE}.items()])).otherwise(F.array().cast(_HITS))
+    hits = F.when(F.col("text").rlike(_ANY), F.concat(*[_hits(F.col("text"), k, p) for k, p in {**BASE, **LOOSE}.items()])).otherwise(F.array().cast(_HITS))
     rows = materialise(rows.select("row", "id", hits.alias("hits")))
     order = Window.partitionBy("row", "kind").orderBy("at")
     spans = rows.where("size(hits) > 0").select("row", F.explode("hits").alias("h")).select("row", "h.*")
@@ -152,18 +154,22 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     more = _selected(found, sample, precision, seed)
     base = found.where("base").select("row", "kind", "start", "stop", F.lit(2.0).alias("score"))
     chosen = base if more is None else base.unionAll(more.join(found.where("base").select("row", "kind", "start", F.lit(True).alias("base")), ["row", "kind", "start"], "left_anti"))
-    # along the text: of overlapping spans the better one stays; base spans (score 2) always stay
+    # spans that overlap in a chain make a group; in it the best go first, and a span stays if it overlaps none that stays; base spans (score 2) always stay
     kind = "struct<start:bigint,stop:bigint,kind:int,score:double>"
     item = F.struct("start", "stop", "kind", "score").cast(kind)
-
-    def sweep(acc: Column, x: Column) -> Column:
-        last = acc["last"]
-        clear = last.isNull() | (x["start"] >= acc["reach"]) | ((x["score"] == 2.0) & (last["score"] == 2.0))
-        return (F.when(clear, F.struct(F.when(last.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(last))).alias("done"), x.alias("last"), F.greatest(acc["reach"], x["stop"]).alias("reach")))
-                .when(x["score"] > last["score"], F.struct(acc["done"].alias("done"), x.alias("last"), F.greatest(acc["reach"], x["stop"]).alias("reach"))).otherwise(acc))
-
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("last"), F.lit(0).cast("bigint").alias("reach"))
-    swept = F.aggregate("all", start, sweep, lambda acc: F.when(acc["last"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["last"]))))
+    none = F.array().cast(f"array<{kind}>")
+
+    def gather(acc: Column, x: Column) -> Column:
+        joins = x["start"] < acc["reach"]
+        return F.struct(F.when(joins, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["group"]))).alias("done"),
+                        F.when(joins, F.concat(acc["group"], F.array(x))).otherwise(F.array(x)).alias("group"), F.greatest(acc["reach"], x["stop"]).alias("reach"))
+
+    start = F.struct(F.array().cast(f"array<array<{kind}>>").alias("done"), none.alias("group"), F.lit(0).cast("bigint").alias("reach"))
+    groups = F.aggregate("all", start, gather, lambda acc: F.concat(acc["done"], F.array(acc["group"])))
+    ranked = lambda group: F.transform(F.array_sort(F.transform(group, lambda x: F.struct((-x["score"]).alias("rank"), x.alias("x")))), lambda x: x["x"])
+    stays = lambda kept, x: (x["score"] == 2.0) | ~F.exists(kept, lambda y: (y["start"] < x["stop"]) & (x["start"] < y["stop"]))
+    best = lambda group: F.aggregate(ranked(group), none, lambda kept, x: F.when(stays(kept, x), F.concat(kept, F.array(x))).otherwise(kept))
+    swept = F.flatten(F.transform(groups, lambda group: F.when(F.size(group) > 1, best(group)).otherwise(group)))
     by_row = chosen.groupBy("row").agg(F.array_sort(F.collect_list(item)).alias("all")).select("row", F.filter("all", lambda x: x["score"] == 2.0).alias("base"), swept.alias("kept"))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     shape = lambda spans: F.transform(F.array_sort(F.transform(spans, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop")))),
