@@ -453,6 +453,19 @@ def test_seating_matches_the_restaurant_process():
         p = np.exp(log_p - log_p.max())
         assert drawn.min() >= 1 and drawn.max() <= n
         assert drawn.mean() == pytest.approx(float((p / p.sum() * np.arange(1, n + 1)).sum()), rel=0.03)
+    for n in (65, 200, 1000):  # above the sizes drawn from the table of all sizes
+        for weight, d in ((0.01, 0.8), (5.0, 0.8), (50.0, 0.75), (300.0, 0.7), (3000.0, 0.7)):
+            drawn = pitman_yor.seat(np.full(20_000, n), np.full(20_000, weight), d, rng)
+            row, t = np.full(n + 1, -np.inf), np.arange(1, n + 1)
+            row[0] = 0.0
+            with np.errstate(divide="ignore"):
+                for m in range(n):
+                    row[1:] = np.logaddexp(row[:-1], np.log(np.maximum(m - t * d, 0)) + row[1:])
+                    row[0] = -np.inf
+            p = np.exp(row[1:] + math.log(weight) * t - (row[1:] + math.log(weight) * t).max())
+            mean = float((p / p.sum() * t).sum())
+            assert drawn.min() >= 1 and drawn.max() <= n and drawn.mean() == pytest.approx(mean, rel=0.02)
+            assert drawn.std() == pytest.approx(float((p / p.sum() * (t - mean) ** 2).sum()) ** 0.5, rel=0.1, abs=0.05)
     many = pitman_yor.seat(np.array([0, 1, 100_000]), np.full(3, 0.5), 0.5, rng)
     assert many[0] == 0 and many[1] == 1 and 1 <= many[2] < 100_000
 
@@ -469,9 +482,49 @@ def test_language_model_does_not_depend_on_partitions(spark, docs):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_hashed_binomial():
-    keys = textops.mix(np.arange(40_000, dtype=np.uint64))
-    for n, p in ((5, 0.3), (200, 0.01), (1000, 0.2), (1000, 0.97), (10**7, 0.3), (7, 1.0), (7, 0.0)):
-        x = pitman_yor._binomial(np.full(len(keys), n), np.full(len(keys), p), keys)
-        assert x.min() >= 0 and x.max() <= n
-        assert x.mean() == pytest.approx(n * p, rel=0.01) and x.var() == pytest.approx(n * p * (1 - p), rel=0.04, abs=1e-12)
+def test_counts_beyond_32_bits_come_back_whole():
+    b = pitman_yor._Bucket(np.array([7, 9], np.uint64), np.array([1, 1]), np.array([3, 5]), np.array([(1 << 32) + 17, 3]))
+    row = dict(zip(pitman_yor._STATE, pitman_yor._state(4, b, b.first(), [np.zeros_like(x) for x in b.first()], 1)))
+    at = pitman_yor._zip(np.array([0, 1], np.uint32))
+    row |= dict(zip(pitman_yor._SLICES, ([0], [2], [2], [at], [at])))
+    table = pa.table([pa.array([x], k) for x, k in zip(row.values(), (pitman_yor._STATE | pitman_yor._SLICES).values())], list(row))
+    reply = next(pitman_yor._replies(iter(table.to_batches())))
+    counts = pitman_yor._unzip(reply.column("a")[0].as_py(), 6, np.uint64).reshape(3, -1)
+    assert counts[0].tolist() == [(1 << 32) + 17, 3]
+
+
+def test_repeated_words_by_whole_hashes(spark, monkeypatch):
+    """With so few high bits windows collide in nearly every text: the counts stay right and a long text takes seconds."""
+    import time
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(60)], k=rng.randrange(120)))) for i in range(40)] + [(99, " ".join(f"word{k % 15_000}" for k in range(20_000)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {}
+    for i, t in rows:
+        w = t.split(" ") if t else []
+        seen = collections.Counter(tuple(w[k:k + 3]) for k in range(len(w) - 2))
+        plain[i] = len({k + j for k in range(len(w) - 2) if seen[tuple(w[k:k + 3])] > 1 for j in range(3)})
+    assert {r.doc_id: r.q_n_repeat_words for r in quality.features(frame).collect()} == plain
+    monkeypatch.setattr(quality, "_LOW", (1 << 60) - 1)  # four bits of hash above the place
+    start = time.time()
+    assert {r.doc_id: r.q_n_repeat_words for r in quality.features(frame).collect()} == plain
+    assert time.time() - start < 30
+
+
+def test_candidates_have_no_longest_length(spark):
+    rows = [(1, "secret=" + "x1" * 400 + " end"), (2, "key " + "ab" * 100 + "."), (3, "KEY " + "ABCD" * 30 + " plain words"), (4, "no hit here")]
+    _, found = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    lengths = {(r.row, r.kind): r.stop - r.start for r in found.collect()}
+    kinds = {k: i for i, k in enumerate(pii.KINDS)}
+    assert sorted(v for (_, k), v in lengths.items() if k == kinds["secret"]) == [807]
+    assert sorted(v for (_, k), v in lengths.items() if k == kinds["key"]) == [120, 200]
+
+
+def test_a_span_beside_the_dropped_one_of_a_chain_stays(spark, monkeypatch):
+    """A overlaps B and B overlaps C: with scores rising from A to C, B goes and A stays."""
+    found = spark.createDataFrame([(0, 6, 0, 10, "a"), (0, 7, 5, 20, "b"), (0, 4, 15, 30, "c"), (0, 0, 40, 50, "d")], "row long, kind int, start long, stop long, match string")
+    found = found.select("*", F.lit("").alias("before"), F.lit("").alias("after"), F.lit(True).alias("strict"), (F.col("kind") == 0).alias("base"))
+    monkeypatch.setattr(pii, "candidates", lambda *_: (spark.createDataFrame([(0, 1)], "row long, id long"), found))
+    monkeypatch.setattr(pii, "_selected", lambda *_: found.select("row", "kind", "start", "stop", (F.lit(0.5) + F.col("start") / 100).alias("score")))
+    spans = pii.find_pii(None).first().spans
+    assert [(s.kind, s.start, s.stop) for s in spans] == [("email", 40, 50), ("id", 15, 30), ("secret", 0, 10)]
