@@ -19,8 +19,8 @@ from demandflow.session import cut_lineage
 from demandflow.sources import files, manifest
 from demandflow.sources.observations import oracle
 
-#: trees of a single fit and of a fold's fit before early stopping, and draws a kind
-TREES, CV_TREES, TRIALS = 20, 20, 30
+#: most trees of a fold's fit, before early stopping, and draws a kind
+CV_TREES, TRIALS = 20, 30
 
 
 def _features(spark, sf, variant):
@@ -40,9 +40,17 @@ def _folds(spark, sf, kind):
     return context(spark, sf).get(f"folds_{kind}", lambda: M.fold_vectors(kind, folded))
 
 
+def _cv(spark, sf, kind):
+    return context(spark, sf).get(f"cv_{kind}", lambda: M.cross_validate(spark, kind, _folds(spark, sf, kind), CV_TREES))
+
+
 def _predict(kind):
+    """Fits all history with as many trees as early stopping kept in the folds, and predicts the future side."""
     def fn(spark, sf):
-        return context(spark, sf).get(f"pred_{kind}", lambda: cut_lineage(M.fit_predict(kind, *_data(spark, sf), 42, TREES)))
+        def build():
+            trees = max(1, round(_cv(spark, sf, kind).agg(F.avg("trees")).first()[0]))
+            return cut_lineage(M.fit_predict(kind, *_data(spark, sf), 42, trees))
+        return context(spark, sf).get(f"pred_{kind}", build)
     return fn
 
 
@@ -73,10 +81,6 @@ for _n, _kind in ((1, "gbt_categorical"), (2, "gbt_deep"), (3, "random_forest"))
     query(f"m{_n}_{_kind}_check", _CHECK)(_checked(_kind))
 
 
-def _cv(spark, sf, kind):
-    return context(spark, sf).get(f"cv_{kind}", lambda: M.cross_validate(spark, kind, _folds(spark, sf, kind), CV_TREES))
-
-
 @query("m4_early_stopping")
 def m4(spark, sf):
     return _cv(spark, sf, "gbt_deep").select("model", "fold", "trees", "rmse")
