@@ -1,9 +1,8 @@
 """Operators the documentation names without code (D1-D8), with our definitions.
 
-Rolling statistics (D4/D5) avoid a window partitioned by location, which
-would put a hot location in one task: each row gets its rank within its
-location from small offset tables, sends its value to the next three ranks,
-and one aggregation per (location, rank) forms the frame.
+Rolling statistics (D4/D5) use no window partitioned by location, which
+would put a hot location in one task: windows run over chunks of the ordered
+rows, each with the last rows of the chunk before.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandflow.operators.stats import checked_broadcast, exact_avg, mode_of
+from demandflow.operators.stats import checked_broadcast, exact_avg, mode_of, ordered_row_number
 
 
 def fill_by_group_mode(df: DataFrame, history: DataFrame, col: str, by: list[str]) -> DataFrame:
@@ -38,26 +37,29 @@ def fill_by_mean_chain(df: DataFrame, history: DataFrame, col: str, levels: list
         *[f"_m{i}" for i in range(len(levels))], "_mg")
 
 
-def rank_within(df: DataFrame, part: str, chunk: str, order: list[str], out: str = "_rank") -> DataFrame:
-    """1-based rank of each row within ``part`` in (chunk, order...) order; windows only
-    over (part, chunk) cells and over the small (part, chunk) count table."""
-    counts = df.groupBy(part, chunk).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(part).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(part, chunk, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy(part, chunk).orderBy(*order)
-    return (df.join(checked_broadcast(offsets), [part, chunk])
-              .withColumn(out, F.col("_off") + F.row_number().over(inner)).drop("_off"))
-
-
-def rolling_previous(df: DataFrame, value: str = "demand", part: str = "geohash", chunk: str = "day",
-                     order: tuple[str, ...] = ("time_order", "Index"), k: int = 3) -> DataFrame:
-    """Mean and sample std of the ``k`` previous rows of the same ``part``."""
-    ranked = rank_within(df, part, chunk, list(order))
-    sends = ranked.select(part, F.col(value).alias("_x"),
-                          F.explode(F.sequence(F.col("_rank") + 1, F.col("_rank") + k)).alias("_to"))
-    stats = sends.groupBy(part, F.col("_to").alias("_rank")).agg(F.avg("_x").alias(f"rolling_mean_{k}"),
-                                                                F.stddev_samp("_x").alias(f"rolling_std_{k}"))
-    return ranked.join(stats, [part, "_rank"], "left").drop("_rank")
+#: rows of a chunk of the ordered rows; a chunk is one window partition
+CHUNK = 1 << 16
+
+
+def rolling_previous(df: DataFrame, value: str = "demand", part: str = "geohash",
+                     order: tuple[str, ...] = ("time_order", "Index"), k: int = 3, chunk: int = CHUNK) -> DataFrame:
+    """Mean and sample std of the ``k`` previous rows of the same ``part`` (nulls ignored).
+
+    Rows are numbered in (part, order) by range partition and cut into chunks of equal size, whatever location they
+    belong to; the last ``k`` rows of a chunk are handed on to the next (the halo), so each row finds its
+    predecessors in its own chunk.
+    """
+    numbered = ordered_row_number(df, [part, *order], "__pos")
+    own = F.floor(F.col("__pos") / chunk)
+    held = F.when(F.col("__pos") % chunk >= chunk - k, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = numbered.withColumn("__chunk", F.explode(held))
+    w = Window.partitionBy("__chunk").orderBy("__pos")
+    before = [F.when(F.lag(part, j).over(w).eqNullSafe(F.col(part)) & (F.lag("__pos", j).over(w).isNotNull()), F.lag(value, j).over(w)) for j in range(1, k + 1)]
+    seen = spread.withColumn("__seen", F.filter(F.array(*before), lambda x: x.isNotNull())).where(F.col("__chunk") == own)
+    n, total = F.size("__seen"), lambda f: F.aggregate("__seen", F.lit(0.0), lambda a, x: a + f(x))
+    with_mean = seen.withColumn(f"rolling_mean_{k}", F.when(n > 0, total(lambda x: x.cast("double")) / n))
+    squares = total(lambda x: (x - F.col(f"rolling_mean_{k}")) * (x - F.col(f"rolling_mean_{k}")))
+    return with_mean.withColumn(f"rolling_std_{k}", F.when(n > 1, F.sqrt(squares / (n - 1)))).drop("__pos", "__chunk", "__seen")
 
 
 def kmeans_zones(points: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:

@@ -126,11 +126,16 @@ def test_rolling_previous_matches_window(spark):
     pdf = pd.DataFrame({"Index": np.arange(n), "geohash": rng.choice(["a", "b", "c"], n, p=[0.7, 0.2, 0.1]),
                         "time_order": rng.permutation(n), "demand": np.round(rng.random(n), 4)})
     pdf["day"] = pdf["time_order"] // 96
-    got = rolling_previous(spark.createDataFrame(pdf)).toPandas().set_index("Index").sort_index()
+    got = rolling_previous(spark.createDataFrame(pdf), chunk=7).toPandas().set_index("Index").sort_index()  # locations span chunks
+    whole = rolling_previous(spark.createDataFrame(pdf)).toPandas().set_index("Index").sort_index()
+    assert got.equals(whole)
     s = pdf.sort_values(["time_order", "Index"])
     prev = s.groupby("geohash")["demand"].transform(lambda x: x.shift(1).rolling(3, min_periods=1).mean())
     exp = prev.reindex(got.index)
     assert np.allclose(got["rolling_mean_3"].to_numpy(dtype=float), exp.to_numpy(dtype=float), equal_nan=True)
+    std = s.groupby("geohash")["demand"].transform(lambda x: x.shift(1).rolling(3, min_periods=2).std()).reindex(got.index)
+    assert np.allclose(got["rolling_std_3"].to_numpy(dtype=float), std.to_numpy(dtype=float), equal_nan=True)
+    assert "chunk" not in got.columns and len(got) == n
 
 
 def test_null_keys_and_targets_agree_in_both_encoders(spark):
