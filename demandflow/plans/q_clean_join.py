@@ -9,7 +9,7 @@ from demandflow.operators import clean as C
 from demandflow.operators import lag as L
 from demandflow.operators.stats import mode_of, quantile_frame
 from demandflow.plans import inputs as I
-from demandflow.plans.registry import query, rnd, sql_rnd
+from demandflow.plans.registry import context, query, rnd, sql_rnd
 from demandflow.sources.observations import oracle
 
 STATS_CTE = """stats as (select
@@ -169,6 +169,22 @@ def j3(spark, sf):
     return L.day_pairs(I.history(spark, sf))
 
 
+def _layout(spark, sf):
+    return context(spark, sf).get("lag_layout", lambda: L.lag_layout(I.history(spark, sf), I.scratch(spark, "lag"), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+@query("j1_lag_bucketed", oracle(LAG_SQL.format(side="history")))
+def j1_bucketed(spark, sf):
+    return L.with_bucketed_lag(*_layout(spark, sf)).select("Index", "lag_demand_1d")
+
+
+@query("j3_day_pairs_bucketed", oracle(
+    'select a.geohash, a."timestamp", a.demand as demand_48, b.demand as demand_49 from history a '
+    'join history b on a.geohash = b.geohash and a."timestamp" = b."timestamp" where a.day = 48 and b.day = 49'))
+def j3_bucketed(spark, sf):
+    return L.bucketed_day_pairs(*_layout(spark, sf))
+
+
 @query("j4_lag_coverage", oracle(
     "select m.matched, t.future_rows, " + sql_rnd("m.matched / t.future_rows") + " as coverage from "
     '(select count(*) as matched from future f join history h on h.day = 48 and h.geohash = f.geohash '

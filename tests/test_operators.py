@@ -111,6 +111,24 @@ def test_lag_missing_and_duplicates(spark):
     assert L.with_lag(h, dup).count() == 4  # a duplicated lookup key multiplies rows
 
 
+def test_bucketed_lag_reads_without_a_shuffle(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    cells = [(d, f"g{i}", f"{t}:0") for d in (48, 49) for i in range(20) for t in range(10) if rng.random() < 0.7]
+    obs = spark.createDataFrame([(i, *c, float(i)) for i, c in enumerate(cells)], "Index long, day int, geohash string, timestamp string, demand double")
+    layout = L.lag_layout(obs, str(tmp_path), 6)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as tables too large to broadcast are joined
+        lagged, pairs = L.with_bucketed_lag(*layout), L.bucketed_day_pairs(*layout)
+        for out in (lagged, pairs):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert sorted(map(tuple, lagged.select("Index", "lag_demand_1d").collect())) == sorted(map(tuple, L.with_lag(obs, obs).select("Index", "lag_demand_1d").collect()))
+        assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, L.day_pairs(obs).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_time_split_blocks(spark):
     n = 103  # not divisible by k+1
     pdf = pd.DataFrame({"Index": np.arange(n), "time_order": np.arange(n) // 7})  # ties inside slots
