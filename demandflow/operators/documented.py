@@ -63,11 +63,13 @@ def rolling_previous(df: DataFrame, value: str = "demand", part: str = "geohash"
 
 
 def kmeans_zones(points: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
-    """K-Means zones over (latitude, longitude) of distinct locations."""
+    """K-Means zones over (latitude, longitude) of distinct locations; ``centre_gap`` is the squared distance to the
+    zone's centre less that to the nearest centre."""
     asm = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="_f")
     data = asm.transform(points)
     model = KMeans(k=k, seed=seed, featuresCol="_f", predictionCol="zone").fit(data)
-    return model.transform(data).drop("_f")
+    squared = F.array(*[F.pow(F.col("latitude") - float(lat), 2) + F.pow(F.col("longitude") - float(lon), 2) for lat, lon in model.clusterCenters()])  # k centres
+    return model.transform(data).withColumn("centre_gap", F.get(squared, F.col("zone")) - F.array_min(squared)).drop("_f")
 
 
 def pca_components(df: DataFrame, cols: list[str], k: int = 2) -> DataFrame:

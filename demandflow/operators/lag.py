@@ -19,15 +19,15 @@ from pyspark.sql import functions as F
 LAG_KEYS = ["day", "geohash", "timestamp"]
 
 
-def lag_lookup(history: DataFrame, target: str = "demand", name: str = "lag_demand_1d") -> DataFrame:
-    return history.select((F.col("day") + 1).alias("day"), "geohash", "timestamp",
-                          F.col(target).alias(name))
+def lag_lookup(history: DataFrame, target: str = "demand", name: str = "lag_demand_1d", at: str = "timestamp") -> DataFrame:
+    return history.select((F.col("day") + 1).alias("day"), "geohash", at, F.col(target).alias(name))
 
 
 def with_lag(df: DataFrame, history: DataFrame, target: str = "demand",
-             name: str = "lag_demand_1d") -> DataFrame:
-    """Left join; no previous-day cell gives null."""
-    return df.join(lag_lookup(history, target, name), LAG_KEYS, "left")
+             name: str = "lag_demand_1d", at: str = "timestamp") -> DataFrame:
+    """Left join; no previous-day cell gives null. ``at``: the time of day, as text or as ``time_slot``
+    (which also matches '8:0' with '08:00')."""
+    return df.join(lag_lookup(history, target, name, at), ["day", "geohash", at], "left")
 
 
 def _bucketed(df: DataFrame, folder: str, buckets: int) -> DataFrame:

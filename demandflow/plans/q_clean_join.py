@@ -169,6 +169,14 @@ def j3(spark, sf):
     return L.day_pairs(I.history(spark, sf))
 
 
+@query("j1_lag_by_time_slot", oracle(
+    'select a."Index", b.demand as lag_demand_1d from history_t a left join history_t b '
+    "on b.day + 1 = a.day and b.geohash = a.geohash and b.time_slot = a.time_slot"))
+def j1_slot(spark, sf):
+    h = I.history_t(spark, sf)
+    return L.with_lag(h, h, at="time_slot").select("Index", "lag_demand_1d")
+
+
 def _layout(spark, sf):
     return context(spark, sf).get("lag_layout", lambda: L.lag_layout(I.history(spark, sf), I.scratch(spark, "lag"), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 

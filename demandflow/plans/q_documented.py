@@ -89,6 +89,21 @@ def d6(spark, sf):
     return D.kmeans_zones(_points(spark, sf), 10, 42).select("geohash", "zone")
 
 
+@query("d6_kmeans_zones_check", oracle("select count(distinct geohash) as n_points, true as some_zones, 0 as n_not_nearest from history where geohash is not null"))
+def d6_check(spark, sf):
+    """Every location is in one zone, that of its nearest centre."""
+    zones = D.kmeans_zones(_points(spark, sf).where("geohash is not null"), 10, 42)
+    return zones.agg(F.count_distinct("geohash").alias("n_points"), F.count_distinct("zone").between(2, 10).alias("some_zones"),
+                     F.count_if(F.col("centre_gap") > 1e-9).cast("int").alias("n_not_nearest"))
+
+
+@query("d7_pca_check", oracle("select count(distinct geohash) as n_points, true as falls, true as apart from history where geohash is not null"))
+def d7_check(spark, sf):
+    """Components in order of variance and without correlation."""
+    pc = d7(spark, sf).where("geohash is not null")
+    return pc.agg(F.count_distinct("geohash").alias("n_points"), (F.var_pop("pc1") >= F.var_pop("pc2")).alias("falls"), (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("apart"))
+
+
 @query("d7_pca")
 def d7(spark, sf):
     c = I.cleaned(spark, sf, "v2").center

@@ -225,11 +225,11 @@ def a17(spark, sf):
 
 @query("a18_slot_counts", oracle(
     "select part, time_slot, printf('%d:%02d', time_slot // 4, (time_slot % 4) * 15) as slot_label, count(*) as n "
-    "from (select case when day = 48 then 'history_48' else 'history_49' end as part, time_slot from history_t "
+    "from (select 'history_' || day as part, time_slot from history_t "
     "union all select 'future_49', time_slot from future_t where day = 49) group by part, time_slot"))
 def a18(spark, sf):
     h = I.history_t(spark, sf).select(
-        F.when(F.col("day") == 48, "history_48").otherwise("history_49").alias("part"), "time_slot")
+        F.concat(F.lit("history_"), F.col("day").cast("string")).alias("part"), "time_slot")
     f = I.future_t(spark, sf).where(F.col("day") == 49).select(F.lit("future_49").alias("part"), "time_slot")
     return h.unionByName(f).groupBy("part", "time_slot").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "slot_label", slot_label())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from demandflow.plans import inputs as I
 from demandflow.plans.registry import query
+from demandflow.sources import files
 from demandflow.sources.files import (FUTURE_SCHEMA, HISTORY_SCHEMA, SUBMISSION_SCHEMA, read_csv,
                                       write_csv)
 from demandflow.sources.observations import oracle
@@ -36,3 +37,11 @@ def s2_future_csv_scan(spark, sf):
 def s3_sample_layout_scan(spark, sf):
     """S3: an (Index, demand) layout file scanned with the submission schema."""
     return _roundtrip(spark, I.truth(spark, sf), SUBMISSION_SCHEMA, "layout.csv")
+
+
+@query("s3_layout_check", oracle("select * from (values (0, 'Index', 'Index', true, true), (1, 'demand', 'demand', true, true)) t(position, expected, found, readable, same)"))
+def s3_layout_check(spark, sf):
+    """S3: the layout file's header and values against the output's schema."""
+    path = I.scratch(spark, "sample.csv")
+    files.write_csv(I.truth(spark, sf), path)
+    return files.compare_layout(spark, path, SUBMISSION_SCHEMA)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HISTORY_SCHEMA = T.StructType([
@@ -27,6 +28,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+def compare_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S3: a row a column position: what ``schema`` expects, what the file's header names, whether all its values read
+    as the expected type, and whether the position agrees in all of it."""
+    found = spark.read.option("header", True).csv(path)  # as text
+    n = max(len(schema), len(found.columns))
+    wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields] + [(None, None)] * (n - len(schema))
+    names = found.columns + [None] * (n - len(found.columns))
+    readable = [F.coalesce(F.bool_and(F.col(f"`{name}`").isNull() | F.col(f"`{name}`").try_cast(kind).isNotNull()), F.lit(True))
+                if name is not None and kind is not None else F.lit(False) for name, (_, kind) in zip(names, wanted)]
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(a).cast("string").alias("expected"), F.lit(b).cast("string").alias("found"), ok.alias("readable"))
+                     for i, ((a, _), b, ok) in enumerate(zip(wanted, names, readable))])
+    return found.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.*").withColumn("same", F.col("expected").eqNullSafe(F.col("found")) & F.col("readable"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV, one part file per partition (no single-task coalesce)."""
     df.write.mode("overwrite").option("header", True).csv(path)
