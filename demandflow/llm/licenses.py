@@ -9,8 +9,11 @@ words from there on match all its mandatory words, exactly and in order.
 Templates begin with mandatory words: these are looked up for all words of a
 batch at once, and automata run only from where they occur.
 
+``FULL_TEMPLATES`` hold whole licenses (MIT, ISC, BSD with two and three clauses)
+and Apache's file header; ``NOTICES`` only the sentences that name a license.
+
 Defined results: null and empty texts have no words, places or labels and
-score 0; all places count, those inside other places too; repeated rows are
+score 0; a very long text is scanned as a whole; all places count, those inside other places too; repeated rows are
 scanned each; null ids stay null; other columns are ignored.
 """
 
@@ -36,19 +39,47 @@ BASE_TEMPLATES = [
     ("gpl", "general public license"),
     ("reserved", "all rights reserved"),
 ]
-TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license [[ , ]] version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at {{8}}"),
+#: whole wording: texts that change, leave out or add mandatory words are not accepted
+_BSD = """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+[[ 1 ]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+[[ 2 ]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer
+in the documentation and or other materials provided with the distribution"""
+_BSD_NAMES = """[[ 3 ]] neither the name of {{12}} nor the names of its contributors may be used to endorse or promote products derived from this software
+without specific prior written permission"""
+_BSD_DISCLAIMER = """this software is provided by {{12}} as is and any express or implied warranties including but not limited to the implied warranties of
+merchantability and fitness for a particular purpose are disclaimed in no event shall {{12}} be liable for any direct indirect incidental special exemplary
+or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption
+however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of
+the use of this software even if advised of the possibility of such damage"""
+FULL_TEMPLATES = [
+    ("mit", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the {{2}} to deal in the
+     {{2}} without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the {{2}} and
+     to permit persons to whom the {{2}} is furnished to do so subject to the following conditions the above copyright notice and this permission notice
+     [[ including the next paragraph ]] shall be included in all copies or substantial portions of the {{2}} the {{2}} is provided as is without warranty of any
+     kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event
+     shall the {{6}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection
+     with the {{2}} or the use or other dealings in the {{2}}"""),
+    ("isc", """permission to use copy modify [[ and ]] [[ or ]] distribute this software for any purpose with or without fee is hereby granted provided that the above
+     copyright notice and this permission notice appear in all copies the software is provided as is and {{6}} disclaims all warranties with regard to this
+     software including all implied warranties of merchantability and fitness in no event shall {{6}} be liable for any special direct indirect or consequential
+     damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising
+     out of or in connection with the use or performance of this software"""),
+    ("bsd-2-clause", f"{_BSD} {_BSD_DISCLAIMER}"),
+    ("bsd-3-clause", f"{_BSD} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+    ("apache-2.0", """licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license you may obtain a copy of the
+     license at {{8}} unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without
+     warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"""),
+]
+#: notices that name a license whose wording is elsewhere
+NOTICES = [
+    ("apache-2.0", "licensed under the apache license [[ version ]] 2.0"),
     ("mit", "released under the [[ terms of the ]] mit license"),
     ("mit", "licensed under the [[ terms of the ]] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the {{2}} to deal in the {{2}} without restriction"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("bsd-3-clause", "neither the name of {{12}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
-    ("isc", "permission to use copy modify and [[ or ]] distribute this software for any purpose with or without fee is hereby granted"),
     ("gpl-3", "licensed under the gnu general public license [[ , ]] version 3"),
     ("gpl-2", "licensed under the gnu general public license [[ , ]] version 2"),
     ("gpl", "free software you can redistribute it and or modify it under the terms of the gnu [[ lesser ]] [[ affero ]] general public license"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v [[ ersion ]] 2.0"),
+    ("mpl-2.0", "subject to the terms of the mozilla public license [[ v ]] [[ version ]] 2.0"),
+    ("mpl-2.0", "licensed under the mozilla public license [[ v ]] [[ version ]] 2.0"),
     ("cc-by-nc-4.0", "licensed under [[ a ]] [[ the ]] cc by nc 4.0"),
     ("cc-by-4.0", "licensed under [[ a ]] [[ the ]] cc by 4.0"),
     ("cc-by-4.0", "licensed under a creative commons attribution 4.0 international license"),
@@ -57,6 +88,7 @@ TEMPLATES = [
     ("spdx", "spdx license identifier {{1}}"),
     ("proprietary", "copyright {{10}} all rights reserved"),
 ]
+TEMPLATES = FULL_TEMPLATES + NOTICES
 
 
 def _hashes(text: str) -> list[int]:

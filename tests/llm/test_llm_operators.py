@@ -528,3 +528,67 @@ def test_a_span_beside_the_dropped_one_of_a_chain_stays(spark, monkeypatch):
     monkeypatch.setattr(pii, "_selected", lambda *_: found.select("row", "kind", "start", "stop", (F.lit(0.5) + F.col("start") / 100).alias("score")))
     spans = pii.find_pii(None).first().spans
     assert [(s.kind, s.start, s.stop) for s in spans] == [("email", 40, 50), ("id", 15, 30), ("secret", 0, 10)]
+
+
+def spoken(template, rng, change=None):
+    """A text that a template accepts, with punctuation and capitals; ``change``: what becomes of one mandatory word."""
+    out, mandatory, optional, keep = [], [], False, True
+    for piece in template.split():
+        if piece == "[[":
+            optional, keep = True, rng.random() < 0.5
+        elif piece == "]]":
+            optional, keep = False, True
+        elif piece.startswith("{{"):
+            out += rng.choices(["Acme", "the", "Authors", "Software", "x1"], k=rng.randint(0, int(piece[2:-2])))
+        elif keep:
+            if not optional and re.search("[a-z0-9]", piece):
+                mandatory.append(len(out))
+            out.append(piece)
+    if change:
+        at = rng.choice(mandatory[3:] or mandatory)
+        out[at:at + 1] = {"drop": [], "other": ["zebra"], "add": [out[at], "zebra"]}[change]
+    return "".join((w.upper() if rng.random() < 0.2 else w) + rng.choice([" ", " ", "\n", ", ", " (", "  "]) for w in out)
+
+
+def test_whole_wording_is_mandatory(spark):
+    from demandflow.llm.licenses import FULL_TEMPLATES, NOTICES
+    rng = random.Random(21)
+    rows, expected = [], {}
+    for label, template in FULL_TEMPLATES:
+        for change in (None, None, "drop", "other", "add"):
+            rows.append((len(rows), "Copyright 2020 " + spoken(template, rng, change) + " end"))
+            expected[rows[-1][0]] = (label, change is None or change == "add" and None)
+    found = {r.doc_id: ({p.label for p in r.places}, r.score) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates=FULL_TEMPLATES).collect()}
+    for i, (label, whole) in expected.items():
+        if whole is not None:
+            assert (label in found[i][0]) == whole and (found[i][1] == 1.0) == bool(found[i][0])
+    altered = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, except that nobody may sell or modify it."
+    mpl = [(1, altered), (2, "This file is subject to the terms of the Mozilla Public License version 2.0"), (3, "subject to the terms of the Mozilla Public License, v. 2.0"), (4, "mozilla public license 1.1")]
+    labels = {r.doc_id: {p.label for p in r.places} for r in scan_licenses(spark.createDataFrame(mpl, "doc_id long, text string")).collect()}
+    assert labels == {1: set(), 2: {"mpl-2.0"}, 3: {"mpl-2.0"}, 4: set()} and all(NOTICES)
+
+
+def test_places_against_patterns_of_the_templates(spark):
+    """Every template as a regular expression over the words, tried from every word of random texts."""
+    from demandflow.llm.licenses import BASE_TEMPLATES, NOTICES
+    rng = random.Random(8)
+    templates = BASE_TEMPLATES + NOTICES
+
+    def pattern(template):
+        out = ""
+        for piece in template.split():
+            words = re.findall("[a-z0-9]+", piece)
+            out += "(?:" if piece == "[[" else ")?" if piece == "]]" else f"(?:[^ ]+ ){{0,{piece[2:-2]}}}" if piece.startswith("{{") else "".join(f"{w} " for w in words)
+        return re.compile(out)
+    patterns = [(label, pattern(t)) for label, t in templates]
+    rows = []
+    for i in range(60):
+        pieces = [spoken(rng.choice(templates)[1], rng, rng.choice([None, None, "drop"]) if rng.random() < 0.3 else None) if rng.random() < 0.6 else " ".join(rng.choices("license the cc by all rights general public a word".split(), k=4)) + " " for _ in range(5)] \
+            if i else ["cc by cc by general public license all rights reserved all rights reserved"]
+        rows.append((i, "".join(pieces)))
+    got = {r.doc_id: sorted({(p.label, p.start) for p in r.places}) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        found = [w.decode() for w in words(text, ALNUM, True)]
+        starts = [sum(len(w) + 1 for w in found[:k]) for k in range(len(found))]
+        line = "".join(w + " " for w in found)
+        assert got[i] == sorted({(label, k) for label, p in patterns for k, at in enumerate(starts) if p.match(line, at)})
