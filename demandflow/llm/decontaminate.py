@@ -15,7 +15,9 @@ the benchmark's size; documents are never shuffled.
 Defined results: a null or empty text has no words and no hits; an item
 without words has no window; the same window in several items counts for each
 of them; repeated item or document rows change nothing but the number of
-rows; null ids stay null; other columns are ignored.
+rows; null ids stay null; a very long text is searched as a whole; of equally rare
+shingles of a window the first is its prefix; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations

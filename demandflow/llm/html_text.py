@@ -19,7 +19,8 @@ space, blocks are trimmed and joined by one newline in page order.
 
 Defined results: null and empty pages have empty text; unclosed comments and
 scripts reach to the end of the page; a ``<`` that opens no tag is text;
-repeated rows are read each; null ids and urls stay null.
+repeated rows are read each; null ids and urls stay null; a very long page is
+read as a whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

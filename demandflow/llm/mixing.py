@@ -23,7 +23,8 @@ partitioning: reruns agree.
 
 Defined results: a null or empty text has size 0 and takes 0 words (its block
 may place it); a null source is a source of its own; repeated rows are separate
-documents with the same places; an empty table gives an empty result; other
+documents with the same places; a very long text counts with all its words and
+may be passed over when it does not fit; equal turns go by block; an empty table gives an empty result; other
 columns stay as they are, except those named like one that is added.
 """
 

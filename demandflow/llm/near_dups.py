@@ -28,7 +28,9 @@ connected components of the links.
 Defined results: a null or empty text has no shingles and is linked with
 nothing (its group is itself); fewer words than a shingle make one shingle;
 repeated rows are equal sets; rows with a null id keep n_shingles and get the
-group of their set; other columns are ignored.
+group of their set; a very long text has all its shingles; of equal sets the
+smallest id stands for all; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ starts again inside a run it has failed on, repetitions are possessive.
 Defined results: null and empty texts have no spans; places are code points,
 end exclusive; without strict or without other candidates to learn from, only
 base spans are returned; repeated rows have their own results; null ids stay
-null; other columns stay out of ``find_pii`` and unchanged in ``redact``.
+null; a very long text is searched as a whole; of equal scores the span that
+starts first stays; an empty table gives an empty result; other columns stay out of ``find_pii`` and unchanged in ``redact``.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ windows counted within their row, and only counts are shuffled.
 Defined results: null and empty texts have no words and fail the base rule; a
 null stratum is one of its own; a document with several labels is good only if
 all say so; labels that are null or of unknown documents count for nothing; no
-labels: no cutoffs; repeated document rows each count; other columns stay,
+labels: no cutoffs; repeated document rows each count; a very long text is measured as
+a whole; of equally good cutoffs the highest is taken; an empty table gives an empty
+result; other columns stay,
 except those named like one that is added.
 """
 

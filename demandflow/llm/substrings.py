@@ -18,7 +18,9 @@ very large corpora larger slices make the packed arrays longer.
 
 Defined results: null and empty texts have no words; texts shorter than a
 window lose nothing; repeated document rows are occurrences of their own;
-null ids stay null; other columns are ignored.
+null ids stay null; a very long text is one document with all its windows;
+of equal windows none is kept; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations

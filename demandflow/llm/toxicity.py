@@ -18,7 +18,8 @@ Labels, language, source and id are no inputs of a score. Defined results: null
 and empty texts have no evidence and score as the curve does at 0; a document
 with several labels is toxic if one says so; null labels are no labels; if a
 class has no training rows, all texts score 0; repeated rows are scored each;
-null ids are never trained on.
+null ids are never trained on; a very long text is scored as a whole; equal texts
+score alike; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
