@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -78,3 +79,39 @@ def test_parameters_reach_the_estimators(spark):
     best = spark.createDataFrame([("gbt_deep", 0, 1, 6, 5, 3, 0.1, 0.7, 2, None, 2.0, 0.5, False)], M.TRIAL_SCHEMA)
     rescaled = M.tuned(M.rescale_params(best, "v2"))
     assert rescaled == {"gbt_deep": {"maxIter": 10, "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.7, "minInstancesPerNode": 2}}
+
+
+def test_many_levels_become_digits_that_tell_them_apart(spark):
+    rng = np.random.default_rng(3)
+    n, levels = 4000, 900
+    gh, x = rng.integers(0, levels, n), rng.random(n)
+    y = (gh % 2) + np.where(x > 0.5, 1.0, 0.0)
+    others = [c for c in M.CATEGORY_COLUMNS if c != "geohash"]
+    rows = [(i, float(c), f"g{a}", float(b), *["k"] * len(others)) for i, (a, b, c) in enumerate(zip(gh, x, y))]
+    df = spark.createDataFrame(rows, f"Index long, demand double, geohash string, x double, {', '.join(f'{c} string' for c in others)}").cache()
+    stages = M.build_pipeline("gbt_categorical", df, 42, 5).getStages()
+    assert stages[-1].getMaxBins() <= M.LEVELS  # before: a bin a level
+    unseen = spark.createDataFrame([(n, 0.0, "new", 0.5, *["k"] * len(others)), (n + 1, 0.0, None, 0.5, *["k"] * len(others))], df.schema)
+    out = PipelineModel([s if not hasattr(s, "fit") else s.fit(df) for s in stages[:-1]]).transform(df.union(unseen))
+    digits = [c for c in out.columns if c.startswith("geohash_ordered_")]
+    found = out.select(F.coalesce("geohash", F.lit("new")).alias("g"), F.array(*digits).alias("d")).distinct()
+    assert len(digits) == 2 and found.count() == found.select("d").distinct().count() == len(set(gh.tolist())) + 1
+    fitted = M.fit_predict("gbt_categorical", df, df.drop("demand"), 42, 5).join(df.select("Index", "demand"), "Index")
+    assert fitted.agg(F.avg(F.pow(F.col("prediction") - F.col("demand"), 2))).first()[0] < 0.1 * float(np.var(y))
+
+
+@pytest.mark.parametrize("size, sizes", [(200, [200]), (255, [255]), (256, [128, 2]), (21505, [253, 85]), (10_000_000, [255, 255, 154])])
+def test_digits_of_a_number(spark, size, sizes):
+    own = M.Digits("i", size)
+    assert own.sizes == sizes or (len(own.sizes) == len(sizes) and max(own.sizes) <= M.LEVELS)
+    numbers = spark.range(0, size, max(1, size // 5000)).select(F.col("id").cast("double").alias("i"))
+    rows = own.transform(numbers)
+    assert rows.select(*own.names).distinct().count() == rows.count()
+    assert all(rows.agg(F.max(c)).first()[0] < n for c, n in zip(own.names, own.sizes))
+
+
+def test_vectors_have_a_partition_a_core(spark):
+    many = spark.range(1000).repartition(64)
+    assert M.stored_vectors(many, 1000).rdd.getNumPartitions() == min(64, spark.sparkContext.defaultParallelism)
+    assert M.stored_vectors(many, 40 * M.PARTITION_ROWS).rdd.getNumPartitions() == 40
+    assert M.fits_at_once(spark, 10) >= 4 and M.fits_at_once(spark, 10 * M.SMALL_FIT) == 4
