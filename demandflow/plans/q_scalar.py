@@ -174,7 +174,7 @@ def g6(spark, sf):
     "from geo cross join center", GEO_CTE))
 def g7(spark, sf):
     c = I.cleaned(spark, sf).center
-    return geo.with_geo_columns(I.obs(spark, sf)).select(
+    return geo.with_geo_columns(I.obs(spark, sf), decoded=I.decoded(spark, sf)).select(
         "Index", rnd(geo.dist_to_center(*c)).alias("dist_to_center"))
 
 

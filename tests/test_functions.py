@@ -75,3 +75,9 @@ def test_null_text_in_interactions(spark):
     assert r.road_vehicles == "Highway_nan"
     assert r.road_encoded == 2 and r.road_capacity == 8 and r.road_score == 10 and r.road_hour == 56
     assert r.is_high_capacity == 1 and r.large_vehicles_allowed == 0 and r.temp_highway == 20.0
+
+
+def test_decode_splits_a_row_once(spark):
+    """The text is split once for each coordinate, not again for every character."""
+    lat, lon = geo.decode_geohash("g")
+    assert str(lat).count("split(") == 1 and str(lon).count("split(") == 1
