@@ -310,3 +310,12 @@ def test_shuffled_folds_are_even_and_repeatable(spark):
         assert sum(sizes) == n and (not sizes or max(sizes) - min(sizes) <= 1) and len(sizes) == min(n, 5)
     a = sorted(map(tuple, E.with_fold(df, method="shuffled").collect()))
     assert a == sorted(map(tuple, E.with_fold(df.repartition(7), method="shuffled").collect())) and a != sorted(map(tuple, E.with_fold(df).collect()))
+
+
+def test_prefix_encodings_look_a_row_up_before_it_is_dealt(spark):
+    """A lookup meets each row once, not once a fold: no join lies above the explode of folds."""
+    pdf = blocked_rows()
+    df = spark.createDataFrame(pdf[["Index", "road", "cell", "demand", "block", "fold"]].values.tolist(), "Index long, road string, cell string, demand double, block double, fold long") \
+        .withColumn("block", F.col("block").cast("int"))
+    plan = E.prefix_encodings(df, SPEC)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join LeftOuter")  # printed from the top
