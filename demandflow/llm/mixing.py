@@ -30,6 +30,8 @@ columns stay as they are, except those named like one that is added.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,24 +55,40 @@ def targets(sizes: DataFrame, most_copies: int = 3) -> DataFrame:
     return ranked.withColumn("level", level).withColumn("target", F.least("capacity", F.max("level").over(total) * F.col("weight"))).select("key", "source", "source_size", "target")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is written, and worked out, once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def hypergeometric(population: Column, marked: Column, draws: Column, u: Column) -> Column:
-    """Number of marked among ``draws`` without replacement, by inversion of a uniform ``u``; sums run over 12 deviations around the mean."""
-    mean = draws * marked / F.greatest(population, F.lit(1.0))
-    spread = F.sqrt(mean * (1 - marked / F.greatest(population, F.lit(1.0)))) * 12 + 12
-    low = F.ceil(F.greatest(F.lit(0.0), draws + marked - population, mean - spread)).cast("double")
-    high = F.floor(F.least(marked, draws, mean + spread)).cast("double")
-    at_low = F.exp(log_factorial(marked) - log_factorial(low) - log_factorial(marked - low) + log_factorial(population - marked)
-                   - log_factorial(draws - low) - log_factorial(population - marked - draws + low)
-                   - log_factorial(population) + log_factorial(draws) + log_factorial(population - draws))
+    """Number of marked among ``draws`` without replacement, by inversion of a uniform ``u``; sums run over 12 deviations around the mean.
+
+    Every part is written once: repeated in place, one draw was a tree of thousands of expressions on the driver.
+    """
+    def bounds(v: Column) -> Column:
+        mean = v["draws"] * v["marked"] / F.greatest(v["population"], F.lit(1.0))
+        spread = F.sqrt(mean * (1 - v["marked"] / F.greatest(v["population"], F.lit(1.0)))) * 12 + 12
+        low = F.ceil(F.greatest(F.lit(0.0), v["draws"] + v["marked"] - v["population"], mean - spread)).cast("double")
+        high = F.floor(F.least(v["marked"], v["draws"], mean + spread)).cast("double")
+        return _let(F.struct(low.alias("low"), high.alias("high")), lambda b: F.when(b["high"] <= b["low"], b["low"]).otherwise(invert(v, b["low"], b["high"])))
+
+    def invert(v: Column, low: Column, high: Column) -> Column:
+        n, k, d = v["population"], v["marked"], v["draws"]
+
+        def search(logs: Column) -> Column:
+            at_low = F.exp(logs[0] - logs[1] - logs[2] + logs[3] - logs[4] - logs[5] - logs[6] + logs[7] + logs[8])
+            start = _let(at_low, lambda p: F.struct(p.alias("p"), p.alias("cdf"), low.alias("x")))
+            places = F.transform(F.sequence(low.cast("long"), F.greatest(low, high - 1).cast("long")), lambda x: x.cast("double"))
+            return F.aggregate(places, start, step, lambda acc: F.least(acc["x"], high))
 
-    def step(acc: Column, x: Column) -> Column:
-        more = acc["cdf"] < u
-        ratio = (marked - x) * (draws - x) / ((x + 1) * F.greatest(population - marked - draws + x + 1, F.lit(1.0)))
-        return F.when(more, F.struct((acc["p"] * ratio).alias("p"), (acc["cdf"] + acc["p"] * ratio).alias("cdf"), (x + 1).alias("x"))).otherwise(acc)
+        def step(acc: Column, x: Column) -> Column:
+            ratio = (k - x) * (d - x) / ((x + 1) * F.greatest(n - k - d + x + 1, F.lit(1.0)))
+            more = _let(acc["p"] * ratio, lambda p: F.struct(p.alias("p"), (acc["cdf"] + p).alias("cdf"), (x + 1).alias("x")))
+            return F.when(acc["cdf"] < v["u"], more).otherwise(acc)
+        return _let(F.transform(F.array(k, low, k - low, n - k, d - low, n - k - d + low, n, d, n - d), log_factorial), search)
 
-    start = F.struct(at_low.alias("p"), at_low.alias("cdf"), low.alias("x"))
-    places = F.transform(F.sequence(low.cast("long"), F.greatest(low, high - 1).cast("long")), lambda x: x.cast("double"))
-    return F.when(high <= low, low).otherwise(F.aggregate(places, start, step, lambda acc: F.least(acc["x"], high)))
+    given = {"population": population, "marked": marked, "draws": draws, "u": u}
+    return _let(F.struct(*[x.cast("double").alias(name) for name, x in given.items()]), bounds)
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -83,8 +101,8 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         u = lambda q: (F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("first"), q["key"]), F.lit(1 << 40)) + 0.5) / float(1 << 40)
 
         def deal(acc: Column, q: Column) -> Column:
-            taken = hypergeometric(acc["population"], q["quota"], acc["draws"], u(q))
-            return F.struct((acc["population"] - q["quota"]).alias("population"), (acc["draws"] - taken).alias("draws"), F.concat(acc["taken"], F.array(taken)).alias("taken"))
+            return _let(hypergeometric(acc["population"], q["quota"], acc["draws"], u(q)), lambda taken: F.struct(
+                (acc["population"] - q["quota"]).alias("population"), (acc["draws"] - taken).alias("draws"), F.concat(acc["taken"], F.array(taken)).alias("taken")))
 
         start = F.struct(F.col("total").alias("population"), F.floor(F.col("total") * F.col("half") / F.col("width")).cast("double").alias("draws"), F.array().cast("array<double>").alias("taken"))
         split = node.withColumn("half", F.when(F.col("width") > 1, half).otherwise(F.col("width"))).withColumn("total", total)

@@ -592,3 +592,11 @@ def test_places_against_patterns_of_the_templates(spark):
         starts = [sum(len(w) + 1 for w in found[:k]) for k in range(len(found))]
         line = "".join(w + " " for w in found)
         assert got[i] == sorted({(label, k) for label, p in patterns for k, at in enumerate(starts) if p.match(line, at)})
+
+
+def test_hypergeometric_is_written_once(spark):
+    """A draw names each part once; written out in place it took 18,000 characters, which the driver kept several times a level."""
+    draw = mixing.hypergeometric(*[F.col(c) for c in ("population", "marked", "draws", "u")])
+    assert len(str(draw)) < 4000
+    certain = spark.range(1).select(mixing.hypergeometric(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(0.5)).alias("none"), mixing.hypergeometric(F.lit(7.0), F.lit(7.0), F.lit(4.0), F.lit(0.5)).alias("all"))
+    assert tuple(certain.first()) == (0.0, 4.0)
