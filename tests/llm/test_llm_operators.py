@@ -445,6 +445,41 @@ def test_language_model_probabilities_sum_to_one(spark):
     assert first + sum(10 ** got[i] for i in range(81, 112)) < 1
 
 
+def test_language_model_conditions_on_the_word_before(spark):
+    """Words whose last letters agree stand apart, and where every word occurs once (a table each, no draw) scores equal the model written out."""
+    rows = [(i, x) for i, x in enumerate(["qaa one", "raa two"] * 20 + ["qaa one", "qaa two", "raa two", "raa one"])]
+    got = {r.doc_id: r.score for r in pitman_yor.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 40).collect()}
+    assert got[40] > got[41] + 0.5 and got[42] > got[43] + 0.5
+
+    train = ["mu", "nu", "Xi", "omicron", "a", "chi", "psi", None]
+    asked = ["", "mu nu", "nu mu", "xi omicron a", "a xi chi\tpsi unseen nu", "unseen unseen", "b\na", "nu " * 30]
+    rows = [(0, "mu nu Xi omicron a chi psi"), *enumerate(asked, 1)]
+    got = {r.doc_id: r.score for r in pitman_yor.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 0).collect()}
+
+    def levels(v):
+        raw = v and v.encode()
+        two = 64 if v is None else (raw[-1] & 7) * 8 + (raw[-2] & 7 if len(raw) > 1 else 0)
+        return [(0,), (1, two // 8 if v else 8), (2, two), (3, v)]
+
+    train = [w and w.lower() for w in train]
+    seen = collections.defaultdict(set)
+    for v, w in zip([None, *train], train):
+        for at in levels(v):
+            seen[at].add(w)
+
+    def p(w, v):
+        x = 1 / (len(train) + 1)
+        for at, d in zip(levels(v), (0.7, 0.75, 0.8, 0.8)):
+            n = len(seen[at])  # customers, tables and words
+            x = ((1 - d) * (w in seen[at]) + (1 + d * n) * x) / (1 + n)
+        return x
+
+    assert all(sum(p(w, v) for w in [*train, "new"]) == pytest.approx(1) for v in [*train, "new"])
+    for i, t in enumerate(asked, 1):
+        w = [*t.split(), None]
+        assert got[i] == pytest.approx(sum(math.log10(p(b, a)) for a, b in zip([None, *w], w)), rel=1e-9)
+
+
 def test_seating_matches_the_restaurant_process():
     rng = np.random.default_rng(1)
     for n, weight, d in ((5, 2.0, 0.5), (40, 0.3, 0.8)):
