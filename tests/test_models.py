@@ -115,3 +115,29 @@ def test_vectors_have_a_partition_a_core(spark):
     assert M.stored_vectors(many, 1000).rdd.getNumPartitions() == min(64, spark.sparkContext.defaultParallelism)
     assert M.stored_vectors(many, 40 * M.PARTITION_ROWS).rdd.getNumPartitions() == 40
     assert M.fits_at_once(spark, 10) >= 4 and M.fits_at_once(spark, 10 * M.SMALL_FIT) == 4
+
+
+def test_fits_of_a_search_share_the_cores(spark, folds, monkeypatch):
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    wide = [fold | {side: fold[side].repartition(cores) for side in ("train", "test")} for fold in folds]
+
+    def fit(kind, fold, seed, trees, params):
+        seen.append((kind, trees, fold["train"].rdd.getNumPartitions(), fold["test"].rdd.getNumPartitions()))
+        return {"trees": trees, "errors": [1.0], "rmse": params["maxDepth"] + fold["variance"], "r2": 0.0}
+    monkeypatch.setattr(M, "fit_fold", fit)
+    rows = M.successive_halving(spark, "gbt_deep", wide, n_trials=6, rungs=(1, 3)).collect()
+    assert len(seen) == 2 * (6 + 2) and {s[2:] for s in seen} == {(1, 1)}  # before: a partition a core in each of many fits
+    assert all(r.rmse == pytest.approx(r.maxDepth + sum(f["variance"] for f in folds) / 2) for r in rows)
+    assert M.shared_cores(wide[0]["train"], 200, 2).rdd.getNumPartitions() == cores  # few fits at once: all cores each
+    many = spark.range(0, 10, 1, 64)
+    assert M.shared_cores(many, 40 * M.PARTITION_ROWS, 4).rdd.getNumPartitions() == max(40, -(-2 * cores // 4))
+
+
+def test_kinds_with_equal_vectors_share_them(spark, folds, monkeypatch):
+    prepared = []
+    monkeypatch.setattr(M, "time_folds", lambda *_: None)
+    monkeypatch.setattr(M, "fold_vectors", lambda kind, _: prepared.append(kind) or folds)
+    monkeypatch.setattr(M, "fit_fold", lambda kind, fold, seed, trees, params: {"trees": trees, "errors": [1.0], "rmse": float(params["maxDepth"]), "r2": 0.0})
+    rows = J.tune(spark, None, None, "v1", 9).groupBy("model", "rung").count().collect()
+    assert prepared == ["gbt_categorical", "gbt_deep"]  # before: once more for the forest
+    assert {tuple(r) for r in rows} == {(kind, rung, n) for kind in J.KINDS for rung, n in enumerate((9, 3, 1))}
