@@ -69,6 +69,18 @@ def test_a_larger_childs_sums_are_what_is_left():
     assert T.grow(codes, [9, 9, -9], np.arange(5), y, None, 6, 3, 0.0).children == [None]
 
 
+def test_bundled_columns_grow_the_same_tree():
+    rng = np.random.default_rng(7)
+    bins = [32, 1, -5, 2, 2, 9, 30, -250]
+    codes = np.array([rng.integers(0, abs(b), 20_000) for b in bins], dtype=np.uint8)
+    y = codes[0] * 0.1 + (codes[2] % 2) + codes[3] * codes[6] * 0.05 + rng.normal(size=20_000)
+    bundled = T.bundles(codes, bins, 1024)
+    assert sorted(f for b in bundled for f, _, _ in b.members) == [0, 2, 3, 4, 5, 6, 7] and len(bundled) < 5 and all(b.codes.max() < b.width <= 1024 for b in bundled)
+    for rows in (np.arange(20_000), np.flatnonzero(rng.random(20_000) < 0.7)):
+        one, other = (T.grow(codes, bins, rows, y, None, 3, 50, 0.0, bundled=b) for b in (None, bundled))
+        assert one.column == other.column and one.value == pytest.approx(other.value, rel=1e-12)
+
+
 def test_searches_bin_once_and_only_what_fits_a_task(spark, fold, monkeypatch):
     seen = []
     monkeypatch.setattr(M, "time_folds", lambda *_: None)
